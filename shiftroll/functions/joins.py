@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,19 +23,32 @@ HOT_KEY_MIN_ROWS = 5_000_000
 MAX_TRACKED_KEYS = 10_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
-    """Count rows and bytes of ``df`` and compare them with the limits."""
-    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
-    if not max_rows or not max_bytes:
-        return False
+class Lookup(NamedTuple):
+    """A table with one row per key, joined on equally named columns."""
+
+    keyed: DataFrame
+    on: Sequence[str]
+    how: str = "inner"
+
+
+def _measure(df: DataFrame) -> DataFrame:
+    """Rows and an upper estimate of the bytes of ``df``, as one row."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    fixed = 16 * len(df.columns)
-    measures = [F.count(F.lit(1)).alias("n")]
-    measures += [F.coalesce(F.sum(F.octet_length(F.col(c))), F.lit(0)).alias(f"b{i}") for i, c in enumerate(texts)]
-    row = df.agg(*measures).first()
-    size = row["n"] * fixed + sum(row[f"b{i}"] for i in range(len(texts)))
-    return row["n"] <= max_rows and size <= max_bytes
+    rows = F.count(F.lit(1))
+    size = rows * (16 * len(df.columns))
+    for name in texts:
+        size = size + F.coalesce(F.sum(F.octet_length(F.col(name))), F.lit(0))
+    return df.agg(rows.alias("n"), size.cast("long").alias("bytes"))
+
+
+def small_enough(dfs: Sequence[DataFrame], max_rows: int | None = None) -> list[bool]:
+    """Which of the tables are small enough to broadcast, measured in one job."""
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    if not max_rows:
+        return [False] * len(dfs)
+    measured = reduce(DataFrame.unionAll, [_measure(df).withColumn("i", F.lit(i)) for i, df in enumerate(dfs)])
+    sizes = {r["i"]: r for r in measured.collect()}
+    return [sizes[i]["n"] <= max_rows and sizes[i]["bytes"] <= BROADCAST_MAX_BYTES for i in range(len(dfs))]
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], min_rows: int | None = None) -> list[tuple[int, int]]:
@@ -82,6 +97,18 @@ def spread_join(fact: DataFrame, keyed: DataFrame, on: Sequence[str], how: str,
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
+def lookup_joins(
+    fact: DataFrame, lookups: Sequence[Lookup], max_rows: int | None = None, min_hot_rows: int | None = None
+) -> DataFrame:
+    """Join ``fact`` to each of the keyed tables, the small ones by broadcast."""
+    for lookup, small in zip(lookups, small_enough([x.keyed for x in lookups], max_rows), strict=True):
+        if small:
+            fact = fact.join(F.broadcast(lookup.keyed), list(lookup.on), lookup.how)
+        else:
+            fact = spread_join(fact, lookup.keyed, lookup.on, lookup.how, hot_keys(fact, lookup.on, min_hot_rows))
+    return fact
+
+
 def lookup_join(
     fact: DataFrame,
     keyed: DataFrame,
@@ -90,7 +117,4 @@ def lookup_join(
     max_rows: int | None = None,
     min_hot_rows: int | None = None,
 ) -> DataFrame:
-    """Join ``fact`` to ``keyed`` (one row per key) on equally named columns."""
-    if fits_broadcast(keyed, max_rows):
-        return fact.join(F.broadcast(keyed), list(on), how)
-    return spread_join(fact, keyed, on, how, hot_keys(fact, on, min_hot_rows))
+    return lookup_joins(fact, [Lookup(keyed, on, how)], max_rows, min_hot_rows)

@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftroll.functions.joins import lookup_join
+from shiftroll.functions.joins import Lookup, lookup_joins
 from shiftroll.functions.keys import Base, dense_ids
 from shiftroll.functions.scalars import (
     EMPLOYEE_ID_PREFIX,
     MONEY_TYPE,
-    employee_ref,
     flag,
     null_of,
     to_minor,
@@ -20,6 +19,7 @@ from shiftroll.functions.scalars import (
     upper_or_null,
 )
 from shiftroll.functions.writes import insert_if_absent
+from shiftroll.operators.links import employee_lookup, link_column
 from shiftroll.params import RunParams
 
 # Code types and where they go.
@@ -64,18 +64,17 @@ def stage_amounts(
         F.col("description").alias("name"),
         upper_or_null("codetype").alias("codetype"),
     )
-    people = employees.select(*scope, F.col("id").alias("employee_ref"), F.col("user_id").alias("employee_id"), *keep)
+    user = F.col("user_id").alias("employee_id")
+    people = employee_lookup(amounts, "employeeno", employees, [user, *keep], "left", scope)
     rows = amounts.filter(F.col("amount_q") != 0).select(
         *scope,
         F.col("employeeno").cast("string").alias("legacy_empno"),
-        employee_ref("employeeno").alias("employee_ref"),
+        link_column(amounts, "employeeno"),
         F.col("ordinalno").alias("ordinal_no"),
         to_minor("amount_q").alias("amount_minor"),
         F.col("amount_q").cast(MONEY_TYPE).alias("amount_raw"),
     )
-    rows = lookup_join(rows, codes, [*scope, "ordinal_no"], "left")
-    rows = lookup_join(rows, people, [*scope, "employee_ref"], "left")
-    return rows.select(
+    return lookup_joins(rows, [Lookup(codes, [*scope, "ordinal_no"], "left"), people]).select(
         *scope, "legacy_empno", "employee_id", *keep, "ordinal_no", "name", "amount_minor", "amount_raw", "codetype"
     )
 

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftroll.functions.joins import lookup_join
-from shiftroll.functions.scalars import employee_ref
 from shiftroll.functions.writes import insert_if_absent
 from shiftroll.operators.carried_tables import AUTO_KEY, CarrySpec
+from shiftroll.operators.links import LINK, employee_lookup, link_column
 from shiftroll.operators.naming import (
     EMPLOYEE_CODE_COLUMN,
     EMPLOYEE_CODE_NAME,
@@ -129,8 +129,8 @@ def fill_missing(src: DataFrame, target: T.StructType, spec: CarrySpec, p: RunPa
 
     linked = {EMPLOYEE_LINK_NAME} if employee else set()
     columns = [value(f) for f in target.fields if f.name not in linked]
-    reference = [employee_ref(employee).alias("_employee_ref")] if employee else []
-    return src.select(*p.scope, *columns, *reference)
+    link = [link_column(src, employee)] if employee else []
+    return src.select(*p.scope, *columns, *link)
 
 
 def carry_table(
@@ -143,13 +143,12 @@ def carry_table(
 ) -> DataFrame:
     """Rows to insert into the carried table ``spec.table``."""
     rows = fill_missing(src, target, spec, p)
-    if "_employee_ref" in rows.columns:
+    if LINK in rows.columns:
         if employees is None:
             raise ValueError(f"{spec.table} is linked to employees")
-        people = employees.select(
-            *p.scope, F.col("id").alias("_employee_ref"), F.col("user_id").alias(EMPLOYEE_LINK_NAME)
-        )
-        rows = lookup_join(rows, people, [*p.scope, "_employee_ref"])
+        user = F.col("user_id").alias(EMPLOYEE_LINK_NAME)
+        people = employee_lookup(src, _employee_column(src.columns), employees, [user], "inner", p.scope)
+        rows = lookup_join(rows, *people)
     rows = rows.select(*p.scope, *target.names)
     if not spec.keys:
         return rows
@@ -160,8 +159,6 @@ def carry_table(
 def unlinked_rows(src: DataFrame, employees: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """How many rows of a linked table belong to no loaded employee."""
     employee = _employee_column(src.columns)
-    people = employees.select(*scope, F.col("id").alias("_employee_ref"))
-    left = lookup_join(
-        src.select(*scope, employee_ref(employee).alias("_employee_ref")), people, [*scope, "_employee_ref"], "left_anti"
-    )
+    people = employee_lookup(src, employee, employees, [], "left_anti", scope)
+    left = lookup_join(src.select(*scope, link_column(src, employee)), *people)
     return left.groupBy(*scope).agg(F.count(F.lit(1)).alias("unlinked_rows"))

@@ -18,7 +18,7 @@ from shiftroll.functions.scalars import (
     upper_or_null,
 )
 from shiftroll.functions.writes import insert_not_exists
-from shiftroll.operators.slots import of_loaded_employees
+from shiftroll.operators.links import of_loaded_employees
 from shiftroll.params import RunParams
 
 # Fixed values.

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftroll.functions.joins import lookup_join
-from shiftroll.functions.scalars import employee_ref, flag, iso_date, to_minor_or_zero
+from shiftroll.functions.scalars import flag, iso_date, to_minor_or_zero
 from shiftroll.functions.writes import insert_if_absent
+from shiftroll.operators.links import of_loaded_employees
 
 # Source column of each catalogue column.
 SLOT_SETTINGS = {
@@ -28,15 +28,6 @@ def import_slot_settings(
     return insert_if_absent(rows, existing, [*scope, "ordinal_no"])
 
 
-def of_loaded_employees(
-    table: DataFrame, employees: DataFrame, columns: Sequence[str | Column], scope: Sequence[str] = ()
-) -> DataFrame:
-    """Rows of loaded employees with their user id; rows of others drop out."""
-    rows = table.select(*scope, employee_ref("employeeno").alias("employee_ref"), *columns)
-    people = employees.select(*scope, F.col("id").alias("employee_ref"), F.col("user_id").alias("employee_id"))
-    return lookup_join(rows, people, [*scope, "employee_ref"], "inner").drop("employee_ref")
-
-
 def _import_slots(
     table: DataFrame,
     employees: DataFrame,

@@ -7,6 +7,8 @@ the data.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,21 +26,43 @@ EVENT_STATUS = {"error": "suspended", "purchase": "terminated"}
 NO_DEPENDANTS_RULE = 7
 
 
+def hundredths(col: str) -> Column:
+    """Two-decimal double as a whole number of hundredths."""
+    return F.floor(F.col(col) * 100 + 0.5)
+
+
 def money(col: str) -> Column:
-    return F.col(col).cast("decimal(12,2)")
+    """Two-decimal double as a decimal, without going through its text."""
+    return (hundredths(col).cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast("decimal(12,2)")
 
 
 def pick(values: list[str | None], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (index + 1).cast("int"))
 
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 class Standins:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return read_driver_table(self.spark, self.folder, name)
+        # with the schema given, no job looks into the files first
+        return read_driver_table(self.spark, self.folder, name, SCHEMAS[name])
 
     # ---- employees -------------------------------------------------------
 
@@ -111,7 +135,7 @@ class Standins:
         native = self.table("supplier").select(
             F.concat(F.lit("app-"), F.col("s_suppkey").cast("string")).alias("id"),
             F.col("s_suppkey").alias("user_id"),
-            (money("s_acctbal") * 100).cast("long").alias("salary_current_minor"),
+            hundredths("s_acctbal").alias("salary_current_minor"),
         )
         return migrated.unionByName(native)
 
@@ -122,7 +146,8 @@ class Standins:
         return lookup_join(self.table("lineitem"), orders, ["l_orderkey"])
 
     def amounts(self) -> DataFrame:
-        amount = money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)")
+        product = hundredths("l_extendedprice") * hundredths("l_discount")
+        amount = product.cast("decimal(15,0)") * F.lit(Decimal("0.0001"))
         return self._order_lines().select(
             F.col("o_custkey").alias("employeeno"),
             F.col("l_partkey").alias("ordinalno"),
@@ -248,7 +273,7 @@ class Standins:
         """The first year's periods exist already."""
         return (
             self.table("orders")
-            .filter(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp"))
+            .filter(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
             .select(F.lit(payroll_id).alias("payroll_id"), iso_date(F.last_day("o_orderdate")).alias("period_end"))
             .distinct()
         )
@@ -402,14 +427,14 @@ class Standins:
         return self._order_lines().select(
             F.col("o_custkey").alias("employee_id"),
             F.col("l_returnflag").alias("code"),
-            (money("l_extendedprice") * 100).cast("long").alias("amount_minor"),
+            hundredths("l_extendedprice").alias("amount_minor"),
         )
 
     def ledger(self) -> DataFrame:
         return self.table("events").select(
             F.col("user_id").alias("employee_id"),
             F.col("event_type").alias("code"),
-            (F.col("value").cast("decimal(12,2)") * 100).cast("long").alias("amount_minor"),
+            hundredths("value").alias("amount_minor"),
         )
 
 

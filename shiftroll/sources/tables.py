@@ -24,8 +24,8 @@ def read_source(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.table(f"{root}.{table}")
 
 
-def read_driver_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
+def read_driver_table(spark: SparkSession, folder: str, table: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{folder.rstrip('/')}/{table}.parquet")
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
