@@ -107,6 +107,9 @@ def route(staged: DataFrame) -> DataFrame:
 
 
 def _to(staged: DataFrame, destination: str) -> DataFrame:
+    """Rows of one destination; a table written by destination is read in part."""
+    if "destination" in staged.columns:
+        return staged.filter(F.col("destination") == destination)
     return staged.filter(destinations()[destination])
 
 
@@ -194,7 +197,7 @@ def quarantine_orphans(staged: DataFrame, p: RunParams) -> DataFrame:
 def routing_summary(staged: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Rows and amount per destination and code type; the totals are the staged ones."""
     return (
-        route(staged)
+        (staged if "destination" in staged.columns else route(staged))
         .groupBy(*scope, "destination", "codetype")
         .agg(F.count(F.lit(1)).alias("row_count"), F.sum("amount_minor").alias("amount_minor"))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,7 +44,7 @@ def _scratch_root(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/shiftroll-{spark.sparkContext.applicationId}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Cuts the lineage, survives the loss of executors, and leaves columnar
@@ -51,7 +52,8 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_scratch_root(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

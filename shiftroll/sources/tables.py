@@ -28,6 +28,11 @@ def read_driver_table(spark: SparkSession, folder: str, table: str, schema: str)
     return spark.read.schema(schema).parquet(f"{folder.rstrip('/')}/{table}.parquet")
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     writer = df.write.mode("append")
     if partition_by:
@@ -35,6 +40,12 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     writer.parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Write ``df`` in place of the partitions it has rows for; it must not read them."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+
+
 def append_report(df: DataFrame, path: str) -> None:
     """Report tables come into being with the first append and are kept per tenant."""
     append(df, path, ["tenant"])
