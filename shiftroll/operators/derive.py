@@ -116,6 +116,17 @@ def build_tax_status(
     )
 
 
+def _in_country(dated: DataFrame, payrolls: DataFrame, p: RunParams) -> DataFrame:
+    """Periods of existing payrolls with the country of the payroll."""
+    if "target_payroll_id" in p.row_values:
+        known = payrolls.select(*p.scope, F.col("id").alias("payroll_id"), "country_code")
+        return lookup_join(dated, known, [*p.scope, "payroll_id"])
+    # a run for one payroll: a single row, known by its key
+    payroll = payrolls.filter(F.col("id") == p.target_payroll_id).select("country_code").first()
+    country = F.lit(payroll["country_code"] if payroll else None).cast("string")
+    return dated.withColumn("country_code", country).filter(F.lit(payroll is not None))
+
+
 def build_periods(calendar: DataFrame, payrolls: DataFrame, existing: DataFrame | None, p: RunParams) -> DataFrame:
     """Payroll periods from the carried calendar; months before the cutover are closed."""
     cutover_month = month_start(F.to_date(p.col("cutover")))
@@ -128,8 +139,7 @@ def build_periods(calendar: DataFrame, payrolls: DataFrame, existing: DataFrame
         iso_date("run_date").alias("payday"),
         status.alias("status"),
     )
-    known = payrolls.select(*p.scope, F.col("id").alias("payroll_id"), "country_code")
-    placed = lookup_join(dated, known, [*p.scope, "payroll_id"])
+    placed = _in_country(dated, payrolls, p)
     added = insert_not_exists(placed, existing, [*p.scope, "payroll_id", "period_end"])
     return added.select(
         *p.scope,
