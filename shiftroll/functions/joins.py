@@ -51,35 +51,47 @@ def small_enough(dfs: Sequence[DataFrame], max_rows: int | None = None) -> list[
     return [sizes[i]["n"] <= max_rows and sizes[i]["bytes"] <= BROADCAST_MAX_BYTES for i in range(len(dfs))]
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], min_rows: int | None = None) -> list[tuple[int, int]]:
-    """Frequent keys of ``df`` as (hash of key, number of tasks to spread over).
+def hot_keys(df: DataFrame, keys: Sequence[Sequence[str]], min_rows: int | None = None) -> list[list[tuple[int, int]]]:
+    """Frequent values of each key as (hash of key, number of tasks to spread over).
 
-    Found with a top-k sketch, so nothing is shuffled by key.  Its error can
-    only change how rows are spread, never the result.  A NULL key counts as
-    a key, as in a left join it gathers rows like any other.
+    Found with top-k sketches in one pass over the key columns, so nothing is
+    shuffled by key.  Their error can only change how rows are spread, never
+    the result.  A NULL key counts as a key: a left join gathers its rows too.
     """
     min_rows = HOT_KEY_MIN_ROWS if min_rows is None else min_rows
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     k = max(1, min(tasks, MAX_TRACKED_KEYS))
-    row = (
-        df.select(F.xxhash64(*on).alias("h"))
-        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {k}, {10 * k})").alias("top"))
-        .first()
-    )
+    hashes = df.select(*[F.xxhash64(*on).alias(f"h{i}") for i, on in enumerate(keys)])
+    sketches = [F.expr(f"approx_top_k(h{i}, {k}, {10 * k})").alias(f"top{i}") for i in range(len(keys))]
+    row = hashes.agg(F.count(F.lit(1)).alias("n"), *sketches).first()
     per_task = row["n"] / tasks
     limit = max(2 * per_task, min_rows)
-    return [(t["item"], math.ceil(t["count"] / max(per_task, 1))) for t in row["top"] or [] if t["count"] > limit]
+    return [
+        [(t["item"], math.ceil(t["count"] / max(per_task, 1))) for t in row[f"top{i}"] or [] if t["count"] > limit]
+        for i in range(len(keys))
+    ]
 
 
-def spread_join(fact: DataFrame, keyed: DataFrame, on: Sequence[str], how: str, hot: list[tuple[int, int]]) -> DataFrame:
-    """Shuffle join with the rows of the ``hot`` keys spread over several tasks."""
+def spread_join(
+    fact: DataFrame,
+    keyed: DataFrame,
+    on: Sequence[str],
+    how: str,
+    hot: list[tuple[int, int]],
+    spread_by: Sequence[str] = (),
+) -> DataFrame:
+    """Shuffle join with the rows of the ``hot`` keys spread over several tasks.
+
+    Rows spread by their input task and the columns ``spread_by``.  Both stay
+    the same when a lost task runs again, copies of a row get apart, and no
+    column is read just for this.
+    """
     if not hot:
         return fact.join(keyed, list(on), how)
     spark = fact.sparkSession
     # at most one row per tracked key
     spread = F.broadcast(spark.createDataFrame(hot, "_h long, _tasks int"))
-    # copies of a row get different salts when they sit in different input tasks
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *fact.columns), F.col("_tasks"))
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *spread_by), F.col("_tasks"))
     salted = (
         fact.withColumn("_h", F.xxhash64(*on))
         .join(spread, "_h", "left")
@@ -100,12 +112,23 @@ def spread_join(fact: DataFrame, keyed: DataFrame, on: Sequence[str], how: str,
 def lookup_joins(
     fact: DataFrame, lookups: Sequence[Lookup], max_rows: int | None = None, min_hot_rows: int | None = None
 ) -> DataFrame:
-    """Join ``fact`` to each of the keyed tables, the small ones by broadcast."""
-    for lookup, small in zip(lookups, small_enough([x.keyed for x in lookups], max_rows), strict=True):
-        if small:
-            fact = fact.join(F.broadcast(lookup.keyed), list(lookup.on), lookup.how)
+    """Join ``fact`` to each of the keyed tables, the small ones by broadcast.
+
+    The keys must be columns of ``fact``.
+    """
+    small = small_enough([x.keyed for x in lookups], max_rows)
+    shuffled = [x for x, fits in zip(lookups, small, strict=True) if not fits]
+    hot = iter(hot_keys(fact, [x.on for x in shuffled], min_hot_rows) if shuffled else [])
+    for lookup, fits in zip(lookups, small, strict=True):
+        on, how = list(lookup.on), lookup.how
+        if fits:
+            fact = fact.join(F.broadcast(lookup.keyed), on, how)
         else:
-            fact = spread_join(fact, lookup.keyed, lookup.on, lookup.how, hot_keys(fact, lookup.on, min_hot_rows))
+            # an anti join may get repeated keys; one of each will do
+            keyed = lookup.keyed.select(*on).distinct() if how == "left_anti" else lookup.keyed
+            # keys of the other lookups are read anyway
+            others = [c for x in lookups for c in x.on if c not in on]
+            fact = spread_join(fact, keyed, on, how, next(hot), others)
     return fact
 
 

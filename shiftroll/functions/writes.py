@@ -48,4 +48,4 @@ def insert_not_exists(new: DataFrame, existing: DataFrame | None, keys: Sequence
     """Rows of ``new`` whose key is not in ``existing``; repeats inside ``new`` stay."""
     if existing is None:
         return new
-    return lookup_join(new, existing.select(*keys).distinct(), keys, "left_anti").select(*new.columns)
+    return lookup_join(new, existing.select(*keys), keys, "left_anti").select(*new.columns)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shiftroll.functions.joins import lookup_join
 from shiftroll.operators.employees import STATUS_ACTIVE
 
 
@@ -53,8 +54,7 @@ def ytd_basis(ledger: DataFrame, facts: DataFrame, scope: Sequence[str] = ()) ->
     """Ledger rows; employees without any fall back to the totals of their facts."""
     who = [*scope, "employee_id"]
     columns = [*who, "code", "amount_minor"]
-    in_ledger = ledger.select(*who).distinct()
-    fallback = rebuild_ledger(facts, scope).join(in_ledger, who, "left_anti")
+    fallback = lookup_join(rebuild_ledger(facts, scope), ledger.select(*who), who, "left_anti")
     return ledger.select(*columns, F.lit("ledger").alias("basis")).unionByName(
         fallback.select(*columns, F.lit("facts").alias("basis"))
     )

@@ -60,8 +60,8 @@ class Migration:
         path = self.path(table)
         return self.spark.read.parquet(path) if table_exists(self.spark, path) else None
 
-    def add(self, table: str, rows: DataFrame) -> None:
-        append(rows, self.path(table), ["tenant"])
+    def add(self, table: str, rows: DataFrame, clustered: bool = False) -> None:
+        append(rows, self.path(table), ["tenant"], clustered)
 
     def report(self, table: str, rows: DataFrame) -> None:
         append_report(rows, self.path(table))
@@ -74,14 +74,15 @@ class Migration:
     def load_employees(self) -> None:
         staged = employees.stage_employees(self.source("employees"), ["tenant", "target_payroll_id"])
         minted = employees.mint_users(staged, max_id(self.existing("core_users")), self.p)
-        self.add("core_users", minted.users)
+        # numbered rows come sorted by tenant
+        self.add("core_users", minted.users, clustered=True)
         self.add("employees", employees.build_employees(minted.rows, self.existing("employees"), self.p))
         for table, build in (
             ("employee_contracts", employees.build_contracts),
             ("employee_payroll_assignments", employees.build_assignments),
             ("employee_status_history", employees.build_status),
         ):
-            self.add(table, build(minted.rows, self._base(table), self.p))
+            self.add(table, build(minted.rows, self._base(table), self.p), clustered=True)
 
     def load_amounts(self) -> None:
         scope = self.p.scope
@@ -95,7 +96,7 @@ class Migration:
             ("employee_amount_earnings", amounts.route_earnings),
             ("employee_amount_deductions", amounts.route_deductions),
         ):
-            self.add(table, lines(staged, self._base(table), self.p))
+            self.add(table, lines(staged, self._base(table), self.p), clustered=True)
         for table, keyed in (
             ("employee_amount_employer_cost", amounts.route_employer_cost),
             ("employee_amount_balances", amounts.route_balances),
@@ -155,7 +156,7 @@ class Migration:
         rows = derive.import_bank_details(
             self.source("employee_accounts"), self.existing("employees"), self.existing(table), self._base(table), self.p
         )
-        self.add(table, rows)
+        self.add(table, rows, clustered=True)
 
     def load_tax_status(self) -> None:
         table = "employee_tax_status"

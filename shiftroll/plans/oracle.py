@@ -310,6 +310,10 @@ def statements() -> dict[str, str]:
         CAST(engagedate_d931 AS VARCHAR) AS hired_at, identity_f12 AS id_number,
         upper(coalesce(nullif(taxcountrycode_f14, ''), 'ZA')) AS currency, {columns} FROM leg_employees e""",
     )
+    sql["export_import_csv"] = sql["export_import_rows"]
+    sql["quarantine_report"] = _sql(
+        ("routed",), f"{_quarantine('codetype_not_found')} UNION ALL {_quarantine('employee_not_loaded')}"
+    )
     sql["import_alpha_settings"] = f"""SELECT p_size AS ordinal_no, p_name AS name FROM part
         WHERE p_size NOT IN (SELECT s_suppkey FROM supplier) {_first("p_size", ["p_name"])}"""
     sql["import_date_settings"] = f"""SELECT p_size AS ordinal_no, p_brand AS name FROM part
@@ -471,11 +475,13 @@ def _schema_tools() -> dict[str, str]:
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, 'unexpected_column' AS kind, count({c}) AS non_null_rows FROM {t}"
         for t, c in stray
     )
-    return {
-        "schema_drift": f"""{lost}
+    drift = f"""{lost}
         UNION ALL SELECT 'customer', 'c_phone', 'missing_column', NULL
         UNION ALL SELECT 'orders', 'o_clerk', 'missing_column', NULL
-        UNION ALL SELECT 'partsupp', NULL, 'missing_table', NULL""",
+        UNION ALL SELECT 'partsupp', NULL, 'missing_table', NULL"""
+    return {
+        "schema_drift": drift,
+        "drift_report": drift,
         "normalise_columns": """SELECT event_id AS id, CAST(ts AS DATE) AS event_ts, user_id AS employee_id,
         event_type AS row_no, value AS rate_value, props AS employee_code FROM events""",
         "migration_map": f"""SELECT 'co_' || s_nationkey AS legacy_company_schema,

@@ -12,8 +12,10 @@ from shiftroll.operators import amounts, asof, derive, drift, employees, export,
 from shiftroll.operators.carried_tables import CARRIED
 from shiftroll.operators.carry import carry_table, plan_from_dictionary, unlinked_rows
 from shiftroll.params import RunParams
+from shiftroll.session import scratch_path
 from shiftroll.sources import routes
 from shiftroll.sources.standins import DICTIONARY, USER_BASE, Standins
+from shiftroll.sources.tables import append_report, write_drift
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -170,6 +172,25 @@ def export_import_rows(s: Standins) -> DataFrame:
     return export.export_import_rows(s.employees(), s.amounts(), s.export_codes())
 
 
+@query
+def export_import_csv(s: Standins) -> DataFrame:
+    """The export file, read back."""
+    path = scratch_path(s.spark)
+    export.export_import_csv(s.employees(), s.amounts(), s.export_codes(), path)
+    written = export.export_import_rows(s.employees(), s.amounts(), s.export_codes()).schema
+    return s.spark.read.schema(written).option("header", True).csv(path)
+
+
+@query
+def quarantine_report(s: Standins) -> DataFrame:
+    """Both kinds of quarantined rows, appended to one report table."""
+    path = scratch_path(s.spark)
+    staged = _staged(s)
+    append_report(amounts.quarantine_unknown(staged, PARAMS), path)
+    append_report(amounts.quarantine_orphans(staged, PARAMS), path)
+    return s.spark.read.parquet(path)
+
+
 # ---- slots ---------------------------------------------------------------
 
 
@@ -283,8 +304,7 @@ def high_water_increments(s: Standins) -> DataFrame:
 # ---- schema tools --------------------------------------------------------
 
 
-@query
-def schema_drift(s: Standins) -> DataFrame:
+def _drift(s: Standins) -> DataFrame:
     tables = {name: s.table(name) for name in ("customer", "lineitem", "orders", "part", "supplier")}
     promised = {
         "customer": ["c_custkey", "c_name", "c_nationkey", "c_phone"],
@@ -299,6 +319,20 @@ def schema_drift(s: Standins) -> DataFrame:
     return drift.schema_drift(expected, tables)
 
 
+@query
+def schema_drift(s: Standins) -> DataFrame:
+    return _drift(s)
+
+
+@query
+def drift_report(s: Standins) -> DataFrame:
+    """The drift of the tables as JSON, read back."""
+    path = scratch_path(s.spark)
+    found = _drift(s)
+    write_drift(found, path)
+    return s.spark.read.schema(found.schema).json(path)
+
+
 @query
 def normalise_columns(s: Standins) -> DataFrame:
     legacy = ["AutoNumber", "EventTS", "EmployeeNo", "Row", "RateValue", "EmployeeId"]

@@ -44,6 +44,11 @@ def _scratch_root(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/shiftroll-{spark.sparkContext.applicationId}"
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A fresh path in this application's part of the shared folder."""
+    return f"{_scratch_root(spark)}/{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
@@ -51,7 +56,7 @@ def materialise(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     files, so that later readers fetch only the columns they use.
     """
     spark = df.sparkSession
-    path = f"{_scratch_root(spark)}/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -33,7 +33,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), clustered: bool = False) -> None:
+    """Append to a table.
+
+    Rows of one partition are brought together first, so that not every task
+    writes a file for every partition.  Rebalancing, unlike a repartition,
+    splits large partitions over several tasks.  ``clustered`` rows come in
+    the order of the partition and need none of this.
+    """
+    if partition_by and not clustered:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -42,7 +51,7 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Write ``df`` in place of the partitions it has rows for; it must not read them."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).parquet(path)
 
 

@@ -17,7 +17,7 @@ def sides(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
 def test_spread_join_equals_plain_join(sides, how, rows):
     fact, keyed = sides
-    hot = J.hot_keys(fact, ["k"], min_rows=1)
+    [hot] = J.hot_keys(fact, [["k"]], min_rows=1)
     assert hot and max(n for _, n in hot) > 1
     spread = J.spread_join(fact, keyed, ["k"], how, hot)
     assert rows(spread) == rows(fact.join(keyed, "k", how))
@@ -37,7 +37,7 @@ def test_hot_rows_land_in_several_tasks(spark, sides):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        hot = J.hot_keys(fact, ["k"], min_rows=1)
+        [hot] = J.hot_keys(fact, [["k"]], min_rows=1)
         joined = J.spread_join(fact, keyed, ["k"], "inner", hot)
         sizes = joined.filter("k = 7").groupBy(F.spark_partition_id().alias("p")).count().collect()
         assert len(sizes) > 1
@@ -49,8 +49,8 @@ def test_hot_rows_land_in_several_tasks(spark, sides):
 
 def test_no_hot_keys_no_salt(spark):
     fact = spark.range(1000).withColumnRenamed("id", "k")
-    assert J.hot_keys(fact, ["k"], min_rows=1) == []
-    assert J.hot_keys(fact.filter("k < 0"), ["k"], min_rows=1) == []
+    assert J.hot_keys(fact, [["k"]], min_rows=1) == [[]]
+    assert J.hot_keys(fact.filter("k < 0"), [["k"]], min_rows=1) == [[]]
 
 
 def test_small_enough_counts_rows_and_bytes(spark, monkeypatch):
@@ -62,6 +62,23 @@ def test_small_enough_counts_rows_and_bytes(spark, monkeypatch):
     assert J.small_enough([narrow, wide]) == [True, False]
 
 
+def test_anti_join_with_repeated_keys(sides, rows):
+    fact, keyed = sides
+    repeated = keyed.union(keyed).union(keyed)
+    got = J.lookup_join(fact, repeated.select("k"), ["k"], "left_anti", max_rows=1, min_hot_rows=1)
+    assert rows(got) == rows(fact.join(keyed, "k", "left_anti"))
+
+
+def test_several_lookups_at_once(spark, sides, rows):
+    fact, keyed = sides
+    names = spark.range(10).select(F.col("id").alias("v"), F.concat(F.lit("n"), "id").alias("name"))
+    lookups = [J.Lookup(keyed, ["k"], "left"), J.Lookup(names, ["v"])]
+    expected = rows(fact.join(keyed, "k", "left").join(names, "v"), "k", "v", "w", "name")
+    for max_rows in (None, 20, 0):
+        got = J.lookup_joins(fact, lookups, max_rows, min_hot_rows=1)
+        assert rows(got, "k", "v", "w", "name") == expected
+
+
 def test_composite_keys(spark, rows):
     fact = spark.range(9000, numPartitions=5).select(
         F.lit("t").alias("tenant"), F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 50).alias("k")
