@@ -20,7 +20,9 @@ BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # Below this many rows a frequent key is no burden for one task.
 HOT_KEY_MIN_ROWS = 5_000_000
-MAX_TRACKED_KEYS = 10_000
+MAX_HOT_KEYS = 1_000
+# Sketches are merged within this many groups of tasks.
+SKETCH_GROUPS = 256
 
 
 class Lookup(NamedTuple):
@@ -55,20 +57,35 @@ def hot_keys(df: DataFrame, keys: Sequence[Sequence[str]], min_rows: int | None
     """Frequent values of each key as (hash of key, number of tasks to spread over).
 
     Found with top-k sketches in one pass over the key columns, so nothing is
-    shuffled by key.  Their error can only change how rows are spread, never
-    the result.  A NULL key counts as a key: a left join gathers its rows too.
+    shuffled by key.  The sketches have a bounded size and are merged per group
+    of tasks; the frequent keys of the groups are then added up.  The error of a sketch can only
+    change how rows are spread, never the result.  A NULL key counts as a key:
+    a left join gathers its rows too.
     """
     min_rows = HOT_KEY_MIN_ROWS if min_rows is None else min_rows
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    k = max(1, min(tasks, MAX_TRACKED_KEYS))
+    k = max(1, min(tasks, MAX_HOT_KEYS))
     hashes = df.select(*[F.xxhash64(*on).alias(f"h{i}") for i, on in enumerate(keys)])
-    sketches = [F.expr(f"approx_top_k(h{i}, {k}, {10 * k})").alias(f"top{i}") for i in range(len(keys))]
-    row = hashes.agg(F.count(F.lit(1)).alias("n"), *sketches).first()
-    per_task = row["n"] / tasks
+    per_group = hashes.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("task_group")).agg(
+        F.array(F.struct(F.lit(0).cast("long").alias("item"), F.count(F.lit(1)).alias("count"))).alias("every"),
+        *[F.expr(f"approx_top_k(h{i}, {k}, {4 * k})").alias(f"h{i}") for i in range(len(keys))],
+    )
+    # the row count goes along as one more item, the largest
+    found = (
+        per_group.unpivot([], ["every", *hashes.columns], "key", "items")
+        .select("key", F.inline("items"))
+        .groupBy("key", "item")
+        .agg(F.sum("count").alias("n"))
+        .orderBy(F.desc("n"))
+        .limit(1 + k * len(keys))
+        .collect()
+    )
+    rows = next((r["n"] for r in found if r["key"] == "every"), 0)
+    per_task = max(rows / tasks, 1)
     limit = max(2 * per_task, min_rows)
     return [
-        [(t["item"], math.ceil(t["count"] / max(per_task, 1))) for t in row[f"top{i}"] or [] if t["count"] > limit]
-        for i in range(len(keys))
+        [(r["item"], math.ceil(r["n"] / per_task)) for r in found if r["key"] == name and r["n"] > limit]
+        for name in hashes.columns
     ]
 
 
