@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,24 +105,20 @@ def spread_join(
     """
     if not hot:
         return fact.join(keyed, list(on), how)
-    spark = fact.sparkSession
-    # at most one row per tracked key
-    spread = F.broadcast(spark.createDataFrame(hot, "_h long, _tasks int"))
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *spread_by), F.col("_tasks"))
-    salted = (
-        fact.withColumn("_h", F.xxhash64(*on))
-        .join(spread, "_h", "left")
-        .withColumn("_salt", F.when(F.col("_tasks").isNull(), F.lit(0)).otherwise(salt).cast("int"))
-        .drop("_h", "_tasks")
-    )
+    # the most frequent key comes first, so most hot rows find their entry at once
+    tasks_of = F.create_map(*[F.lit(x) for pair in hot for x in pair])
     types = {f.name: f.dataType for f in fact.schema.fields}
-    repeated = (
-        keyed.withColumns({c: F.col(c).cast(types[c]) for c in on})
-        .withColumn("_h", F.xxhash64(*on))
-        .join(spread, "_h", "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_tasks"), F.lit(1)) - 1)))
-        .drop("_h", "_tasks")
-    )
+
+    def is_hot() -> Column:
+        return F.xxhash64(*on).isin([key for key, _ in hot])
+
+    def tasks() -> Column:
+        return F.element_at(tasks_of, F.xxhash64(*on))
+
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *spread_by), tasks())
+    salted = fact.withColumn("_salt", F.when(is_hot(), salt).otherwise(F.lit(0)).cast("int"))
+    salts = F.when(is_hot(), F.sequence(F.lit(0), tasks() - 1)).otherwise(F.array(F.lit(0)))
+    repeated = keyed.withColumns({c: F.col(c).cast(types[c]) for c in on}).withColumn("_salt", F.explode(salts))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 

@@ -12,51 +12,29 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS first_day, CAST(max(o_orderdate) AS DATE) AS last_day
         FROM orders GROUP BY o_custkey""",
     ),
-    "leg_employees": (
-        ("order_days",),
-        """SELECT 'co_' || n_regionkey AS source_schema, c_custkey AS employeeno, c_custkey + 1000 AS employeeid_f01,
-          c_name AS surname_f02, n_name AS givennames_f21, c_custkey + 800000 AS identity_f12,
-          first_day - CAST(7000 + c_custkey % 5000 AS INTEGER) AS birthdate_d930, first_day AS engagedate_d931,
-          CASE WHEN c_custkey % 5 = 0 THEN last_day END AS dischargedate_d932,
-          CASE c_nationkey % 3 WHEN 0 THEN 'Mr' WHEN 1 THEN 'Ms' ELSE 'Dr' END AS title_f28,
-          c_mktsegment AS occupation_f11, CAST(c_nationkey AS VARCHAR) AS category_f13,
-          CASE c_nationkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'za' WHEN 2 THEN 'ZAF' ELSE substr(n_name, 1, 3) END
-            AS taxcountrycode_f14,
-          CASE c_custkey % 4 WHEN 0 THEN 'Male' WHEN 1 THEN 'f' WHEN 2 THEN '' END AS gender_f22,
-          CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'user' || c_custkey || '@example.org' END AS emailaddress_f40,
-          CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey % 70 - 5 AS INTEGER) END AS taxdependants_f08
-        FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN order_days ON o_custkey = c_custkey""",
-    ),
     "loaded": (
         ("order_days",),
         """SELECT 'emp-' || c_custkey AS id, c_custkey + 100000 AS user_id, CAST(first_day AS VARCHAR) AS hired_at
         FROM customer LEFT JOIN order_days ON o_custkey = c_custkey WHERE c_acctbal >= 0""",
     ),
     "order_lines": ((), "SELECT * FROM lineitem JOIN orders ON o_orderkey = l_orderkey"),
-    "leg_amounts": (
+    "line_amounts": (
         ("order_lines",),
-        """SELECT o_custkey AS employeeno, l_partkey AS ordinalno,
-          CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(19,4)) AS amount_q
+        """SELECT o_custkey, l_partkey,
+          CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(19,4)) AS amount
         FROM order_lines""",
     ),
-    "leg_codes": (
+    "part_types": (
         (),
-        """SELECT p_partkey AS ordinalno, p_name AS description,
-          ['E','D','C','B','T','H','Y','S','J','','e'][CAST(p_partkey % 11 + 1 AS INTEGER)] AS codetype,
-          p_brand AS currency_code, CAST(p_retailprice AS DECIMAL(12,2)) AS codelimit, p_type AS taxtype,
-          p_size AS taxincasn, p_name AS consolcode, p_size % 2 AS adjustflag, p_size > 25 AS manualdisplayind,
-          CAST(p_retailprice AS DECIMAL(12,2)) > 1000 AS prorataind,
-          CASE WHEN p_type <> 'ECONOMY' THEN TRUE END AS qmfdisplayind, p_size
-        FROM part""",
+        """SELECT *, CASE p_partkey % 11 WHEN 0 THEN 'E' WHEN 1 THEN 'D' WHEN 2 THEN 'C' WHEN 3 THEN 'B' WHEN 4 THEN 'T'
+          WHEN 5 THEN 'H' WHEN 6 THEN 'Y' WHEN 7 THEN 'S' WHEN 8 THEN 'J' WHEN 10 THEN 'E' END AS codetype FROM part""",
     ),
-    "catalogue": (("leg_codes",), "SELECT * FROM leg_codes WHERE p_size <= 45"),
     "staged": (
-        ("leg_amounts", "catalogue", "loaded"),
-        """SELECT CAST(a.employeeno AS VARCHAR) AS legacy_empno, e.user_id AS employee_id, e.hired_at,
-          a.ordinalno AS ordinal_no, s.description AS name, CAST(a.amount_q * 100 AS BIGINT) AS amount_minor,
-          a.amount_q AS amount_raw, upper(nullif(s.codetype, '')) AS codetype
-        FROM leg_amounts a LEFT JOIN catalogue s ON s.ordinalno = a.ordinalno
-        LEFT JOIN loaded e ON e.id = 'emp-' || a.employeeno WHERE a.amount_q <> 0""",
+        ("line_amounts", "part_types", "loaded"),
+        """SELECT CAST(o_custkey AS VARCHAR) AS legacy_empno, user_id AS employee_id, hired_at, l_partkey AS ordinal_no,
+          p_name AS name, CAST(round(amount * 100) AS BIGINT) AS amount_minor, amount AS amount_raw, codetype
+        FROM line_amounts LEFT JOIN part_types ON p_partkey = l_partkey AND p_size <= 45
+        LEFT JOIN loaded ON user_id = o_custkey + 100000 WHERE NOT (amount = 0)""",
     ),
     "routed": (
         ("staged",),
@@ -67,17 +45,21 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
           ELSE 'deprecated' END AS destination FROM staged""",
     ),
     "staged_employees": (
-        ("leg_employees",),
-        """SELECT CAST(employeeno AS VARCHAR) AS legacy_empno, CAST(employeeid_f01 AS VARCHAR) AS employee_code,
-          surname_f02 AS last_name, givennames_f21 AS first_name, CAST(identity_f12 AS VARCHAR) AS id_number,
-          CAST(birthdate_d930 AS VARCHAR) AS date_of_birth, CAST(engagedate_d931 AS VARCHAR) AS hired_at,
-          CAST(dischargedate_d932 AS VARCHAR) AS terminated_at, title_f28 AS title, occupation_f11 AS occupation,
-          category_f13 AS category, 'unspecified' AS marital_status, 1 AS currency,
-          substr(upper(nullif(taxcountrycode_f14, '')), 1, 3) AS nationality_country_code,
-          CASE upper(substr(coalesce(gender_f22, ''), 1, 1)) WHEN 'M' THEN 'male' WHEN 'F' THEN 'female'
-            ELSE 'unspecified' END AS gender,
-          coalesce(nullif(emailaddress_f40, ''), employeeid_f01 || '@migrated.invalid') AS email, source_schema
-        FROM leg_employees""",
+        ("order_days",),
+        """SELECT CAST(c_custkey AS VARCHAR) AS legacy_empno, CAST(c_custkey + 1000 AS VARCHAR) AS employee_code,
+          c_name AS last_name, n_name AS first_name, CAST(c_custkey + 800000 AS VARCHAR) AS id_number,
+          CAST(first_day - CAST(7000 + c_custkey % 5000 AS INTEGER) AS VARCHAR) AS date_of_birth,
+          CAST(first_day AS VARCHAR) AS hired_at,
+          CASE WHEN c_custkey % 5 = 0 THEN CAST(last_day AS VARCHAR) END AS terminated_at,
+          CASE c_nationkey % 3 WHEN 0 THEN 'Mr' WHEN 1 THEN 'Ms' ELSE 'Dr' END AS title,
+          c_mktsegment AS occupation, CAST(c_nationkey AS VARCHAR) AS category, 'unspecified' AS marital_status,
+          1 AS currency, CASE c_nationkey % 4 WHEN 1 THEN 'ZA' WHEN 2 THEN 'ZAF' WHEN 3 THEN substr(n_name, 1, 3) END
+            AS nationality_country_code,
+          CASE c_custkey % 4 WHEN 0 THEN 'male' WHEN 1 THEN 'female' ELSE 'unspecified' END AS gender,
+          CASE WHEN c_custkey % 3 = 0 THEN c_custkey + 1000 || '@migrated.invalid'
+            ELSE 'user' || c_custkey || '@example.org' END AS email,
+          c_custkey, c_nationkey, 'co_' || n_regionkey AS source_schema
+        FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN order_days ON o_custkey = c_custkey""",
     ),
     "minted": (
         ("staged_employees",),
@@ -95,7 +77,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "linked_slots": (
         ("leg_slots", "loaded", "known_slots"),
         """SELECT e.user_id AS employee_id, s.ordinalno AS ordinal_no, s.reference_v, CAST(s.date_d0 AS VARCHAR)
-          AS date_text, s.amount_m FROM leg_slots s JOIN loaded e ON e.id = 'emp-' || s.employeeno
+          AS date_text, s.amount_m FROM leg_slots s JOIN loaded e ON e.user_id = s.employeeno + 100000
         WHERE NOT EXISTS (SELECT 1 FROM known_slots k WHERE k.employee_id = e.user_id AND k.ordinal_no = s.ordinalno)""",
     ),
     "routes": (
@@ -110,8 +92,8 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM staged_employees JOIN routes USING (source_schema)""",
     ),
     "tenant_staged": (
-        ("staged", "leg_employees", "routes"),
-        """SELECT r.tenant, s.* FROM staged s JOIN leg_employees e ON CAST(e.employeeno AS VARCHAR) = s.legacy_empno
+        ("staged", "staged_employees", "routes"),
+        """SELECT r.tenant, s.* FROM staged s JOIN staged_employees e ON e.legacy_empno = s.legacy_empno
         JOIN routes r USING (source_schema)""",
     ),
     "dated_rows": (
@@ -150,7 +132,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         ("loaded",),
         """SELECT o_orderkey AS id, user_id AS employee_id, CAST(o_orderdate AS DATE) AS date_d8,
           CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(19,4)) AS amount_u
-        FROM orders JOIN loaded ON id = 'emp-' || o_custkey""",
+        FROM orders JOIN loaded ON user_id = o_custkey + 100000""",
     ),
     "rates": (
         (),
@@ -205,7 +187,7 @@ _HISTORY = """SELECT {scope} user_id, k.step, k.status, k.effective_from FROM {r
 
 def statements() -> dict[str, str]:
     sql: dict[str, str] = {}
-    sql["stage_employees"] = _sql(("staged_employees",), "SELECT * EXCLUDE (source_schema) FROM staged_employees")
+    sql["stage_employees"] = _sql(("staged_employees",), "SELECT * EXCLUDE (c_custkey, c_nationkey, source_schema) FROM staged_employees")
     sql["mint_users"] = _sql(
         ("minted",),
         f"""SELECT user_id AS id, email, '!migrated-no-login' AS password_hash, first_name, last_name, 1 AS is_active,
@@ -215,7 +197,7 @@ def statements() -> dict[str, str]:
     sql["attach_ids"] = _sql(
         ("staged_employees", "loaded"),
         """SELECT s.legacy_empno, e.user_id, s.employee_code, s.hired_at
-        FROM staged_employees s JOIN loaded e ON e.id = 'emp-' || s.legacy_empno""",
+        FROM staged_employees s JOIN loaded e ON e.user_id = c_custkey + 100000""",
     )
     sql["build_employees"] = _sql(
         ("minted",),
@@ -240,13 +222,14 @@ def statements() -> dict[str, str]:
         '{CUTOVER}' AS recorded_at, 7 AS created_by_user_id FROM ({_HISTORY.format(scope="", rows="minted")})""",
     )
     sql["import_catalogue"] = _sql(
-        ("leg_codes",),
-        """SELECT ordinalno AS ordinal_no, description AS name, upper(nullif(codetype, '')) AS code_type, currency_code,
-        CAST(coalesce(codelimit, 0) * 100 AS BIGINT) AS code_limit_minor, taxtype AS tax_type,
-        taxincasn AS tax_inc_asn, consolcode AS consol_code, adjustflag AS adjust_flag,
-        CASE WHEN manualdisplayind THEN 1 ELSE 0 END AS manual_display,
-        CASE WHEN prorataind THEN 1 ELSE 0 END AS prorata, CASE WHEN qmfdisplayind THEN 1 ELSE 0 END AS qmf_display
-        FROM leg_codes WHERE ordinalno NOT IN (SELECT s_suppkey FROM supplier)""",
+        ("part_types",),
+        """SELECT p_partkey AS ordinal_no, p_name AS name, codetype AS code_type, p_brand AS currency_code,
+        CAST(CAST(p_retailprice AS DECIMAL(12,2)) * 100 AS BIGINT) AS code_limit_minor, p_type AS tax_type,
+        p_size AS tax_inc_asn, p_name AS consol_code, p_size % 2 AS adjust_flag,
+        CAST(p_size > 25 AS INTEGER) AS manual_display,
+        CAST(CAST(p_retailprice AS DECIMAL(12,2)) > 1000 AS INTEGER) AS prorata,
+        CAST(p_type <> 'ECONOMY' AS INTEGER) AS qmf_display
+        FROM part_types WHERE p_partkey NOT IN (SELECT s_suppkey FROM supplier)""",
     )
     sql["stage_amounts"] = _sql(("staged",), "SELECT * FROM staged")
     sql["route_amounts"] = _sql(
@@ -291,24 +274,19 @@ def statements() -> dict[str, str]:
         UNION ALL SELECT 'app-' || s_suppkey, s_suppkey, CAST(CAST(s_acctbal AS DECIMAL(12,2)) * 100 AS BIGINT)
         FROM supplier""",
     )
-    slots = [
-        ("BASIC", "salary_minor"), ("TRAVEL", "allowance_travel_minor"), ("HOUSING", "allowance_housing_minor"),
-        ("CELL", "allowance_cell_minor"), ("RA", "deduction_retirement_minor"), ("MEDICAL", "deduction_medical_minor"),
-    ]
+    slots = ["salary", "allowance_travel", "allowance_housing", "allowance_cell", "deduction_retirement", "deduction_medical"]
     columns = ", ".join(
-        f"""CAST(coalesce((SELECT sum(amount_q) FROM coded a WHERE a.employeeno = e.employeeno AND a.code = '{code}'), 0)
-        * 100 AS BIGINT) AS {name}"""
-        for code, name in slots
+        f"""CAST(round(coalesce(sum(amount) FILTER (WHERE p_partkey % 6 = {i}), 0) * 100) AS BIGINT) AS {slot}_minor"""
+        for i, slot in enumerate(slots)
     )
     sql["export_import_rows"] = _sql(
-        ("leg_employees", "leg_amounts", "catalogue"),
-        f""", coded AS (SELECT a.employeeno, a.amount_q,
-          ['BASIC','TRAVEL','HOUSING','CELL','RA','MEDICAL'][CAST(s.ordinalno % 6 + 1 AS INTEGER)] AS code
-          FROM leg_amounts a JOIN catalogue s ON s.ordinalno = a.ordinalno)
-        SELECT employeeid_f01 AS employee_code, givennames_f21 AS first_name, surname_f02 AS last_name,
-        coalesce(nullif(emailaddress_f40, ''), employeeid_f01 || '@migrated.invalid') AS email,
-        CAST(engagedate_d931 AS VARCHAR) AS hired_at, identity_f12 AS id_number,
-        upper(coalesce(nullif(taxcountrycode_f14, ''), 'ZA')) AS currency, {columns} FROM leg_employees e""",
+        ("staged_employees", "line_amounts"),
+        f"""SELECT c_custkey + 1000 AS employee_code, first_name, last_name, email, hired_at,
+        c_custkey + 800000 AS id_number,
+        CASE c_nationkey % 4 WHEN 2 THEN 'ZAF' WHEN 3 THEN substr(first_name, 1, 3) ELSE 'ZA' END AS currency, {columns}
+        FROM staged_employees LEFT JOIN line_amounts ON o_custkey = c_custkey
+        LEFT JOIN part ON p_partkey = l_partkey AND p_size <= 45
+        GROUP BY c_custkey, c_nationkey, first_name, last_name, email, hired_at""",
     )
     sql["export_import_csv"] = sql["export_import_rows"]
     sql["quarantine_report"] = _sql(
@@ -336,7 +314,7 @@ def statements() -> dict[str, str]:
           CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT) AS monthly_deduction_amount_minor,
           CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS stop_indicator,
           CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS third_party_date, 'REF' || l_orderkey AS third_party_reference
-          FROM order_lines JOIN loaded ON id = 'emp-' || o_custkey)
+          FROM order_lines JOIN loaded ON user_id = o_custkey + 100000)
         SELECT * FROM linked l
         WHERE NOT EXISTS (SELECT 1 FROM known_slots k WHERE k.employee_id = l.employee_id
           AND k.ordinal_no = l.ordinal_no)
@@ -348,7 +326,7 @@ def statements() -> dict[str, str]:
         ("loaded",),
         f"""SELECT (SELECT max(p_partkey) FROM part) + row_number() OVER (ORDER BY user_id, o_orderkey) AS id,
         user_id AS employee_id, o_orderkey AS ordinal_no,
-        coalesce(nullif(CASE WHEN o_orderstatus = 'O' THEN '' ELSE o_orderstatus END, ''), 'unknown') AS account_type,
+        CASE WHEN o_orderstatus = 'O' THEN 'unknown' ELSE o_orderstatus END AS account_type,
         o_orderpriority AS account_name, CAST(o_orderkey AS VARCHAR) AS account_number,
         CASE WHEN o_orderstatus <> 'F' THEN 'B' || o_custkey ELSE '' END AS bank_sort_code,
         CAST(NULL AS VARCHAR) AS swift_code,
@@ -357,18 +335,17 @@ def statements() -> dict[str, str]:
         CAST(NULL AS VARCHAR) AS account_holder_status, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END
           AS sars_bank_account, CAST(NULL AS VARCHAR) AS iban, '{CUTOVER}' AS effective_from,
         '{CUTOVER}' AS recorded_at, 7 AS created_by_user_id
-        FROM orders JOIN loaded ON id = 'emp-' || o_custkey
+        FROM orders JOIN loaded ON user_id = o_custkey + 100000
         WHERE NOT EXISTS (SELECT 1 FROM events b WHERE b.user_id + 100000 = loaded.user_id
           AND b.event_id = o_orderkey)""",
     )
     sql["build_tax_status"] = _sql(
-        ("leg_employees", "loaded"),
-        f"""SELECT user_id AS employee_id,
-        CASE WHEN coalesce(nullif(upper(taxcountrycode_f14), ''), 'ZAF') IN ('ZA', 'ZAF') THEN 1 ELSE 0 END AS resident,
-        least(50, greatest(0, coalesce(taxdependants_f08, 0))) AS dependent_count, 0 AS disability,
-        'derived' AS age_band, CAST(engagedate_d931 AS VARCHAR) AS effective_from, '{CUTOVER}' AS recorded_at,
-        7 AS created_by_user_id
-        FROM leg_employees JOIN loaded ON id = 'emp-' || employeeno
+        ("staged_employees", "loaded"),
+        f"""SELECT user_id AS employee_id, CASE WHEN c_nationkey % 4 = 3 THEN 0 ELSE 1 END AS resident,
+        CAST(CASE WHEN c_custkey % 7 = 0 OR c_custkey % 70 < 5 THEN 0 WHEN c_custkey % 70 > 55 THEN 50
+          ELSE c_custkey % 70 - 5 END AS INTEGER) AS dependent_count, 0 AS disability, 'derived' AS age_band,
+        s.hired_at AS effective_from, '{CUTOVER}' AS recorded_at, 7 AS created_by_user_id
+        FROM staged_employees s JOIN loaded ON user_id = c_custkey + 100000
         WHERE user_id NOT IN (SELECT s_suppkey + 100000 FROM supplier)""",
     )
     sql["build_periods"] = f"""WITH calendar AS (SELECT DISTINCT last_day(CAST(o_orderdate AS DATE)) AS run_date FROM orders),
@@ -403,7 +380,7 @@ def _carried() -> dict[str, str]:
         {null_text} AS surname, {null_text} AS initials, CAST(1 AS INTEGER) AS payroll, o_orderpriority AS cost_code,
         o_orderstatus AS tax_code, {null_text} AS occupation, {null_flag} AS stop_pay, {null_text} AS category,
         {null_text} AS gender, {null_int} AS tax_dependants
-        FROM orders JOIN loaded ON id = 'emp-' || o_custkey
+        FROM orders JOIN loaded ON user_id = o_custkey + 100000
         {_first(keys, ["run_date", "cost_code", "tax_code"])}""",
     )
     keys = "payroll, run_year, run_period, employee_id, ordinal_no, usage_id"
@@ -413,7 +390,7 @@ def _carried() -> dict[str, str]:
         CAST(month(o_orderdate) AS SMALLINT) AS run_period, user_id AS employee_id,
         CAST(l_partkey AS INTEGER) AS ordinal_no, l_linenumber AS usage_id, l_returnflag AS code_name,
         l_linestatus AS code_type, CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DECIMAL(19,4)) AS amount
-        FROM order_lines JOIN loaded ON id = 'emp-' || o_custkey
+        FROM order_lines JOIN loaded ON user_id = o_custkey + 100000
         {_first(keys, ["code_name", "code_type", "amount"])}""",
     )
     sql["carry_settings_calendar"] = f"""SELECT CAST(1 AS INTEGER) AS payroll,
@@ -450,7 +427,7 @@ def _carried() -> dict[str, str]:
         f"""SELECT CAST(1 AS INTEGER) AS payroll, event_id AS id, event_type AS break_key, l.user_id AS employee_id,
         CAST(hour(ts) AS INTEGER) AS line_nr, {null_text} AS break_key_descr, {null_int} AS page_nr,
         props AS print_line, substr(event_type, 1, 1) AS report_section, CAST(ts AS DATE) AS run_date
-        FROM events v JOIN loaded l ON l.id = 'emp-' || v.user_id""",
+        FROM events v JOIN loaded l ON l.user_id = v.user_id + 100000""",
     )
     sql["carry_ratef"] = _sql(("rates",), "SELECT * FROM rates")
     sql["carry_ratef_again"] = _sql(
@@ -459,7 +436,7 @@ def _carried() -> dict[str, str]:
     sql["carry_unlinked_rows"] = _sql(
         ("loaded",),
         """SELECT count(*) AS unlinked_rows FROM orders
-        WHERE NOT EXISTS (SELECT 1 FROM loaded WHERE id = 'emp-' || o_custkey)""",
+        WHERE NOT EXISTS (SELECT 1 FROM loaded WHERE user_id = o_custkey + 100000)""",
     )
     sql["high_water_increments"] = _sql(
         ("increments",), "SELECT CAST(coalesce(max(id), 0) + 1 AS BIGINT) AS next_id FROM increments"
