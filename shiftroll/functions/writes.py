@@ -20,6 +20,13 @@ def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumns(checked) if checked else df
 
 
+def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise when a key occurs twice, as a primary key would."""
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").first()
+    if repeated is not None:
+        raise ValueError(f"repeated key {', '.join(f'{k}={repeated[k]}' for k in keys)}")
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | None = None) -> DataFrame:
     """Keep the smallest row of each key.
 

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from shiftroll.functions.joins import lookup_join
 from shiftroll.functions.keys import high_water, max_id
+from shiftroll.functions.writes import require_unique
 from shiftroll.operators import amounts, derive, employees, slots
 from shiftroll.operators.carried_tables import CARRIED, CarrySpec
 from shiftroll.operators.carry import carry_table
@@ -73,6 +74,7 @@ class Migration:
 
     def load_employees(self) -> None:
         staged = employees.stage_employees(self.source("employees"), ["tenant", "target_payroll_id"])
+        require_unique(staged, [*self.p.scope, "legacy_empno"])
         minted = employees.mint_users(staged, max_id(self.existing("core_users")), self.p)
         # numbered rows come sorted by tenant
         self.add("core_users", minted.users, clustered=True)

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shiftroll.functions.writes import first_per_key, insert_if_absent, insert_not_exists
+from shiftroll.functions.writes import first_per_key, insert_if_absent, insert_not_exists, require_unique
 
 
 def batch(spark):
@@ -31,6 +31,12 @@ def test_key_without_value_fails_the_job(spark):
         insert_if_absent(df, None, ["k"]).collect()
 
 
+def test_repeated_key_is_refused(spark):
+    with pytest.raises(ValueError, match="k="):
+        require_unique(batch(spark), ["k"])
+    require_unique(batch(spark), ["k", "v"])
+
+
 def test_rank_filter_runs_before_the_shuffle(spark):
     plan = first_per_key(spark.range(10).withColumn("k", F.col("id") % 2), ["k"])
     text = plan._jdf.queryExecution().executedPlan().toString()
