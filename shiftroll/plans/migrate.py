@@ -112,7 +112,9 @@ class Migration:
         self.refresh_salaries()
 
     def refresh_salaries(self) -> None:
-        earnings = self.existing("employee_amount_earnings").select("tenant", "employee_id", "amount_minor")
+        earnings = self.existing("employee_amount_earnings")
+        if earnings is None:
+            earnings = self.spark.createDataFrame([], "tenant string, employee_id long, amount_minor long")
         refreshed = amounts.refresh_salary(self.existing("employees"), earnings, self.p.scope)
         replace_partitions(materialise(refreshed), self.path("employees"), ["tenant"])
 

@@ -29,8 +29,12 @@ def read_driver_table(spark: SparkSession, folder: str, table: str, schema: str)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written.  A write without rows leaves just a marker file."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return False
+    return any(not child.getPath().getName().startswith(("_", ".")) for child in files.listStatus(target))
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), clustered: bool = False) -> None:

@@ -32,6 +32,10 @@ def migration(spark, tmp_path_factory):
         amounts = [(1, n, Decimal(n + 10 * shift)) for n in range(1, 7)]
         put("employee_amounts", company, [*amounts, (1, 9, Decimal(1)), (44, 1, Decimal(2)), (1, 1, Decimal(0))],
             "employeeno int, ordinalno int, amount_q decimal(19,4)")
+        put("employee_accounts", company, [(1, 1, "", "n", "1", None, "usd", "m", "s", "p", "h", True, "i")],
+            "employeeno int, ordinalno int, accounttype_g1 string, accountname_g2 string, accountnumber_g3 string, "
+            "branchcode_g4 string, accountcurrency_g10 string, paymode_g0 string, sourcebankaccount_g5 string, "
+            "splitpaycode_g6 string, accountholderstatus_g7 string, sarsbankaccount_g8 boolean, accountiban_g9 string")
         put("settings_employee_alpha", company, [(1, "n")], "ordinalno int, alphaname string")
         put("employee_alpha", company, [(1, 1, "v"), (1, 1, "w"), (50, 1, "x")],
             "employeeno int, ordinalno int, reference_v string")
@@ -91,12 +95,16 @@ def test_run(migration, rows):
         ("tenant_two", 12, "2026-07-31", "closed", "KE"), ("tenant_two", 12, "2026-08-31", "open", "KE"),
     ]
     assert read("employee_tax_status").count() == 3
+    assert rows(read("employee_bank_details"), "tenant", "id", "employee_id", "account_type", "currency") == [
+        ("tenant_one", 1, 1, "unknown", "USD"), ("tenant_two", 1, 3, "unknown", "USD"),
+    ]
 
 
 def test_second_run(migration):
     """Keyed and guarded tables stay as they are; unguarded ones repeat, as documented."""
     keyed = ["employees", "employee_alpha", "employee_amount_balances", "employee_tax_status", "payroll_periods",
-             "employee_increments", "settings_calendar", "settings_employee_amounts"]
+             "employee_increments", "settings_calendar", "settings_employee_amounts",
+             "employee_bank_details"]
     before = {t: migration.existing(t).count() for t in keyed}
     migration.run()
     assert {t: migration.existing(t).count() for t in keyed} == before
@@ -104,3 +112,33 @@ def test_second_run(migration):
     assert contracts.count() == 6
     assert contracts.filter("tenant = 'tenant_one'").select("id").distinct().count() == 4
     assert migration.existing("core_users").agg(F.max("id")).first()[0] == 6
+
+
+def test_destinations_without_rows(spark, tmp_path):
+    """Nothing to route to most tables: later runs find them empty, not broken."""
+    legacy = str(tmp_path / "legacy")
+    tables = {
+        "employees": ([person(1)], COLUMNS),
+        "settings_employee_amounts": ([(3, "odd", "H", "1", None, "", "", "", "", True, True, True)], SETTINGS),
+        "employee_amounts": ([(1, 3, Decimal(2))], "employeeno int, ordinalno int, amount_q decimal(19,4)"),
+    }
+    for table, (data, columns) in tables.items():
+        spark.createDataFrame(data, columns).write.parquet(f"{legacy}/{table}/source_schema=co_a")
+    mapped = migration_map(spark, [("co_a", "pay_a", "one", 11, 1)])
+    migration = Migration(spark, legacy, str(tmp_path / "target"), mapped, "2026-08-15T10:00:00+02:00")
+    for _ in range(2):
+        migration.load_employees()
+        migration.load_amounts()
+    assert migration.existing("employee_amount_earnings") is None
+    assert migration.existing("employee_amount_deprecated").count() == 1
+    assert migration.existing("employees").first()["salary_current_minor"] == 0
+
+
+def test_repeated_legacy_number_stops_the_run(spark, tmp_path):
+    legacy = str(tmp_path / "legacy")
+    spark.createDataFrame([person(1), person(1)], COLUMNS).write.parquet(f"{legacy}/employees/source_schema=co_a")
+    mapped = migration_map(spark, [("co_a", "pay_a", "one", 11, 1)])
+    migration = Migration(spark, legacy, str(tmp_path / "target"), mapped, "2026-08-15T10:00:00+02:00")
+    with pytest.raises(ValueError, match="legacy_empno=1"):
+        migration.load_employees()
+    assert migration.existing("core_users") is None
