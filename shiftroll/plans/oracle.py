@@ -433,6 +433,25 @@ def _carried() -> dict[str, str]:
     sql["carry_ratef_again"] = _sql(
         ("rates",), "SELECT * FROM rates WHERE id NOT IN (SELECT s_suppkey FROM supplier)"
     )
+    sql["carry_settings_split_payment_code"] = "SELECT DISTINCT c_mktsegment AS split_pay_code FROM customer"
+    sql["carry_employee_thirdparty_transact"] = _sql(
+        ("order_lines", "loaded"),
+        f"""SELECT l.user_id AS employee_id, CAST(l_orderkey AS INTEGER) AS trans_seq_no,
+        CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DECIMAL(19,4)) AS amount,
+        CAST(l_linenumber AS SMALLINT) AS class_no, l_returnflag AS code, {null_text} AS cost_code,
+        CAST(o_orderdate AS DATE) AS date_value, CAST(l_suppkey AS INTEGER) AS user_id
+        FROM order_lines JOIN loaded l ON l.user_id = o_custkey + 100000
+        QUALIFY row_number() OVER (PARTITION BY l.user_id, l_orderkey
+          ORDER BY l_extendedprice, l_linenumber, l_returnflag, l_suppkey) = 1""",
+    )
+    sql["carry_run_history_alpha"] = _sql(
+        ("leg_slots", "loaded"),
+        f"""SELECT CAST(1 AS INTEGER) AS payroll, CAST(year(date_d0) AS SMALLINT) AS run_year,
+        CAST(month(date_d0) AS SMALLINT) AS run_period, user_id AS employee_id, ordinalno AS ordinal_no,
+        min(reference_v) AS reference, {null_text} AS ref_name
+        FROM leg_slots JOIN loaded ON user_id = employeeno + 100000
+        GROUP BY ALL""",
+    )
     sql["carry_unlinked_rows"] = _sql(
         ("loaded",),
         """SELECT count(*) AS unlinked_rows FROM orders

@@ -263,6 +263,9 @@ CARRY_SOURCES: dict[str, str] = {
     "settings_table_values": "table_values",
     "pay_run_tax_audit": "tax_audit",
     "ratef": "rates",
+    "settings_split_payment_code": "split_codes",
+    "employee_thirdparty_transact": "thirdparty_transactions",
+    "run_history_alpha": "run_texts",
 }
 
 

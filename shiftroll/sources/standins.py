@@ -404,6 +404,29 @@ class Standins:
             F.col("p_retailprice").cast("decimal(19,10)").alias("ratevalue"),
         )
 
+    def split_codes(self) -> DataFrame:
+        return self.table("customer").select(F.col("c_mktsegment").alias("splitpaycode"))
+
+    def thirdparty_transactions(self) -> DataFrame:
+        return self._order_lines("o_orderdate").select(
+            F.col("o_custkey").alias("employeeno"),
+            F.col("l_orderkey").alias("transseqno"),
+            money("l_extendedprice").alias("amount"),
+            F.col("l_linenumber").alias("classno"),
+            F.col("l_returnflag").alias("code"),
+            F.col("o_orderdate").cast("date").alias("datevalue"),
+            F.col("l_suppkey").alias("user_id"),
+        )
+
+    def run_texts(self) -> DataFrame:
+        return self.slots().select(
+            F.year("date_d0").alias("runyear"),
+            F.month("date_d0").alias("runperiod"),
+            "employeeno",
+            "ordinalno",
+            F.col("reference_v").alias("reference"),
+        )
+
     # ---- effective-dated rows --------------------------------------------
 
     def dated_rows(self) -> DataFrame:
@@ -500,6 +523,21 @@ DICTIONARY: dict[str, tuple[str, list[DictionaryColumn]]] = {
         "company",
         _columns("UifCoNo INTEGER, ContactEmail TEXT, TaxNo TEXT, TradingName TEXT, UifNo TEXT"),
     ),
+    "settings_split_payment_code": ("company", _columns("SplitPayCode TEXT 1")),
+    "employee_thirdparty_transact": (
+        "company",
+        _columns(
+            "EmployeeNo INTEGER 1, TransSeqNo INTEGER 2, Amount MONEY, ClassNo SMALLINT, Code TEXT, CostCode TEXT, "
+            "DateValue DATE, User_Id INTEGER"
+        ),
+    ),
+    "run_history_alpha": (
+        "payroll",
+        _columns(
+            "RunYear SMALLINT 1, RunPeriod SMALLINT 2, EmployeeNo INTEGER 3, OrdinalNo INTEGER 4, Reference TEXT, "
+            "RefName TEXT"
+        ),
+    ),
     "settings_table_values": ("payroll", _columns("OrdinalNo INTEGER 1, Row INTEGER 2, Item TEXT")),
     "pay_run_tax_audit": (
         "payroll",
