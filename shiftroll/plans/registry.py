@@ -364,7 +364,7 @@ def _tenant_staged(s: Standins) -> DataFrame:
     catalogue = s.catalogue().withColumn(
         "tenant", F.explode(F.array(*[F.lit(t["tenant"]) for t in tenants.collect()]))
     )
-    homes = routes.attach_route(s.employees(), s.region_routes(), "source_schema").select(
+    homes = routes.attach_route(s.companies(), s.region_routes(), "source_schema").select(
         "tenant", (F.col("employeeno") + USER_BASE).alias("user_id")
     )
     loaded = s.loaded_employees(hired=True).join(homes, "user_id")

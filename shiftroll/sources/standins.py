@@ -302,14 +302,17 @@ class Standins:
             (key + 10).alias("legacy_payroll_number"),
         )
 
-    def tenant_amounts(self) -> DataFrame:
-        """Amounts with the company of their employee."""
-        homes = lookup_join(
+    def companies(self) -> DataFrame:
+        """Company of each employee."""
+        return lookup_join(
             self.table("customer").select("c_custkey", "c_nationkey"),
             self.table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"),
             ["c_nationkey"],
         ).select(F.col("c_custkey").alias("employeeno"), F.concat(F.lit("co_"), "n_regionkey").alias("source_schema"))
-        return lookup_join(self.amounts(), homes, ["employeeno"])
+
+    def tenant_amounts(self) -> DataFrame:
+        """Amounts with the company of their employee."""
+        return lookup_join(self.amounts(), self.companies(), ["employeeno"])
 
     # ---- carried tables --------------------------------------------------
 
