@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shiftroll.llm import jaccard_join, mixing, sharding
+from shiftroll.llm import decontaminate, jaccard_join, language, mixing, sharding, token_store
 from shiftroll.llm.ship import ship
 
+#: The tokenizer of the token output, and the id that ends a document.
+TOKENIZER, END_ID = public_tokenizers.path("word_bpe_49k.json"), 1
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -25,10 +30,26 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.links_of(table(spark, sf_dir, "documents"), jaccard_join.Rule(3, 90))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "copies")
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    filters = language.learned(docs.filter(~language.is_held_out("doc_id")))
+    return language.identify(docs.select("doc_id", "text"), filters).select(
+        "doc_id", language.is_held_out("doc_id").alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.encoded(table(spark, sf_dir, "documents"), TOKENIZER, END_ID)
+
+
 def registered() -> dict[str, Query]:
     found = {name: f for name, f in globals().items() if name.startswith("op")}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
