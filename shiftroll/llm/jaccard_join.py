@@ -13,19 +13,23 @@ the same for all must meet.  The order used here puts rare shingles first:
 Counted shingles of one class alone need no table: they come first and meet
 nothing.  A document whose prefix is full of them has no near duplicate.
 
-Documents with equal size and equal prefix form one group.  Groups that share a
-prefix shingle, directly or through others, form a cluster, found by label
-propagation over (group, shingle) rows, which are never paired.  A cluster's
-members come together once, with their texts; there groups are paired, pairs
-of groups are filtered by size and by what their prefixes still allow, members
-are expanded and verified, and links are united to components.  Clusters of
-more than BLOCK_MEMBERS members are dealt out as pairs of blocks, so no task
-holds more than two blocks, and their links are united by label propagation.
+Documents with equal size and equal prefix form one group.  A hub is a prefix
+shingle together with a band of sizes, so that only groups whose sizes allow a
+link meet in one.  Groups that share hubs, directly or through others, form a
+cluster, found by label propagation over (group, hub) rows, which are never
+paired.  The members of a unit, which is a cluster, or each hub of a long
+chain of groups, come together with their texts; there groups are paired,
+pairs of groups are filtered by size and by what their prefixes still allow,
+members are expanded and verified, and links are united to components.  Units
+of more than BLOCK_MEMBERS members are dealt out as pairs of blocks, so no
+task holds more than two blocks.  Links of different units are united by label
+propagation.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from itertools import groupby
 from typing import NamedTuple
 
@@ -155,15 +159,15 @@ class Union:
             self.up[max(i, j)] = min(i, j)
 
 
-def link_groups(sets: Sets, rule: Rule, weights: np.ndarray, apart: np.ndarray | None = None) -> tuple[Union, np.ndarray]:
+def link_groups(sets: Sets, rule: Rule, weights: np.ndarray, allowed: Callable | None = None) -> tuple[Union, np.ndarray]:
     """Unite linked members; the sum of the weights that each links to.
 
     Members of equal size and prefix are a group.  Groups pair up through
     shared prefix tokens; a pair goes on if sizes allow a link and if the
     overlap of the prefixes plus what may follow them reaches the least
     overlap.  Its members are then verified against each other by an exact
-    count of common tokens.  With ``apart``, only members of different blocks
-    are compared.
+    count of common tokens.  ``allowed`` says which of an array of pairs are to
+    be compared here.
     """
     m = len(sets.ids)
     union, links = Union(m), np.zeros(m, dtype=np.int64)
@@ -182,7 +186,7 @@ def link_groups(sets: Sets, rule: Rule, weights: np.ndarray, apart: np.ndarray |
             holders.setdefault(t, []).append(g)
     held = {t: np.array(gs) for t, gs in holders.items()}
     place = {(t, g): k for g, prefix in enumerate(prefixes) for k, t in enumerate(prefix.tolist())}
-    compare = _Compare(sets, rule, union, links, weights, apart)
+    compare = _Compare(sets, rule, union, links, weights, allowed)
     for g, prefix in enumerate(prefixes):
         if len(groups[keys[g]]) > 1:
             compare.pair(groups[keys[g]], groups[keys[g]])
@@ -212,8 +216,8 @@ def link_groups(sets: Sets, rule: Rule, weights: np.ndarray, apart: np.ndarray |
 class _Compare:
     """Exact verification of members: many pairs at once by a matrix product, few by merging sorted tokens."""
 
-    def __init__(self, sets: Sets, rule: Rule, union: Union, links: np.ndarray, weights: np.ndarray, apart: np.ndarray | None):
-        self.sets, self.rule, self.union, self.links, self.weights, self.apart = sets, rule, union, links, weights, apart
+    def __init__(self, sets: Sets, rule: Rule, union: Union, links: np.ndarray, weights: np.ndarray, allowed: Callable | None):
+        self.sets, self.rule, self.union, self.links, self.weights, self.allowed = sets, rule, union, links, weights, allowed
         self.asked: list[tuple[int, int]] = []
 
     def pair(self, left: list[int], right: list[int]) -> None:
@@ -229,8 +233,10 @@ class _Compare:
             return
         pairs = np.array(self.asked)
         self.asked = []
-        if self.apart is not None:
-            pairs = pairs[self.apart[pairs[:, 0]] != self.apart[pairs[:, 1]]]
+        if self.allowed is not None:
+            pairs = pairs[self.allowed(pairs)]
+            if not len(pairs):
+                return
         common = self._common(pairs)
         both = self.sets.sizes[pairs[:, 0]] + self.sets.sizes[pairs[:, 1]] - common
         for i, j in pairs[100 * common >= self.rule.percent * both].tolist():
@@ -256,25 +262,44 @@ class _Compare:
         return product[numbers[:, 0], numbers[:, 1]].astype(np.int64)
 
 
+def _allowed(a: int, b: int, token: int | None, band: int, blocks: list[int], bands: list[int], prefixes: list[list[int]]):
+    """Pairs to compare in blocks a and b of a unit; in a hub, those for which it is the first they share."""
+    blocks, bands = np.array(blocks), np.array(bands)
+
+    def of(pairs: np.ndarray) -> np.ndarray:
+        i, j = pairs[:, 0], pairs[:, 1]
+        good = np.ones(len(pairs), dtype=bool) if a == b else blocks[i] != blocks[j]
+        if token is not None:
+            good &= np.maximum(bands[i], bands[j]) == band
+            sets = {k: set(prefixes[k]) for k in np.unique(pairs[good]).tolist()}
+            for k in np.flatnonzero(good).tolist():
+                good[k] = min(sets[int(i[k])] & sets[int(j[k])], default=None) == token
+        return good
+
+    return None if a == b and token is None else of
+
+
 def _verify(rule: Rule):
-    """Links inside the clusters, or pairs of blocks of one, that the sorted rows hold one after the other."""
+    """Links inside the units, or pairs of blocks of one, that the sorted rows hold one after the other."""
 
     def run(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in groupby(_rows_of(batches_in), key=lambda r: r[:3]):
-            cls, members, weights, blocks = [], [], [], []
-            for _, a, b, c, s1, copies, block, text in rows:
+        for (_, a, b, token, band), rows in groupby(_rows_of(batches_in), key=lambda r: r[:5]):
+            cls, members, weights, blocks, bands, prefixes = [], [], [], [], [], []
+            for *_, c, s1, copies, block, own_band, prefix, text in rows:
                 hashes, _ = word_hashes([text], lower=True)
                 found = shingles(hashes, rule.words)
                 # an id may repeat with another text, or with the same one
-                if _digest(found)[0] == s1 and (not cls or c not in cls):
+                if _digest(found)[0] == s1 and not (cls and c == cls[-1]):
                     cls.append(c)
                     members.append(found)
                     weights.append(copies)
                     blocks.append(block)
+                    bands.append(own_band)
+                    prefixes.append(prefix or [])
             if not cls:
                 continue
             sets = _local(np.array(cls), members)
-            union, links = link_groups(sets, rule, np.array(weights), np.array(blocks) if a != b else None)
+            union, links = link_groups(sets, rule, np.array(weights), _allowed(a, b, token, band, blocks, bands, prefixes))
             labels = [cls[union.root(i)] for i in range(len(cls))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cls, pa.int64()), pa.array(labels, pa.int64()), pa.array(links, pa.int64())], names=["cls", "label", "links"]
@@ -283,9 +308,14 @@ def _verify(rule: Rule):
     return run
 
 
+_UNIT = ["unit", "a", "b", "token", "band"]
+_MEMBER = ["cls", "s1", "copies", "block", "own_band", "prefix"]
+
+
 def _rows_of(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch, texts in batches(rows, 7):
-        yield from zip(*[batch.column(k).to_pylist() for k in range(7)], texts, strict=True)
+    n = len(_UNIT) + len(_MEMBER)
+    for batch, texts in batches(rows, n):
+        yield from zip(*[batch.column(k).to_pylist() for k in range(n)], texts, strict=True)
 
 
 # stands for a missing id in joins
@@ -347,19 +377,10 @@ def links_of(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     read.
     """
     members, classes = classes_of(docs, rule)
-    prefixes = materialise(prefixes_of(classes, rule))
-    group = ["n", "p1", "p2"]
-    keyed = prefixes.withColumns({"p1": F.xxhash64("prefix"), "p2": F.hash("prefix")})
-    groups = materialise(keyed.groupBy(*group).agg(F.min("cls").alias("node"), F.first("prefix").alias("prefix")))
-    edges = materialise(groups.select("node", F.explode("prefix").alias("hub")))
-    clusters = groups.select("node", *group).join(components_of(edges), "node").select(*group, F.col("label").alias("cluster"))
-    in_cluster = materialise(keyed.select("cls", *group).join(clusters, group).select("cls", "cluster"))
-    sizes = in_cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    candidates = materialise(in_cluster.join(sizes, "cluster").join(classes.select("cls", "id", "s1", "copies"), "cls"))
-    linked = materialise(_verified(docs, candidates, rule))
-    if candidates.filter(F.col("members") > BLOCK_MEMBERS).isEmpty():
+    linked = materialise(_verified(docs, units_of(classes, rule), rule))
+    if linked.groupBy("cls").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").isEmpty():
         labels = linked
-    else:  # a class has one row from each pair of blocks
+    else:  # a class was in several units or pairs of blocks
         united = components_of(linked.select(F.col("cls").alias("node"), F.col("label").alias("hub")).distinct())
         labels = linked.groupBy("cls").agg(F.sum("links").alias("links")).join(united.withColumnRenamed("node", "cls"), "cls")
     told = materialise(
@@ -380,8 +401,51 @@ def links_of(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     return with_words.select(*columns).unionByName(without.select(*columns))
 
 
+def units_of(classes: DataFrame, rule: Rule) -> DataFrame:
+    """id, cls, s1, copies, own_band, prefix and the units of each class that may link to another."""
+    prefixes = materialise(prefixes_of(classes, rule))
+    # sizes that allow a link are at most one band apart
+    own_band = F.floor(F.log("n") / math.log(100 / rule.percent) + 1e-9).cast("long")
+    group = ["n", "p1", "p2"]
+    keyed = prefixes.withColumns({"p1": F.xxhash64("prefix"), "p2": F.hash("prefix"), "own_band": own_band})
+    groups = materialise(
+        keyed.groupBy(*group, "own_band").agg(
+            F.min("cls").alias("node"), F.first("prefix").alias("prefix"), F.count(F.lit(1)).alias("size")
+        )
+    )
+    met = (
+        groups.select("node", "size", "own_band", F.explode("prefix").alias("token"))
+        .withColumn("band", F.explode(F.array(F.col("own_band"), F.col("own_band") + 1)))
+        .withColumn("hub", F.xxhash64("token", "band"))
+        .select("node", "size", "token", "band", "hub")
+    )
+    hubs = met.groupBy("hub").agg(F.sum("size").alias("hub_members")).filter("hub_members > 1")
+    edges = materialise(met.join(hubs, "hub"))
+    labels = components_of(edges.select("node", "hub"))
+    blocks_of = lambda c: F.ceil(F.col(c) / BLOCK_MEMBERS).cast("long")
+    chained = edges.withColumn("rows", F.col("size") * blocks_of("hub_members")).groupBy("node").agg(F.sum("rows").alias("rows"))
+    sized = labels.join(chained, "node").join(groups.select("node", "size"), "node")
+    clusters = sized.groupBy("label").agg(F.sum("size").alias("members"), F.sum("rows").alias("rows"))
+    # rows to deal out: the whole cluster's in blocks, or each hub's
+    placed = labels.join(clusters.withColumn("whole", F.col("members") * blocks_of("members") <= F.col("rows")), "label")
+    nothing = F.lit(None).cast("long")
+    whole = placed.filter("whole").select(
+        "node", F.struct(F.col("label").alias("unit"), "members", nothing.alias("token"), nothing.alias("band")).alias("u")
+    )
+    by_hub = edges.join(placed.filter("not whole").select("node"), "node").select(
+        "node", F.struct(F.col("hub").alias("unit"), F.col("hub_members").alias("members"), "token", "band").alias("u")
+    )
+    units = whole.unionByName(by_hub).groupBy("node").agg(F.collect_list("u").alias("units"))
+    of_group = groups.select(*group, "node").join(units, "node").drop("node")
+    return materialise(
+        keyed.join(of_group, group)
+        .select("cls", "own_band", F.when(F.col("units")[0]["token"].isNotNull(), F.col("prefix")).alias("prefix"), "units")
+        .join(classes.select("cls", "id", "s1", "copies"), "cls")
+    )
+
+
 def _verified(docs: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame:
-    """cls, label, links inside each small cluster, and inside each pair of blocks of the large ones."""
+    """cls, label, links inside each unit, or inside each pair of blocks of the large ones."""
     n_blocks = F.ceil(F.col("members") / BLOCK_MEMBERS).cast("long")
     with_all = F.transform(
         F.sequence(F.lit(0).cast("long"), n_blocks - 1),
@@ -389,13 +453,15 @@ def _verified(docs: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame:
     )
     dealt = (
         lookup_join(docs.select(_id(), "text"), candidates, ["id"])
+        .select("*", F.inline("units"))
         .withColumn("block", F.pmod(F.xxhash64("cls"), n_blocks).cast("long"))
         .withColumn("pair", F.explode(with_all))
-        .select("cluster", "pair.a", "pair.b", "cls", "s1", "copies", "block", "text")
+        .select("unit", "pair.a", "pair.b", "token", "band", *_MEMBER, "text")
     )
-    keys = ["cluster", "a", "b"]
     return (
-        dealt.repartition(*keys).sortWithinPartitions(*keys, "cls").mapInArrow(_verify(rule), "cls long, label long, links long")
+        dealt.repartition("unit", "a", "b")
+        .sortWithinPartitions("unit", "a", "b", "cls")
+        .mapInArrow(_verify(rule), "cls long, label long, links long")
     )
 
 

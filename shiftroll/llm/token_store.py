@@ -15,11 +15,12 @@ that Spark writes in order, so they live wherever Spark writes.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, filterfalse
 from typing import NamedTuple
 
 import numpy as np
@@ -42,41 +43,83 @@ BLOCK_BYTES = 256 << 10
 SAMPLE_DOCUMENTS = 1000
 DICTIONARY_BYTES = 64 << 10
 #: Longer pieces between white space are not kept.
-KEPT_PIECE, KEPT_PIECES = 64, 400_000
+KEPT_PIECE, KEPT_PIECES, KEPT_WORDS = 64, 1_000_000, 1_000_000
 NO_ID = -(1 << 63)
 BLOCKS = "part int, block int, before long, documents int, ids long, first_id long, last_id long, content binary"
 
 
+#: A word of letters with marks after it: two pieces to the tokenizer, whatever stands around them.
+_SIMPLE = re.compile(r"([a-z\u00e0-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
+
+
 class Codec:
     """Ids of texts, as bytes.
 
     White space separates tokens and changes nothing else, so a text is encoded
     piece by piece between ASCII white space; pieces seen before are looked up.
+    New words of plain letters are encoded many at a time: each is one word to
+    the tokenizer and ends with a token that ends a word.
     """
 
     def __init__(self, tokenizer: str, end_id: int):
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = 2 if max(*vocabulary.values(), end_id) < 1 << 16 else 4
         self.end = np.array([end_id], dtype=self.dtype).tobytes()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        self.joins = bool(suffix)
         self.known: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
     @property
     def dtype(self) -> str:
         return f"<u{self.width}"
 
+    def _one(self, piece: str) -> bytes:
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+
+    def _learn_words(self, words: list[str]) -> None:
+        for a in range(0, len(words), 256):
+            some = words[a : a + 256]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype=self.dtype)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(some):
+                self.words.update((w, self._one(w)) for w in some)
+                continue
+            data, at = ids.tobytes(), 0
+            for word, end in zip(some, (ends * self.width).tolist(), strict=True):
+                self.words[word] = data[at:end]
+                at = end
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        if len(self.words) > KEPT_WORDS:
+            self.words.clear()
+        simple, other = [], []
+        for piece in pieces:
+            text = piece.decode("utf-8", "replace")
+            found = _SIMPLE.fullmatch(text.lower()) if self.joins and len(piece) <= KEPT_PIECE else None
+            if found:
+                simple.append((piece, found[1], found[2]))
+            else:
+                other.append((piece, text))
+        self._learn_words(list({w for _, w, _ in simple}.difference(self.words)))
+        for marks in {m for _, _, m in simple}.difference(self.marks):
+            self.marks[marks] = self._one(marks)
+        self.known.update((piece, self.words[word] + self.marks[marks]) for piece, word, marks in simple)
+        self.known.update((piece, self._one(text)) for piece, text in other)
+
     def encode(self, texts: Sequence[bytes | None]) -> list[bytes]:
         split = [(t or b"").split() for t in texts]
-        known = self.known
-        new = list({p for pieces in split for p in pieces}.difference(known))
-        if len(known) + len(new) > KEPT_PIECES:
+        known, new = self.known, set()
+        if len(known) > KEPT_PIECES:
             known.clear()
-            new = list({p for pieces in split for p in pieces})
-        for a in range(0, len(new), 1024):
-            some = new[a : a + 1024]
-            encoded = self.tokenizer.encode_batch([p.decode("utf-8", "replace") for p in some], add_special_tokens=False)
-            for piece, ids in zip(some, encoded, strict=True):
-                known[piece] = np.array(ids.ids, dtype=self.dtype).tobytes()
-        out = [b"".join([known[p] for p in pieces]) + self.end for pieces in split]
+        for pieces in split:
+            new.update(filterfalse(known.__contains__, pieces))
+        self._learn(list(new))
+        out = [b"".join(map(known.__getitem__, pieces)) + self.end for pieces in split]
         for piece in new:
             if len(piece) > KEPT_PIECE:
                 del known[piece]
