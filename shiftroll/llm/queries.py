@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftroll.llm import chat, decontaminate, jaccard_join, language, mixing, quality, sharding, token_store
+from shiftroll.llm import chat, decontaminate, jaccard_join, language, mixing, quality, sharding, token_store, toxicity
 from shiftroll.llm.ship import ship
 
 #: The tokenizer of the token output, and the id that ends a document.
@@ -51,6 +51,11 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.conversations(chat.as_trees(rows)))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.learned(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source", "copies")
 
