@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftroll.llm import chat, decontaminate, jaccard_join, language, mixing, quality, sharding, token_store, toxicity
+from shiftroll.llm import chat, decontaminate, html_blocks, jaccard_join, language, mixing, quality, sharding, token_store, toxicity
 from shiftroll.llm.ship import ship
 
 #: The tokenizer of the token output, and the id that ends a document.
@@ -31,6 +31,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(docs, quality.learned(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_blocks.extracted(pages, html_blocks.learned(pages))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.links_of(table(spark, sf_dir, "documents"), jaccard_join.Rule(3, 90))
 
