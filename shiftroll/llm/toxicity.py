@@ -30,7 +30,7 @@ WINDOW, STRIDE = 48, 32
 BITS = 18
 GRAMS = (4, 6)
 INPUTS, HIDDEN = 4, 8
-ROUNDS, EPOCHS, BATCH, RATE = 2, 6, 128, 0.01
+ROUNDS, EPOCHS, LEAST_STEPS, BATCH, RATE = 2, 6, 400, 128, 0.01
 WINDOWS_AT_ONCE = 2048
 SLICE = 1 << 20
 
@@ -262,8 +262,9 @@ def train(rows: list[tuple[bytes, int]]) -> Model:
         worst = order[np.unique(owner[order], return_index=True)[1]]
         others = rng.permutation(fitted[y_all[fitted] == 0])[: len(worst)]
         chosen = np.concatenate([worst, others])
-        for _ in range(EPOCHS):
-            for some in np.array_split(rng.permutation(chosen), max(1, len(chosen) // BATCH)):
+        parts = max(1, len(chosen) // BATCH)
+        for _ in range(max(EPOCHS, -(-LEAST_STEPS // (ROUNDS * parts)))):
+            for some in np.array_split(rng.permutation(chosen), parts):
                 x, y = padded[places[some].T], y_all[some]
                 slopes = _slopes(net, x, (places[some].T >= 0).astype(np.float32), y, np.where(y == 1, 0.5 / share, 0.5 / (1 - share)))
                 step += 1
