@@ -282,7 +282,8 @@ def digest(spark: SparkSession, store: Store) -> DataFrame:
 
 def document(spark: SparkSession, store: Store, doc_id: int) -> list[np.ndarray]:
     """The ids of the documents with this id; only blocks whose range holds it are read."""
-    near = store.blocks(spark).filter((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id)).select("content").collect()
+    starts = (F.col("first_id") <= doc_id) | F.col("first_id").isNull()  # rows without an id come first
+    near = store.blocks(spark).filter(starts & (F.col("last_id") >= doc_id)).select("content").collect()
     dictionary = read_dictionary(spark, store.path)
     found = [Block(bytes(r["content"]), dictionary) for r in near]
     return [b.ids(int(k)) for b in found for k in np.flatnonzero(b.doc_ids == doc_id)]
