@@ -27,6 +27,15 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"repeated key {', '.join(f'{k}={repeated[k]}' for k in keys)}")
 
 
+def require_absent(new: DataFrame, existing: DataFrame | None, keys: Sequence[str]) -> None:
+    """Raise when a key of ``new`` is in ``existing`` already, as a primary key would."""
+    if existing is None:
+        return
+    found = new.select(*keys).join(existing.select(*keys), list(keys), "left_semi").first()
+    if found is not None:
+        raise ValueError(f"key in use {', '.join(f'{k}={found[k]}' for k in keys)}")
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] | None = None) -> DataFrame:
     """Keep the smallest row of each key.
 

@@ -33,7 +33,11 @@ PERIOD_OPEN = "open"
 PERIOD_KIND = "regular"
 
 # order of rows that share employee and ordinal
-_ACCOUNT_ORDER = ["employee_id", "ordinal_no", "account_number", "account_type", "account_name", "bank_sort_code"]
+# a total order, so that the ids of a repeated run are the same
+_ACCOUNT_ORDER = [
+    "employee_id", "ordinal_no", "account_number", "account_type", "account_name", "bank_sort_code", "currency", "pay_mode",
+    "source_bank_account", "split_pay_code", "account_holder_status", "sars_bank_account", "iban",
+]
 
 
 def import_bank_details(

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from shiftroll.functions.joins import lookup_join
 from shiftroll.functions.keys import high_water, max_id
-from shiftroll.functions.writes import require_unique
+from shiftroll.functions.writes import require_absent, require_unique
 from shiftroll.operators import amounts, derive, employees, slots
 from shiftroll.operators.carried_tables import CARRIED, CarrySpec
 from shiftroll.operators.carry import carry_table
@@ -48,7 +48,14 @@ class Migration:
     # ---- tables ----------------------------------------------------------
 
     def source(self, table: str, side: str = "company") -> DataFrame:
-        rows = self.spark.read.option("basePath", f"{self.legacy}/{table}").parquet(f"{self.legacy}/{table}")
+        folder, inference = f"{self.legacy}/{table}", "spark.sql.sources.partitionColumnTypeInference.enabled"
+        known = self.spark.conf.get(inference)
+        self.spark.conf.set(inference, "false")  # a schema named 007 is a name
+        try:
+            # companies may differ in columns; types that differ are an error
+            rows = self.spark.read.option("basePath", folder).option("mergeSchema", "true").parquet(folder)
+        finally:
+            self.spark.conf.set(inference, known)
         return routes.attach_route(rows, self.route_map, SOURCE_SCHEMA, side).drop(SOURCE_SCHEMA)
 
     def has_source(self, table: str) -> bool:
@@ -76,9 +83,12 @@ class Migration:
         staged = employees.stage_employees(self.source("employees"), ["tenant", "target_payroll_id"])
         require_unique(staged, [*self.p.scope, "legacy_empno"])
         minted = employees.mint_users(staged, max_id(self.existing("core_users")), self.p)
+        known = self.existing("employees")
+        added = employees.build_employees(minted.rows, known, self.p)
+        require_absent(added, known, [*self.p.scope, "id"])
         # numbered rows come sorted by tenant
         self.add("core_users", minted.users, clustered=True)
-        self.add("employees", employees.build_employees(minted.rows, self.existing("employees"), self.p))
+        self.add("employees", added)
         for table, build in (
             ("employee_contracts", employees.build_contracts),
             ("employee_payroll_assignments", employees.build_assignments),
@@ -145,8 +155,12 @@ class Migration:
         self.add(spec.table, carry_table(rows, spec, target, self.existing("employees"), known, self.p))
 
     def carry_tables(self) -> None:
-        for table, spec in CARRIED.items():
-            if table in self.targets and self.has_source(table):
+        present = [spec for table, spec in CARRIED.items() if self.has_source(table)]
+        unknown = [x.table for x in present if x.table not in self.targets and not self.source(x.table, x.source).isEmpty()]
+        if unknown:
+            raise ValueError(f"tables with rows but without target columns: {', '.join(unknown)}")
+        for spec in present:
+            if spec.table in self.targets:
                 self.carry(spec)
 
     def next_ids(self) -> dict[str, DataFrame]:
@@ -184,13 +198,15 @@ class Migration:
         self.add(table, rows)
 
     def run(self) -> None:
-        self.load_employees()
-        self.load_amounts()
-        self.load_slots()
-        self.carry_tables()
-        if self.has_source("employee_accounts"):
-            self.load_accounts()
-        self.load_tax_status()
-        if self.existing("settings_calendar") is not None and self.existing("payrolls") is not None:
-            self.load_periods()
-        clear_scratch(self.spark)
+        try:
+            self.load_employees()
+            self.load_amounts()
+            self.load_slots()
+            self.carry_tables()
+            if self.has_source("employee_accounts"):
+                self.load_accounts()
+            self.load_tax_status()
+            if self.existing("settings_calendar") is not None and self.existing("payrolls") is not None:
+                self.load_periods()
+        finally:
+            clear_scratch(self.spark)

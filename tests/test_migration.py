@@ -142,3 +142,36 @@ def test_repeated_legacy_number_stops_the_run(spark, tmp_path):
     with pytest.raises(ValueError, match="legacy_empno=1"):
         migration.load_employees()
     assert migration.existing("core_users") is None
+
+
+def test_changed_code_of_a_known_employee_stops_the_run(spark, tmp_path):
+    legacy = str(tmp_path / "legacy")
+    spark.createDataFrame([person(1)], COLUMNS).write.parquet(f"{legacy}/employees/source_schema=co_a")
+    mapped = migration_map(spark, [("co_a", "pay_a", "one", 11, 1)])
+    migration = Migration(spark, legacy, str(tmp_path / "target"), mapped, "2026-08-15T10:00:00+02:00")
+    migration.load_employees()
+    known = migration.existing("employees").drop("tenant").withColumn("employee_code", F.lit("another"))
+    known.coalesce(1).write.parquet(str(tmp_path / "changed/employees/tenant=tenant_one"))
+    again = Migration(spark, legacy, str(tmp_path / "changed"), mapped, "2026-08-15T10:00:00+02:00")
+    with pytest.raises(ValueError, match="key in use"):
+        again.load_employees()
+    assert again.existing("core_users") is None
+
+
+def test_carry_refuses_rows_without_target_columns(spark, tmp_path):
+    legacy = str(tmp_path / "legacy")
+    spark.createDataFrame([(1, "x")], "ordinalno int, note string").write.parquet(f"{legacy}/settings_calendar/source_schema=007")
+    mapped = migration_map(spark, [("co_a", "007", "one", 11, 1)])
+    migration = Migration(spark, legacy, str(tmp_path / "target"), mapped, "2026-08-15T10:00:00+02:00")
+    with pytest.raises(ValueError, match="settings_calendar"):
+        migration.carry_tables()
+
+
+def test_columns_of_all_companies_are_read(spark, tmp_path):
+    legacy = str(tmp_path / "legacy")
+    spark.createDataFrame([(1,)], "ordinalno int").write.parquet(f"{legacy}/settings_banks/source_schema=co_a")
+    spark.createDataFrame([(1, "b")], "ordinalno int, bank string").write.parquet(f"{legacy}/settings_banks/source_schema=co_b")
+    mapped = migration_map(spark, [("co_a", "pay_a", "one", 11, 1), ("co_b", "pay_b", "two", 12, 4)])
+    migration = Migration(spark, legacy, str(tmp_path / "target"), mapped, "2026-08-15T10:00:00+02:00")
+    found = {r["tenant"]: r["bank"] for r in migration.source("settings_banks").collect()}
+    assert found == {"tenant_one": None, "tenant_two": "b"}
