@@ -33,10 +33,25 @@ UNKNOWN_CODETYPE = "codetype_not_found"
 ORPHAN = "employee_not_loaded"
 
 
-def import_catalogue(settings: DataFrame, existing: DataFrame | None, scope: Sequence[str] = ()) -> DataFrame:
-    """Amount-code definitions; an ordinal already there is skipped."""
+def _insert(
+    rows: DataFrame, existing: DataFrame | None, keys: Sequence[str], origin: Sequence[str]
+) -> DataFrame:
+    """Keyed insert in which the row of the first ``origin`` wins, then the smallest."""
+    order = [*origin, *[c for c in rows.columns if c not in (*keys, *origin)]]
+    return insert_if_absent(rows, existing, keys, order).drop(*origin)
+
+
+def import_catalogue(
+    settings: DataFrame, existing: DataFrame | None, scope: Sequence[str] = (), origin: Sequence[str] = ()
+) -> DataFrame:
+    """Amount-code definitions; an ordinal already there is skipped.
+
+    ``origin`` names the company's columns where companies share a tenant; the
+    first company's code wins.
+    """
     codes = settings.select(
         *scope,
+        *origin,
         F.col("ordinalno").alias("ordinal_no"),
         F.col("description").alias("name"),
         upper_or_null("codetype").alias("code_type"),
@@ -50,16 +65,25 @@ def import_catalogue(settings: DataFrame, existing: DataFrame | None, scope: Seq
         flag("prorataind").alias("prorata"),
         flag("qmfdisplayind").alias("qmf_display"),
     )
-    return insert_if_absent(codes, existing, [*scope, "ordinal_no"])
+    return _insert(codes, existing, [*scope, "ordinal_no"], origin)
 
 
 def stage_amounts(
-    amounts: DataFrame, settings: DataFrame, employees: DataFrame, scope: Sequence[str] = ()
+    amounts: DataFrame,
+    settings: DataFrame,
+    employees: DataFrame,
+    scope: Sequence[str] = (),
+    origin: Sequence[str] = (),
 ) -> DataFrame:
-    """Non-zero amounts with their code and their employee, where these exist."""
+    """Non-zero amounts with their code and their employee, where these exist.
+
+    Amounts meet only the codes of their own ``origin``, in which an ordinal
+    must occur once.
+    """
     keep = [c for c in ("hired_at",) if c in employees.columns]
     codes = settings.select(
         *scope,
+        *origin,
         F.col("ordinalno").alias("ordinal_no"),
         F.col("description").alias("name"),
         upper_or_null("codetype").alias("codetype"),
@@ -68,14 +92,16 @@ def stage_amounts(
     people = employee_lookup(amounts, "employeeno", employees, [user, *keep], "left", scope)
     rows = amounts.filter(F.col("amount_q") != 0).select(
         *scope,
+        *origin,
         F.col("employeeno").cast("string").alias("legacy_empno"),
         link_column(amounts, "employeeno"),
         F.col("ordinalno").alias("ordinal_no"),
         to_minor("amount_q").alias("amount_minor"),
         F.col("amount_q").cast(MONEY_TYPE).alias("amount_raw"),
     )
-    return lookup_joins(rows, [Lookup(codes, [*scope, "ordinal_no"], "left"), people]).select(
-        *scope, "legacy_empno", "employee_id", *keep, "ordinal_no", "name", "amount_minor", "amount_raw", "codetype"
+    columns = ["legacy_empno", "employee_id", *keep, "ordinal_no", "name", "amount_minor", "amount_raw", "codetype"]
+    return lookup_joins(rows, [Lookup(codes, [*scope, *origin, "ordinal_no"], "left"), people]).select(
+        *scope, *origin, *columns
     )
 
 
@@ -113,8 +139,8 @@ def _to(staged: DataFrame, destination: str) -> DataFrame:
     return staged.filter(destinations()[destination])
 
 
-# dense_ids sorts on these; the raw amount makes the order total
-_LINE_ORDER = ["employee_id", "ordinal_no", "amount_raw"]
+# dense_ids sorts on these; the raw amount and the name make the order total
+_LINE_ORDER = ["employee_id", "ordinal_no", "amount_raw", "name"]
 
 
 def _lines(staged: DataFrame, destination: str, marks: dict[str, int], base: Base, p: RunParams) -> DataFrame:
@@ -143,23 +169,29 @@ def route_deductions(staged: DataFrame, base: Base, p: RunParams) -> DataFrame:
     return _lines(staged, "deductions", {"reduces_taxable": 0}, base, p)
 
 
-def route_employer_cost(staged: DataFrame, existing: DataFrame | None, scope: Sequence[str] = ()) -> DataFrame:
+def route_employer_cost(
+    staged: DataFrame, existing: DataFrame | None, scope: Sequence[str] = (), origin: Sequence[str] = ()
+) -> DataFrame:
     keys = [*scope, "employee_id", "ordinal_no"]
-    return insert_if_absent(_to(staged, "employer_cost").select(*keys, "amount_minor"), existing, keys)
+    return _insert(_to(staged, "employer_cost").select(*keys, *origin, "amount_minor"), existing, keys, origin)
 
 
-def route_balances(staged: DataFrame, existing: DataFrame | None, scope: Sequence[str] = ()) -> DataFrame:
+def route_balances(
+    staged: DataFrame, existing: DataFrame | None, scope: Sequence[str] = (), origin: Sequence[str] = ()
+) -> DataFrame:
     """Working balances keep their four decimals."""
     keys = [*scope, "employee_id", "ordinal_no"]
-    rows = _to(staged, "balances").select(*keys, F.col("amount_raw").alias("amount"))
-    return insert_if_absent(rows, existing, keys)
+    rows = _to(staged, "balances").select(*keys, *origin, F.col("amount_raw").alias("amount"))
+    return _insert(rows, existing, keys, origin)
 
 
-def route_deprecated(staged: DataFrame, existing: DataFrame | None, scope: Sequence[str] = ()) -> DataFrame:
+def route_deprecated(
+    staged: DataFrame, existing: DataFrame | None, scope: Sequence[str] = (), origin: Sequence[str] = ()
+) -> DataFrame:
     """Any other known code type, kept with the type."""
     keys = [*scope, "employee_id", "ordinal_no"]
-    rows = _to(staged, "deprecated").select(*keys, "amount_minor", "codetype")
-    return insert_if_absent(rows, existing, keys)
+    rows = _to(staged, "deprecated").select(*keys, *origin, "amount_minor", "codetype")
+    return _insert(rows, existing, keys, origin)
 
 
 def route_ytd(staged: DataFrame, p: RunParams) -> DataFrame:

@@ -47,7 +47,7 @@ class Migration:
 
     # ---- tables ----------------------------------------------------------
 
-    def source(self, table: str, side: str = "company") -> DataFrame:
+    def source(self, table: str, side: str = "company", with_schema: bool = False) -> DataFrame:
         folder, inference = f"{self.legacy}/{table}", "spark.sql.sources.partitionColumnTypeInference.enabled"
         known = self.spark.conf.get(inference)
         self.spark.conf.set(inference, "false")  # a schema named 007 is a name
@@ -56,7 +56,8 @@ class Migration:
             rows = self.spark.read.option("basePath", folder).option("mergeSchema", "true").parquet(folder)
         finally:
             self.spark.conf.set(inference, known)
-        return routes.attach_route(rows, self.route_map, SOURCE_SCHEMA, side).drop(SOURCE_SCHEMA)
+        routed = routes.attach_route(rows, self.route_map, SOURCE_SCHEMA, side)
+        return routed if with_schema else routed.drop(SOURCE_SCHEMA)
 
     def has_source(self, table: str) -> bool:
         return table_exists(self.spark, f"{self.legacy}/{table}")
@@ -97,24 +98,27 @@ class Migration:
             self.add(table, build(minted.rows, self._base(table), self.p), clustered=True)
 
     def load_amounts(self) -> None:
-        scope = self.p.scope
-        settings = self.source("settings_employee_amounts")
-        catalogue = amounts.import_catalogue(settings, self.existing("settings_employee_amounts"), scope)
+        # companies of one tenant each have a catalogue of their own
+        scope, origin = self.p.scope, (SOURCE_SCHEMA,)
+        settings = self.source("settings_employee_amounts", with_schema=True)
+        require_unique(settings, [*origin, "ordinalno"])
+        catalogue = amounts.import_catalogue(settings, self.existing("settings_employee_amounts"), scope, origin)
         self.add("settings_employee_amounts", catalogue)
-        staged = amounts.stage_amounts(self.source("employee_amounts"), settings, self.existing("employees"), scope)
+        lines = self.source("employee_amounts", with_schema=True)
+        staged = amounts.stage_amounts(lines, settings, self.existing("employees"), scope, origin)
         # read once per destination below
         staged = materialise(amounts.route(staged), ["destination"])
-        for table, lines in (
+        for table, numbered in (
             ("employee_amount_earnings", amounts.route_earnings),
             ("employee_amount_deductions", amounts.route_deductions),
         ):
-            self.add(table, lines(staged, self._base(table), self.p), clustered=True)
+            self.add(table, numbered(staged, self._base(table), self.p), clustered=True)
         for table, keyed in (
             ("employee_amount_employer_cost", amounts.route_employer_cost),
             ("employee_amount_balances", amounts.route_balances),
             ("employee_amount_deprecated", amounts.route_deprecated),
         ):
-            self.add(table, keyed(staged, self.existing(table), scope))
+            self.add(table, keyed(staged, self.existing(table), scope, origin))
         self.report("report_ytd_takeon", amounts.route_ytd(staged, self.p))
         self.report("report_amount_quarantine", amounts.quarantine_unknown(staged, self.p))
         self.report("report_amount_quarantine", amounts.quarantine_orphans(staged, self.p))
@@ -125,7 +129,10 @@ class Migration:
         earnings = self.existing("employee_amount_earnings")
         if earnings is None:
             earnings = self.spark.createDataFrame([], "tenant string, employee_id long, amount_minor long")
-        refreshed = amounts.refresh_salary(self.existing("employees"), earnings, self.p.scope)
+        # tenants that take no part in the run stay as they are
+        tenants = self.route_map.select(F.concat(F.lit("tenant_"), "tenant_slug").alias("tenant")).distinct()
+        loaded = lookup_join(self.existing("employees"), tenants, ["tenant"], "left_semi")
+        refreshed = amounts.refresh_salary(loaded, earnings, self.p.scope)
         replace_partitions(materialise(refreshed), self.path("employees"), ["tenant"])
 
     def load_slots(self) -> None:

@@ -175,3 +175,49 @@ def test_columns_of_all_companies_are_read(spark, tmp_path):
     migration = Migration(spark, legacy, str(tmp_path / "target"), mapped, "2026-08-15T10:00:00+02:00")
     found = {r["tenant"]: r["bank"] for r in migration.source("settings_banks").collect()}
     assert found == {"tenant_one": None, "tenant_two": "b"}
+
+
+AMOUNTS = "employeeno int, ordinalno int, amount_q decimal(19,4)"
+
+
+def _shared(spark, root, first, second):
+    """Two companies of one tenant, each with an employee, codes and one amount of 5.00 for ordinal 1."""
+    legacy = str(root / "legacy")
+    for company, number, codes in (("co_a", 1, first), ("co_b", 2, second)):
+        settings = [(n, d, t, "1", None, "", "", "", "", True, True, True) for n, d, t in codes]
+        for table, data, columns in (
+            ("employees", [person(number)], COLUMNS),
+            ("settings_employee_amounts", settings, SETTINGS),
+            ("employee_amounts", [(number, n, Decimal(5)) for n, _, _ in codes], AMOUNTS),
+        ):
+            spark.createDataFrame(data, columns).write.parquet(f"{legacy}/{table}/source_schema={company}")
+    mapped = migration_map(spark, [("co_a", "pay_a", "one", 11, 1), ("co_b", "pay_b", "one", 12, 2)])
+    migration = Migration(spark, legacy, str(root / "target"), mapped, "2026-08-15T10:00:00+02:00")
+    migration.load_employees()
+    return migration
+
+
+def test_companies_of_one_tenant_keep_their_own_codes(spark, tmp_path, rows):
+    migration = _shared(spark, tmp_path, [(1, "zz", "E")], [(1, "aa", "E"), (2, "fund", "D")])
+    migration.load_amounts()
+    assert rows(migration.existing("employee_amount_earnings"), "id", "label", "amount_minor") == [(1, "zz", 500), (2, "aa", 500)]
+    assert rows(migration.existing("employee_amount_deductions"), "label", "amount_minor") == [("fund", 500)]
+    assert rows(migration.existing("employees"), "id", "salary_current_minor") == [("emp-1", 500), ("emp-2", 500)]
+    # the first route's code wins although the other is smaller
+    assert rows(migration.existing("settings_employee_amounts"), "ordinal_no", "name") == [(1, "zz"), (2, "fund")]
+
+
+def test_repeated_ordinal_of_a_company_stops_the_run(spark, tmp_path):
+    migration = _shared(spark, tmp_path, [(1, "a", "E"), (1, "b", "E")], [(1, "c", "E")])
+    with pytest.raises(ValueError, match="ordinalno=1"):
+        migration.load_amounts()
+    assert migration.existing("employee_amount_earnings") is None
+
+
+def test_salaries_of_other_tenants_stay(spark, tmp_path, rows):
+    migration = _shared(spark, tmp_path, [(1, "a", "E")], [(1, "b", "E")])
+    known = migration.existing("employees").drop("tenant").withColumn("salary_current_minor", F.lit(7).cast("long"))
+    known.write.parquet(f"{migration.path('employees')}/tenant=tenant_other")
+    migration.load_amounts()
+    found = rows(migration.existing("employees"), "tenant", "salary_current_minor")
+    assert found == [("tenant_one", 500)] * 2 + [("tenant_other", 7)] * 2
