@@ -17,7 +17,7 @@ Documents with equal size and equal prefix form one group.  A hub is a prefix
 shingle together with a band of sizes, so that only groups whose sizes allow a
 link meet in one.  Groups that share hubs, directly or through others, form a
 cluster, found by label propagation over (group, hub) rows, which are never
-paired.  The members of a unit, which is a cluster, or each hub of a long
+paired; a chain that has not settled after a few rounds is left to its hubs.  The members of a unit, which is a cluster, or each hub of a long
 chain of groups, come together with their texts; there groups are paired,
 pairs of groups are filtered by size and by what their prefixes still allow,
 members are expanded and verified, and links are united to components.  Units
@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from itertools import groupby
+from itertools import count, groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -43,6 +43,8 @@ from shiftroll.llm.words import batches, long_lists, shingles, word_hashes
 from shiftroll.session import materialise
 
 BLOCK_MEMBERS = 512
+#: Clusters that settle later than this are long chains, whose hubs are dealt out one by one.
+CLUSTER_ROUNDS = 4
 DENSE_CELLS = 1 << 22
 
 
@@ -100,15 +102,17 @@ def _sets(rule: Rule):
     return run
 
 
-def components_of(edges: DataFrame) -> DataFrame:
+def components_of(edges: DataFrame, most_rounds: int | None = None) -> DataFrame:
     """Smallest node reachable from each node of (node, hub) rows: node, label.
 
     Each round a hub takes the smallest label of its nodes and a node that of
     its hubs; then labels jump to the label of their label.  Sums and minima
     are combined before the shuffle, so a hub of any degree is no burden.
+    After ``most_rounds`` rounds a long chain may still hold several labels;
+    nodes of equal label are connected then as well.
     """
     labels = materialise(edges.select("node").distinct().withColumn("label", F.col("node")))
-    while True:
+    for done in count(1):
         hubs = edges.join(labels, "node").groupBy("hub").agg(F.min("label").alias("label"))
         lower = edges.join(hubs, "hub").groupBy("node").agg(F.min("label").alias("label"))
         # a label is a node, whose own label may be smaller by now
@@ -120,7 +124,7 @@ def components_of(edges: DataFrame) -> DataFrame:
         )
         changed = after.filter(F.col("label") != F.col("old")).limit(1).count()
         labels = after.select("node", "label")
-        if not changed:
+        if not changed or done == most_rounds:
             return labels
 
 
@@ -421,13 +425,19 @@ def units_of(classes: DataFrame, rule: Rule) -> DataFrame:
     )
     hubs = met.groupBy("hub").agg(F.sum("size").alias("hub_members")).filter("hub_members > 1")
     edges = materialise(met.join(hubs, "hub"))
-    labels = components_of(edges.select("node", "hub"))
+    labels = components_of(edges.select("node", "hub"), CLUSTER_ROUNDS)
+    # a cluster is settled if each of its hubs knows its label only
+    labelled = edges.select("node", "hub").join(labels, "node")
+    mixed = labelled.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
+    unsettled = labelled.join(mixed.select("hub"), "hub", "left_semi").select("label").distinct()
     blocks_of = lambda c: F.ceil(F.col(c) / BLOCK_MEMBERS).cast("long")
     chained = edges.withColumn("rows", F.col("size") * blocks_of("hub_members")).groupBy("node").agg(F.sum("rows").alias("rows"))
     sized = labels.join(chained, "node").join(groups.select("node", "size"), "node")
     clusters = sized.groupBy("label").agg(F.sum("size").alias("members"), F.sum("rows").alias("rows"))
     # rows to deal out: the whole cluster's in blocks, or each hub's
-    placed = labels.join(clusters.withColumn("whole", F.col("members") * blocks_of("members") <= F.col("rows")), "label")
+    small = F.col("members") * blocks_of("members") <= F.col("rows")
+    dealt = clusters.join(unsettled.withColumn("unsettled", F.lit(True)), "label", "left")
+    placed = materialise(labels.join(dealt.withColumn("whole", small & F.col("unsettled").isNull()), "label"))
     nothing = F.lit(None).cast("long")
     whole = placed.filter("whole").select(
         "node", F.struct(F.col("label").alias("unit"), "members", nothing.alias("token"), nothing.alias("band")).alias("u")

@@ -146,9 +146,10 @@ def components_by_hand(texts, words, percent):
     return sets, label, links
 
 
-@pytest.mark.parametrize(("words", "percent", "block"), [(3, 90, 512), (5, 80, 4)])
-def test_near_duplicates_equal_brute_force(spark, docs, monkeypatch, words, percent, block):
+@pytest.mark.parametrize(("words", "percent", "block", "rounds"), [(3, 90, 512, 4), (5, 80, 4, 1)])
+def test_near_duplicates_equal_brute_force(spark, docs, monkeypatch, words, percent, block, rounds):
     monkeypatch.setattr(jaccard_join, "BLOCK_MEMBERS", block)
+    monkeypatch.setattr(jaccard_join, "CLUSTER_ROUNDS", rounds)  # 1: clusters are left to their hubs
     rows = docs.orderBy("doc_id").collect()
     sets, label, links = components_by_hand([r["text"] for r in rows], words, percent)
     first = {}
