@@ -18,9 +18,14 @@ shingle together with a band of sizes, so that only groups whose sizes allow a
 link meet in one.  Groups that share hubs, directly or through others, form a
 cluster, found by label propagation over (group, hub) rows, which are never
 paired; a chain that has not settled after a few rounds is left to its hubs.  The members of a unit, which is a cluster, or each hub of a long
-chain of groups, come together with their texts; there groups are paired,
-pairs of groups are filtered by size and by what their prefixes still allow,
-members are expanded and verified, and links are united to components.  Units
+chain of groups, first come together with their counted shingles.  These are
+all of a set's members in one part of the hash range, so the common ones are
+known exactly there, and outside of it at most all others can be common; pairs
+that cannot reach the least overlap even so are out.  What is left falls into
+small connected parts, whose members come together with their texts; there
+groups are paired, pairs of groups are filtered by size and by what their
+prefixes still allow, members are expanded and verified, and links are united
+to components.  Units
 of more than BLOCK_MEMBERS members are dealt out as pairs of blocks, so no
 task holds more than two blocks.  Links of different units are united by label
 propagation.
@@ -147,6 +152,20 @@ def _local(ids: np.ndarray, members: list[np.ndarray]) -> Sets:
     return Sets(ids, sizes, [np.sort(p[p >= 0]) for p in parts], len(shared))
 
 
+def _common_counts(tokens: list[np.ndarray], width: int) -> np.ndarray:
+    """Common members of all pairs of sets of token numbers below width, by matrix products."""
+    product = np.zeros((len(tokens), len(tokens)), dtype=np.float32)
+    step = max(1, DENSE_CELLS // len(tokens))
+    for start in range(0, width, step):
+        matrix = np.zeros((len(tokens), min(step, width - start)), dtype=np.float32)
+        for r, own in enumerate(tokens):
+            a, b = np.searchsorted(own, [start, start + step])
+            matrix[r, own[a:b] - start] = 1
+        if matrix.any():
+            product += matrix @ matrix.T
+    return product.astype(np.int64)
+
+
 class Union:
     def __init__(self, n: int):
         self.up = list(range(n))
@@ -254,16 +273,8 @@ class _Compare:
         numbers = numbers.reshape(pairs.shape)
         if len(pairs) < 4 * len(rows):
             return np.array([len(np.intersect1d(tokens[i], tokens[j], assume_unique=True)) for i, j in pairs.tolist()], dtype=np.int64)
-        product = np.zeros((len(rows), len(rows)), dtype=np.float32)
-        step = max(1, DENSE_CELLS // len(rows))
-        for start in range(0, self.sets.width, step):
-            matrix = np.zeros((len(rows), min(step, self.sets.width - start)), dtype=np.float32)
-            for r, i in enumerate(rows.tolist()):
-                a, b = np.searchsorted(tokens[i], [start, start + step])
-                matrix[r, tokens[i][a:b] - start] = 1
-            if matrix.any():
-                product += matrix @ matrix.T
-        return product[numbers[:, 0], numbers[:, 1]].astype(np.int64)
+        product = _common_counts([tokens[i] for i in rows.tolist()], self.sets.width)
+        return product[numbers[:, 0], numbers[:, 1]]
 
 
 def _allowed(a: int, b: int, token: int | None, band: int, blocks: list[int], bands: list[int], prefixes: list[list[int]]):
@@ -283,11 +294,53 @@ def _allowed(a: int, b: int, token: int | None, band: int, blocks: list[int], ba
     return None if a == b and token is None else of
 
 
+def may_link(n: np.ndarray, counted: list[np.ndarray], rule: Rule) -> np.ndarray:
+    """Pairs of sets of sizes n that may link by their counted members, all other members taken as common."""
+    sets = _local(np.arange(len(n)), counted)
+    others = n - sets.sizes
+    most = _common_counts(sets.tokens, sets.width) + np.minimum.outer(others, others)
+    least = -(-np.add.outer(n, n) * rule.percent // (100 + rule.percent))
+    sized = 100 * np.minimum.outer(n, n) >= rule.percent * np.maximum.outer(n, n)
+    return np.argwhere(np.triu(sized & (most >= least), 1))
+
+
+def _screen(rule: Rule):
+    """Connected parts of each unit, or pair of blocks of one, by pairs that may link."""
+
+    def members(batches_in: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        n = len(_UNIT) + len(_SCREENED)
+        for batch in batches_in:
+            lists = batch.column(n)
+            at, values = np.asarray(lists.offsets), np.asarray(lists.values)
+            counted = [values[a:b] for a, b in zip(at, at[1:], strict=False)]
+            yield from zip(*[batch.column(k).to_pylist() for k in range(n)], counted, strict=True)
+
+    def run(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit, rows in groupby(members(batches_in), key=lambda r: r[: len(_UNIT)]):
+            _, a, b, token, band = unit
+            cls, n, blocks, bands, prefixes, counted = (list(x) for x in zip(*[r[len(_UNIT) :] for r in rows], strict=True))
+            pairs = may_link(np.array(n), counted, rule)
+            allowed = _allowed(a, b, token, band, blocks, bands, [p or [] for p in prefixes])
+            if allowed is not None and len(pairs):
+                pairs = pairs[allowed(pairs)]
+            if not len(pairs):
+                continue
+            union = Union(len(cls))
+            for i, j in pairs.tolist():
+                union.link(i, j)
+            left = np.unique(pairs).tolist()
+            same = [pa.array([x] * len(left), pa.int64()) for x in unit]
+            own = [[cls[i] for i in left], [blocks[i] for i in left], [cls[union.root(i)] for i in left]]
+            yield pa.RecordBatch.from_arrays([*same, *(pa.array(x, pa.int64()) for x in own)], names=[*_UNIT, "cls", "block", "part"])
+
+    return run
+
+
 def _verify(rule: Rule):
-    """Links inside the units, or pairs of blocks of one, that the sorted rows hold one after the other."""
+    """Links inside the parts of units that the sorted rows hold one after the other."""
 
     def run(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, a, b, token, band), rows in groupby(_rows_of(batches_in), key=lambda r: r[:5]):
+        for (_, a, b, token, band, _), rows in groupby(_rows_of(batches_in), key=lambda r: r[: len(_PART)]):
             cls, members, weights, blocks, bands, prefixes = [], [], [], [], [], []
             for *_, c, s1, copies, block, own_band, prefix, text in rows:
                 hashes, _ = word_hashes([text], lower=True)
@@ -313,11 +366,13 @@ def _verify(rule: Rule):
 
 
 _UNIT = ["unit", "a", "b", "token", "band"]
+_PART = [*_UNIT, "part"]
+_SCREENED = ["cls", "n", "block", "own_band", "prefix"]
 _MEMBER = ["cls", "s1", "copies", "block", "own_band", "prefix"]
 
 
 def _rows_of(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    n = len(_UNIT) + len(_MEMBER)
+    n = len(_PART) + len(_MEMBER)
     for batch, texts in batches(rows, n):
         yield from zip(*[batch.column(k).to_pylist() for k in range(n)], texts, strict=True)
 
@@ -381,7 +436,7 @@ def links_of(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     read.
     """
     members, classes = classes_of(docs, rule)
-    linked = materialise(_verified(docs, units_of(classes, rule), rule))
+    linked = materialise(_verified(docs, _screened(units_of(classes, rule), rule), rule))
     if linked.groupBy("cls").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").isEmpty():
         labels = linked
     else:  # a class was in several units or pairs of blocks
@@ -406,7 +461,7 @@ def links_of(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 
 def units_of(classes: DataFrame, rule: Rule) -> DataFrame:
-    """id, cls, s1, copies, own_band, prefix and the units of each class that may link to another."""
+    """id, cls, n, s1, copies, counted, own_band, prefix and the units of each class that may link to another."""
     prefixes = materialise(prefixes_of(classes, rule))
     # sizes that allow a link are at most one band apart
     own_band = F.floor(F.log("n") / math.log(100 / rule.percent) + 1e-9).cast("long")
@@ -449,28 +504,46 @@ def units_of(classes: DataFrame, rule: Rule) -> DataFrame:
     of_group = groups.select(*group, "node").join(units, "node").drop("node")
     return materialise(
         keyed.join(of_group, group)
-        .select("cls", "own_band", F.when(F.col("units")[0]["token"].isNotNull(), F.col("prefix")).alias("prefix"), "units")
-        .join(classes.select("cls", "id", "s1", "copies"), "cls")
+        .select("cls", "n", "own_band", F.when(F.col("units")[0]["token"].isNotNull(), F.col("prefix")).alias("prefix"), "units")
+        .join(classes.select("cls", "id", "s1", "copies", "counted"), "cls")
     )
 
 
-def _verified(docs: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame:
-    """cls, label, links inside each unit, or inside each pair of blocks of the large ones."""
+def _screened(candidates: DataFrame, rule: Rule) -> DataFrame:
+    """The candidates that may link to another by their counted members, and the parts they belong to.
+
+    Units of more than BLOCK_MEMBERS members are dealt out as pairs of blocks."""
     n_blocks = F.ceil(F.col("members") / BLOCK_MEMBERS).cast("long")
     with_all = F.transform(
         F.sequence(F.lit(0).cast("long"), n_blocks - 1),
         lambda k: F.struct(F.least(k, F.col("block")).alias("a"), F.greatest(k, F.col("block")).alias("b")),
     )
+    block = F.pmod(F.xxhash64("cls"), n_blocks).cast("long")
     dealt = (
-        lookup_join(docs.select(_id(), "text"), candidates, ["id"])
-        .select("*", F.inline("units"))
-        .withColumn("block", F.pmod(F.xxhash64("cls"), n_blocks).cast("long"))
+        candidates.select("cls", "n", "own_band", "prefix", "counted", F.inline("units"))
+        .withColumn("block", block)
         .withColumn("pair", F.explode(with_all))
-        .select("unit", "pair.a", "pair.b", "token", "band", *_MEMBER, "text")
+        .select("unit", "pair.a", "pair.b", "token", "band", *_SCREENED, "counted")
     )
-    return (
+    parts = (
         dealt.repartition("unit", "a", "b")
         .sortWithinPartitions("unit", "a", "b", "cls")
+        .mapInArrow(_screen(rule), "unit long, a long, b long, token long, band long, cls long, block long, part long")
+    )
+    of_class = materialise(parts.groupBy("cls").agg(F.collect_list(F.struct(*_PART, "block")).alias("parts")))
+    return candidates.select("cls", "id", "s1", "copies", "own_band", "prefix").join(of_class, "cls")
+
+
+def _verified(docs: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame:
+    """cls, label, links inside each part of the units."""
+    dealt = (
+        lookup_join(docs.select(_id(), "text"), candidates, ["id"])
+        .select("*", F.inline("parts"))
+        .select(*_PART, *_MEMBER, "text")
+    )
+    return (
+        dealt.repartition(*_PART)
+        .sortWithinPartitions(*_PART, "cls")
         .mapInArrow(_verify(rule), "cls long, label long, links long")
     )
 
