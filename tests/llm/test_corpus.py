@@ -159,6 +159,21 @@ def test_near_duplicates_equal_brute_force(spark, docs, monkeypatch, words, perc
     assert sorted(tuple(r) for r in jaccard_join.links_of(docs, jaccard_join.Rule(words, percent)).collect()) == wanted
 
 
+def test_screening_loses_no_link():
+    rng = np.random.default_rng(5)
+    rule = jaccard_join.Rule(3, 90)
+    limit = np.uint64(rule.counted_below())
+    base = rng.integers(0, 1 << 64, 60, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[k % 5 :], rng.integers(0, 1 << 64, k % 9, dtype=np.uint64)])) for k in range(60)]
+    sets += [np.unique(rng.integers(0, 1 << 64, 1 + k, dtype=np.uint64)) for k in range(60)]
+    sizes = np.array([len(s) for s in sets])
+    passed = {tuple(p) for p in jaccard_join.may_link(sizes, [s[s < limit] for s in sets], rule).tolist()}
+    pairs = {(i, j) for j in range(len(sets)) for i in range(j)}
+    common = {p: len(np.intersect1d(sets[p[0]], sets[p[1]])) for p in pairs}
+    linked = {p for p in pairs if 100 * common[p] >= 90 * (sizes[p[0]] + sizes[p[1]] - common[p])}
+    assert linked <= passed < pairs
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     got = sorted(map(repr, jaccard_join.links_of(odd, jaccard_join.Rule(3, 90)).select("doc_id", "component_id", "n_links").collect()))
     wanted = [(1, 1, 2), (1, 1, 2), (1, 1, 0), (2, 2, 0), (3, 3, 0), (4, 4, 0), (None, None, 0), (5, 5, 1), (6, 5, 1), (7, 1, 2), (8, 8, 0)]
