@@ -4,7 +4,8 @@ A seed is a fixed mask over consecutive words; only the words at its 1s are
 hashed, so a substituted word at a 0 does no harm.  Seeds of all masks are
 taken at every place of the benchmark items and of the documents and joined on
 their hash.  Around each hit the item is laid over the document without gaps,
-and the best overlap, in which a mismatch costs MISMATCH matches, is verified.
+and the best overlap, in which a mismatch costs MISMATCH matches, is verified;
+if it is too short, the best one of LEAST_WORDS is, which may end in mismatches.
 
 Words are runs of letters and digits, A-Z in lower case: ASCII punctuation
 separates words, so it may differ.
@@ -148,15 +149,34 @@ def _document_hits(masks: tuple[str, ...], packed: bytes):
     return run
 
 
-def overlap(document: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]:
-    """Best overlap with item[k] over document[k + shift]: place in the document, words, equal words."""
+def _best(equal: np.ndarray, mismatch: float, least: int) -> tuple[int, int]:
+    """Start and end of the segment of at least ``least`` words that scores most, the longest of equal ones."""
+    total = np.concatenate([[0.0], np.cumsum(np.where(equal, 1.0, -mismatch))])
+    lowest = np.minimum.accumulate(total)[: len(total) - least]
+    gain = total[least:] - lowest
+    ends = np.flatnonzero(gain == gain.max())
+    starts = np.searchsorted(-lowest, -lowest[ends])  # where that low is first reached
+    k = int(np.argmax(ends - starts))
+    return int(starts[k]), int(ends[k]) + least
+
+
+def overlap(document: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int] | None:
+    """Best overlap with item[k] over document[k + shift]: place in the document, words, equal words.
+
+    If the best segment has too few words, or is too unequal, any of enough
+    words and LEAST_SHARE counts: with this cost of a mismatch there is one
+    where the best scores 0 or more."""
     low, high = max(0, -shift), min(len(item), len(document) - shift)
+    least = min(LEAST_WORDS, len(item))
+    if high - low < least:
+        return None
     equal = document[low + shift : high + shift] == item[low:high]
-    total = np.concatenate([[0.0], np.cumsum(np.where(equal, 1.0, -MISMATCH))])
-    lowest = np.minimum.accumulate(total)
-    end = int(np.argmax(total - lowest))
-    start = int(np.flatnonzero(total[: end + 1] == lowest[end])[-1])
-    return low + shift + start, end - start, int(equal[start:end].sum())
+    for mismatch, words in ((MISMATCH, 0), (LEAST_SHARE / (1 - LEAST_SHARE), least)):
+        start, end = _best(equal, mismatch, words)
+        n, same = end - start, int(equal[start:end].sum())
+        if n >= least and same >= LEAST_SHARE * n:
+            return low + shift + start, n, same
+    return None
 
 
 def _verified(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,8 +185,8 @@ def _verified(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for i in range(batch.num_rows):
             words, other = (np.asarray(batch.column(k)[i].values) for k in (4, 5))
-            at, n, equal = overlap(words, other, shift[i] - start[i])
-            if n >= min(LEAST_WORDS, len(other)) and equal >= LEAST_SHARE * n:
+            if found := overlap(words, other, shift[i] - start[i]):
+                at, n, equal = found
                 out.append((doc[i], item[i], start[i] + at, n, equal))
         if out:
             columns = [pa.array(c, pa.int64()) for c in zip(*out, strict=True)]

@@ -201,6 +201,28 @@ def test_overlaps_tolerate_substitutions(spark, odd, empty):
     assert decontaminate.overlaps(empty, bench).count() == 0
 
 
+def test_overlaps_tolerate_substitutions_near_the_ends():
+    item = np.arange(15, dtype=np.int64)
+    for changed in ([1, 13], [1], [13], [1, 7, 13], [2, 12]):
+        text = np.concatenate([np.arange(100, 120), np.where(np.isin(item, changed), -1, item), np.arange(200, 220)])
+        at, n, equal = decontaminate.overlap(text, item, 20)
+        assert at >= 20 and n >= 12 and equal >= 0.75 * n
+    # the longer of two segments that score the same
+    copied = np.where(np.arange(18) == 15, -1, np.arange(18))
+    assert decontaminate.overlap(copied, np.arange(18), 0) == (0, 18, 17)
+    assert decontaminate.overlap(np.where(item < 8, item, -1), item, 0) is None
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.booleans(), min_size=5, max_size=40))
+def test_overlaps_are_found_where_any_segment_qualifies(equal):
+    item = np.arange(len(equal), dtype=np.int64)
+    least = min(12, len(equal))
+    segments = [equal[a:b] for a in range(len(equal)) for b in range(a + least, len(equal) + 1)]
+    found = decontaminate.overlap(np.where(equal, item, -1), item, 0)
+    assert (found is not None) == any(sum(x) >= 0.75 * len(x) for x in segments)
+
+
 # op6
 
 
