@@ -78,7 +78,7 @@ def _item_seeds(masks: tuple[str, ...]):
                     found = seeds(words, mask)
                     if len(found):
                         columns = [pa.array([item] * len(found), pa.int64()), pa.array(range(len(found)), pa.int32()), pa.array(found.view(np.int64))]
-                        yield pa.RecordBatch.from_arrays(columns, names=["item_id", "item_at", "seed"])
+                        yield pa.RecordBatch.from_arrays(columns, names=["item_key", "item_at", "seed"])
 
     return run
 
@@ -196,14 +196,21 @@ def _verified(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, doc_at, n_words, n_equal: the longest verified overlap of each document and item.
 
-    Documents without one are not in it.  Repeated rows count once.  NULL and
-    empty texts, and items of fewer than LEAST_ITEM words, overlap with
-    nothing.  Only doc_id, item_id and the texts are read.
+    Documents without one are not in it.  Repeated rows count once.  A NULL
+    item_id is an id too, and of several texts under one item_id each is looked
+    for; the longest overlap with any of them counts.  NULL and empty texts, and
+    items of fewer than LEAST_ITEM words, overlap with nothing.  Only doc_id,
+    item_id and the texts are read.
     """
-    items = materialise(benchmark.select("item_id", "text").mapInArrow(_item_words, "item_id long, item array<long>"))
+    items = materialise(
+        benchmark.select("item_id", "text")
+        .mapInArrow(_item_words, "item_id long, item array<long>")
+        .withColumn("item_key", F.xxhash64(F.col("item_id").isNull(), "item_id", "item"))
+        .dropDuplicates(["item_key"])
+    )
     lengths = items.select(F.size("item").alias("n")).filter(F.col("n") < max(map(len, MASKS))).distinct().collect()
     masks = masks_for([r["n"] for r in lengths])
-    item_seeds = materialise(items.mapInArrow(_item_seeds(masks), "item_id long, item_at int, seed long"))
+    item_seeds = materialise(items.select("item_key", "item").mapInArrow(_item_seeds(masks), "item_key long, item_at int, seed long"))
     packed = np.packbits(seed_filter(item_seeds)).tobytes()
     pieces = materialise(
         docs.select("doc_id", "text").mapInArrow(
@@ -215,11 +222,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = pieces.select("piece", F.inline(F.arrays_zip("places", "seeds"))).withColumnsRenamed({"places": "place", "seeds": "seed"})
     laid = (
         hits.join(item_seeds, "seed")
-        .select("piece", "item_id", (F.col("place") - F.col("item_at")).alias("shift"))
+        .select("piece", "item_key", (F.col("place") - F.col("item_at")).alias("shift"))
         .distinct()
     )
     whole = pieces.select("piece", "doc_id", "start", "words")
-    pairs = lookup_join(laid.join(whole, "piece"), items.groupBy("item_id").agg(F.first("item").alias("item")), ["item_id"])
+    pairs = lookup_join(laid.join(whole, "piece"), items, ["item_key"])
     found = pairs.select("doc_id", "item_id", "start", "shift", "words", "item").mapInArrow(
         _verified, "doc_id long, item_id long, doc_at long, n_words long, n_equal long"
     )

@@ -223,6 +223,17 @@ def test_overlaps_are_found_where_any_segment_qualifies(equal):
     assert (found is not None) == any(sum(x) >= 0.75 * len(x) for x in segments)
 
 
+def test_overlaps_with_items_of_no_id_and_of_one_id(spark):
+    rng = np.random.default_rng(4)
+    texts = [" ".join("".join(rng.choice(list("abcdefgh"), 7)) for _ in range(20)) for _ in range(5)]
+    ids = [None, None, 1, 1, 1]
+    bench = spark.createDataFrame([*zip(ids, texts, strict=True), (1, texts[2])], "item_id long, text string")
+    docs = spark.createDataFrame([*enumerate(texts), (5, f"{texts[3]} {texts[4]}")], "doc_id long, text string")
+    found = decontaminate.overlaps(docs, bench).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["n_equal"]) for r in found) == [(i, k, 20) for i, k in enumerate([*ids, 1])]
+    assert decontaminate.without_benchmark(docs, bench).count() == 0
+
+
 # op6
 
 
