@@ -227,8 +227,10 @@ def _ratios(texts: list[bytes], labels: np.ndarray) -> Ratios:
     return Ratios(table(words), table(grams))
 
 
-def train(rows: list[tuple[bytes, int]]) -> Model:
-    """A model of (text, label) rows; without both labels all score the share of label 1."""
+def train(rows: list[tuple[bytes, int]], prior: float = 0.0) -> Model:
+    """A model of (text, label) rows; without both labels all score the share of label 1.
+
+    ``prior`` is the log ratio of the true odds of label 1 to those of ``rows``."""
     rng = np.random.default_rng(7)
     labels = np.array([y for _, y in rows], dtype=np.float32)
     texts = [prepared(t) for t, _ in rows]
@@ -247,7 +249,7 @@ def train(rows: list[tuple[bytes, int]]) -> Model:
     places, owner = windows(at)
     if len(set(labels.tolist())) < 2 or not len(places):
         share = (labels.sum() + 0.5) / (len(labels) + 1)
-        return Model(ratios, net, 0.0, float(np.log(share / (1 - share))))
+        return Model(ratios, net, 0.0, float(np.log(share / (1 - share))) + prior)
     padded = np.concatenate([features, np.zeros((1, INPUTS), dtype=np.float32)])
     fitted = np.flatnonzero((part[owner] >= 5) & (part[owner] < 8))
     # to begin with, a document's window with the highest ratios
@@ -279,7 +281,8 @@ def train(rows: list[tuple[bytes, int]]) -> Model:
     held = np.flatnonzero(part >= 8)
     scores = worst_of(logits(net, features, places), owner, len(texts))
     known = held[np.isfinite(scores[held])]
-    return Model(ratios, net, **calibrated(scores[known].astype(float), labels[known].astype(float)))
+    fit = calibrated(scores[known].astype(float), labels[known].astype(float))
+    return Model(ratios, net, fit["slope"], fit["shift"] + prior)
 
 
 def worst_of(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -303,11 +306,17 @@ def is_held_out(doc_id: str) -> Column:
 
 
 def learned(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """A model of up to ``rows`` documents of each label that are not held out."""
+    """A model of up to ``rows`` documents of each label that are not held out.
+
+    The labels are counted over all of these, so that a score means the same
+    whatever share of a label was drawn."""
     usable = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out("doc_id"))
-    chosen = rows_by_hash(usable.select("doc_id", F.col("toxic").cast("int").alias("y")).distinct(), rows, ["y"])
+    labelled = usable.select("doc_id", F.col("toxic").cast("int").alias("y")).distinct()
+    counts = {r["y"]: r["count"] for r in labelled.groupBy("y").count().collect()}
+    drawn = [min(1.0, rows / counts[y]) if y in counts else 1.0 for y in (0, 1)]
+    chosen = rows_by_hash(labelled, rows, ["y"])
     found = texts_of(docs, chosen).orderBy(F.xxhash64("doc_id"), "doc_id", "y")
-    return train([((r["text"] or "").encode(), r["y"]) for r in found.collect()])
+    return train([((r["text"] or "").encode(), r["y"]) for r in found.collect()], float(np.log(drawn[0] / drawn[1])))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

@@ -300,6 +300,17 @@ def test_toxicity_finds_planted_words(odd, empty):
     assert toxicity.scored(odd, model).count() == 11 and toxicity.scored(empty, model).count() == 0
 
 
+def test_toxicity_scores_do_not_depend_on_the_share_drawn(spark):
+    rng = np.random.default_rng(9)
+    texts = [" ".join("".join(w) for w in rng.choice(list("abcdefghij"), (30, 6))) for _ in range(2400)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    # labels that the texts do not tell: a tenth is toxic, drawn as one half
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(2400)], "doc_id long, toxic int")
+    model = toxicity.learned(docs, labels, 150)
+    scores = toxicity.scores_of(model, [t.encode() for t in texts[:600]])
+    assert 0.03 < scores.mean() < 0.25 and np.mean(scores >= 0.5) < 0.03
+
+
 # op8
 
 
