@@ -39,9 +39,12 @@ BLOCKS_AT_ONCE = 20_000
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rb rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr img".split()
+    "strike strong sub sup time tt u var wbr img svg math object".split()
 )
-RAW = frozenset("script style noscript template textarea title iframe svg math object".split())
+#: Skipped to their end tag; without one, to the end of the page.
+RAW = frozenset("script style noscript template textarea title iframe".split())
+#: Other elements than those of HTML stand in these, all of them inline.
+FOREIGN = frozenset("svg math".split())
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"},
@@ -50,6 +53,10 @@ CLOSE_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main "
     "menu nav ol p pre section table ul".split()
 )
+#: Parts of FOREIGN whose text does not run on.
+SPACED = frozenset("text tspan mtr mtd annotation foreignobject".split())
+#: Begin outside of FOREIGN, whether that was closed or not.
+BREAKOUT = CLOSE_P | CLOSES.keys() | {"body"}
 # Names that tell what a part of a page is for
 MAIN_TAGS = frozenset("article main".split())
 OTHER_TAGS = frozenset("nav footer aside form button select menu dialog head".split())
@@ -110,7 +117,15 @@ def leaves(page: str) -> list[Leaf]:
         if name == "br":
             parts.append(" ")
             continue
-        if name not in INLINE:
+        first = next((k for k, (s, _) in enumerate(stack) if s in FOREIGN), len(stack))
+        if not closing and name in BREAKOUT:
+            del stack[first:]
+        foreign = first < len(stack)
+        outer = name in BREAKOUT if not closing else any(s == name for s, _ in stack[:first]) and all(s != name for s, _ in stack[first:])
+        inside = foreign and not outer
+        if inside and name in SPACED:
+            parts.append(" ")
+        if name not in INLINE and not inside:
             end()
         if closing:
             if any(s == name for s, _ in stack):
@@ -120,10 +135,18 @@ def leaves(page: str) -> list[Leaf]:
                 close({"p"}, frozenset({"td", "th", "li", "article", "div", "body", "section"}))
             if name in CLOSES:
                 close(CLOSES[name], frozenset({"ul", "ol", "dl", "table", "select", "menu"}))
-            if name in RAW:
+            empty = token[3].rstrip().endswith("/")
+            stop = None
+            if inside and name in RAW and not empty:  # no further than the element of FOREIGN
+                stop = re.compile(rf"</(?:{re.escape(name)}|svg|math)\s*>", re.I).search(page, at)
+            if stop:
+                at = stop.end() if stop[0][2:].lower().startswith(name) else stop.start()
+            elif name in RAW and not inside:
                 stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
                 at = stop.end() if stop else len(page)
-            elif name not in VOID and not token[3].rstrip().endswith("/"):
+            elif inside and not empty:
+                stack.append((name, ()))
+            elif name not in VOID and not empty:
                 words = [w for m in _NAMES.finditer(token[3]) for w in _NAME.findall((m[1] or m[2] or m[3] or "").lower())]
                 stack.append((name, (name, *("." + w for w in words))))
         path = tuple(x for tag, names in stack if tag not in INLINE for x in names)

@@ -126,6 +126,27 @@ def test_main_text_of_pages(spark):
     assert np.mean(right) > 0.95
 
 
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ('<header><svg class="i"/></header><p>One.</p><p>Two.</p>', ["One.", "Two."]),
+        ("<p>One <svg viewBox='0 0 1 1' /> two.</p><p>x</p><svg><path d='M0'/></svg>", ["One two.", "x"]),
+        ("<header><svg><path d='M0'></header><p>One.</p>", ["One."]),
+        ("<div><svg><g><p>One.</p></div><article><p>Two.</p></article>", ["One.", "Two."]),
+        ("<p>Icon <svg><title>hidden</title><style>p{}</style><g></g></svg> here.</p>", ["Icon here."]),
+        ("<svg><title/></svg><p>One.</p><svg><title>a</svg><p>Two.</p><svg><title>b</title></svg>", ["One.", "Two."]),
+        ("<p>As <math><mi>a</mi><mo>+</mo><mi>b</mi></math> shows.</p><p>x</p>", ["As a+b shows.", "x"]),
+        ("<p>As <math/> shows.</p><math><mi>c<p>x</p>", ["As shows.", "c", "x"]),
+        ("<div><object data='a'><p>Other text.</p></object> after</div>", ["Other text.", "after"]),
+        ("<div><object data='a'/>One.</div><div><object>Two.</div><p>Three.</p>", ["One.", "Two.", "Three."]),
+        ("<button><svg><g>go</button>One.<script>a<b</script><p>Two.</p>", ["go", "One.", "Two."]),
+    ],
+)
+def test_blocks_around_embedded_elements(page, texts):
+    assert [x.text for x in html_blocks.leaves(page)] == texts
+    assert all(x.path == tuple(y for y in x.path if y not in ("svg", "math", "object", "g", "mi")) for x in html_blocks.leaves(page))
+
+
 # op4
 
 
