@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftroll.llm import chat, decontaminate, html_blocks, jaccard_join, language, mixing, quality, sharding, token_store, toxicity
+from shiftroll.llm import (
+    block_names,
+    chat,
+    decontaminate,
+    html_blocks,
+    jaccard_join,
+    language,
+    max_sketch,
+    mixing,
+    quality,
+    sharding,
+    token_store,
+    toxicity,
+    whitening,
+)
 from shiftroll.llm.ship import ship
 
 #: The tokenizer of the token output, and the id that ends a document.
@@ -77,6 +91,18 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encoded(table(spark, sf_dir, "documents"), TOKENIZER, END_ID)
 
 
+def op11_max_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return max_sketch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_names.deduplicated(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def registered() -> dict[str, Query]:
     found = {name: f for name, f in globals().items() if name.startswith("op")}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
@@ -104,5 +130,49 @@ FROM whole
 """
 
 
+OP11_SQL = r"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), counted AS (
+    SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term
+), lengths AS (
+    SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM counted GROUP BY doc_id
+), corpus AS (
+    SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths
+), norms AS (
+    SELECT doc_id, 100 - 90 + (90 * n * docs) // terms AS m FROM lengths, corpus
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counted, corpus GROUP BY term, docs
+), wanted AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), scored AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM wanted JOIN counted USING (term) JOIN weights USING (term) JOIN norms USING (doc_id)
+    GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+OP12_SQL = """
+WITH plain AS (
+    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+    doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+FROM plain
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op6_chat": OP6_SQL}
+    return {"op6_chat": OP6_SQL, "op11_max_sketch": OP11_SQL, "op12_block_names": OP12_SQL}
