@@ -33,13 +33,36 @@ class Lookup(NamedTuple):
     how: str = "inner"
 
 
+def _bytes(value: Column, kind: T.DataType) -> Column | None:
+    """Bytes that a value takes beyond 16, None for a type that takes no more."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.octet_length(value).cast("long")
+    if isinstance(kind, T.ArrayType):
+        fixed = 8 * (len(kind.elementType.fields) if isinstance(kind.elementType, T.StructType) else 1)
+        if _bytes(F.lit(None), kind.elementType) is None:
+            return F.size(value).cast("long") * fixed
+        return F.aggregate(
+            value,
+            F.lit(0).cast("long"),
+            lambda total, x: total + fixed + F.coalesce(_bytes(x, kind.elementType), F.lit(0)),
+        )
+    if isinstance(kind, T.MapType):
+        return _bytes(F.map_entries(value), T.ArrayType(T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])))
+    if isinstance(kind, T.StructType):
+        inner = [(value.getField(f.name), f.dataType) for f in kind.fields]
+        found = [F.coalesce(b, F.lit(0)) for b in (_bytes(v, t) for v, t in inner) if b is not None]
+        return reduce(lambda a, b: a + b, found, F.lit(16 * len(inner)).cast("long"))
+    return None
+
+
 def _measure(df: DataFrame) -> DataFrame:
     """Rows and an upper estimate of the bytes of ``df``, as one row."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     rows = F.count(F.lit(1))
     size = rows * (16 * len(df.columns))
-    for name in texts:
-        size = size + F.coalesce(F.sum(F.octet_length(F.col(name))), F.lit(0))
+    for field in df.schema.fields:
+        more = _bytes(F.col(f"`{field.name}`"), field.dataType)
+        if more is not None:
+            size = size + F.coalesce(F.sum(more), F.lit(0))
     return df.agg(rows.alias("n"), size.cast("long").alias("bytes"))
 
 

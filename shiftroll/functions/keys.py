@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftroll.functions.joins import lookup_join
@@ -55,7 +55,7 @@ def dense_ids(
 
     A global sort spreads the rows over tasks by range; the sorted rows are
     written once, each with its sort task and its place there.  The ids then
-    need only the row count of each task, so no task ever sees all rows.  The
+    need only the row counts of each scope and task, so no task ever sees all rows.  The
     source partition closes the sort key: rows with equal keys can still be
     split over several tasks.
     """
@@ -69,18 +69,27 @@ def dense_ids(
         .drop("_from")
         .withColumns({"_part": F.spark_partition_id(), "_place": place})
     )
+    counts = ordered.groupBy(*scope, "_part").agg(F.count(F.lit(1)).alias("n"), F.min("_place").alias("_first"))
+    if scope:
+        # a sort task holds the rows of a scope in one piece, so these counts give all offsets
+        counts = materialise(counts)
     # one row per sort task
-    counts = sorted((r["_part"], r["n"]) for r in ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect())
-    starts = accumulate((n for _, n in counts), initial=0)
+    sizes = (counts if scope else ordered).groupBy("_part").agg((F.sum("n") if scope else F.count(F.lit(1))).alias("n"))
+    totals = sorted((r["_part"], r["n"]) for r in sizes.collect())
+    starts = accumulate((n for _, n in totals), initial=0)
     offsets = df.sparkSession.createDataFrame(
-        [(part, start) for (part, _), start in zip(counts, starts, strict=False)], "_part int, _start long"
+        [(part, start) for (part, _), start in zip(totals, starts, strict=False)], "_part int, _start long"
     )
-    ranked = ordered.join(F.broadcast(offsets), "_part").withColumn("_rank", F.col("_start") + F.col("_place") + 1)
-    if overall_col:
-        ranked = ranked.withColumn(overall_col, F.col("_rank"))
     if scope:
-        first = ranked.groupBy(*scope).agg(F.min("_rank").alias("_first"))
-        ranked = lookup_join(ranked, first, scope, "inner").withColumn("_rank", F.col("_rank") - F.col("_first") + 1)
+        before = Window.partitionBy(*scope).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        earlier = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("_first")
+        places = counts.withColumn("_earlier", earlier).join(F.broadcast(offsets), "_part").drop("n", "_first")
+        ranked = lookup_join(ordered, places, [*scope, "_part"])
+    else:
+        ranked = ordered.join(F.broadcast(offsets), "_part")
+    if overall_col:
+        ranked = ranked.withColumn(overall_col, F.col("_start") + F.col("_place") + 1)
+    ranked = ranked.withColumn("_rank", F.col("_earlier" if scope else "_start") + F.col("_place") + 1)
     numbered = on_top_of(ranked, "_rank", base, scope, id_col)
     extra = [overall_col] if overall_col else []
     return numbered.select(id_col, *extra, *[c for c in df.columns if c != id_col])

@@ -60,8 +60,30 @@ def insert_if_absent(
     return added.join(existing.select(*keys), list(keys), "left_anti").select(*new.columns)
 
 
-def insert_not_exists(new: DataFrame, existing: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not in ``existing``; repeats inside ``new`` stay."""
+def insert_in_route_order(
+    new: DataFrame, existing: DataFrame | None, keys: Sequence[str], origin: Sequence[str] = ()
+) -> DataFrame:
+    """Keyed insert in which the row of the first ``origin`` wins, then the smallest.
+
+    Routes run one after the other in the order of their company, so what an
+    earlier one brought is there when the next one inserts.
+    """
+    order = [*origin, *[c for c in new.columns if c not in (*keys, *origin)]]
+    return insert_if_absent(new, existing, keys, order).drop(*origin)
+
+
+def insert_not_exists(
+    new: DataFrame, existing: DataFrame | None, keys: Sequence[str], origin: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of ``new`` whose key is not in ``existing``; repeats inside ``new`` stay.
+
+    With ``origin`` a key belongs to the first route that has it: its rows stay,
+    later routes find them there.
+    """
+    if origin:
+        first = new.groupBy(*keys).agg(F.min(F.struct(*origin)).alias("_first"))
+        mine = F.struct(*origin).eqNullSafe(F.col("_first"))
+        new = lookup_join(new, first, keys).filter(mine).drop("_first", *origin)
     if existing is None:
         return new
     return lookup_join(new, existing.select(*keys), keys, "left_anti").select(*new.columns)

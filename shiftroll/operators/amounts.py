@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftroll.functions.joins import Lookup, lookup_joins
+from shiftroll.functions.joins import Lookup, lookup_join, lookup_joins
 from shiftroll.functions.keys import Base, dense_ids
 from shiftroll.functions.scalars import (
     EMPLOYEE_ID_PREFIX,
@@ -18,7 +18,7 @@ from shiftroll.functions.scalars import (
     to_minor_or_zero,
     upper_or_null,
 )
-from shiftroll.functions.writes import insert_if_absent
+from shiftroll.functions.writes import insert_in_route_order
 from shiftroll.operators.links import employee_lookup, link_column
 from shiftroll.params import RunParams
 
@@ -31,14 +31,9 @@ YTD = "Y"
 PLACED = (EARNING, DEDUCTION, EMPLOYER_COST, YTD, *BALANCES)
 UNKNOWN_CODETYPE = "codetype_not_found"
 ORPHAN = "employee_not_loaded"
-
-
-def _insert(
-    rows: DataFrame, existing: DataFrame | None, keys: Sequence[str], origin: Sequence[str]
-) -> DataFrame:
-    """Keyed insert in which the row of the first ``origin`` wins, then the smallest."""
-    order = [*origin, *[c for c in rows.columns if c not in (*keys, *origin)]]
-    return insert_if_absent(rows, existing, keys, order).drop(*origin)
+# what holds the key of a skipped row
+HELD_BY_TARGET = "target"
+HELD_BY_BATCH = "batch"
 
 
 def import_catalogue(
@@ -65,7 +60,7 @@ def import_catalogue(
         flag("prorataind").alias("prorata"),
         flag("qmfdisplayind").alias("qmf_display"),
     )
-    return _insert(codes, existing, [*scope, "ordinal_no"], origin)
+    return insert_in_route_order(codes, existing, [*scope, "ordinal_no"], origin)
 
 
 def stage_amounts(
@@ -78,12 +73,13 @@ def stage_amounts(
     """Non-zero amounts with their code and their employee, where these exist.
 
     Amounts meet only the codes of their own ``origin``, in which an ordinal
-    must occur once.
+    must occur once.  Settings without the columns of scope and origin are a
+    catalogue that all share.
     """
     keep = [c for c in ("hired_at",) if c in employees.columns]
+    owner = [c for c in (*scope, *origin) if c in settings.columns]
     codes = settings.select(
-        *scope,
-        *origin,
+        *owner,
         F.col("ordinalno").alias("ordinal_no"),
         F.col("description").alias("name"),
         upper_or_null("codetype").alias("codetype"),
@@ -100,7 +96,7 @@ def stage_amounts(
         F.col("amount_q").cast(MONEY_TYPE).alias("amount_raw"),
     )
     columns = ["legacy_empno", "employee_id", *keep, "ordinal_no", "name", "amount_minor", "amount_raw", "codetype"]
-    return lookup_joins(rows, [Lookup(codes, [*scope, *origin, "ordinal_no"], "left"), people]).select(
+    return lookup_joins(rows, [Lookup(codes, [*owner, "ordinal_no"], "left"), people]).select(
         *scope, *origin, *columns
     )
 
@@ -173,7 +169,7 @@ def route_employer_cost(
     staged: DataFrame, existing: DataFrame | None, scope: Sequence[str] = (), origin: Sequence[str] = ()
 ) -> DataFrame:
     keys = [*scope, "employee_id", "ordinal_no"]
-    return _insert(_to(staged, "employer_cost").select(*keys, *origin, "amount_minor"), existing, keys, origin)
+    return insert_in_route_order(_to(staged, "employer_cost").select(*keys, *origin, "amount_minor"), existing, keys, origin)
 
 
 def route_balances(
@@ -182,7 +178,7 @@ def route_balances(
     """Working balances keep their four decimals."""
     keys = [*scope, "employee_id", "ordinal_no"]
     rows = _to(staged, "balances").select(*keys, *origin, F.col("amount_raw").alias("amount"))
-    return _insert(rows, existing, keys, origin)
+    return insert_in_route_order(rows, existing, keys, origin)
 
 
 def route_deprecated(
@@ -191,7 +187,7 @@ def route_deprecated(
     """Any other known code type, kept with the type."""
     keys = [*scope, "employee_id", "ordinal_no"]
     rows = _to(staged, "deprecated").select(*keys, *origin, "amount_minor", "codetype")
-    return _insert(rows, existing, keys, origin)
+    return insert_in_route_order(rows, existing, keys, origin)
 
 
 def route_ytd(staged: DataFrame, p: RunParams) -> DataFrame:
@@ -235,6 +231,82 @@ def routing_summary(staged: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     )
 
 
+# what decides among rows of one key, after the origin, as in the inserts above
+_KEYED = ("employer_cost", "balances", "deprecated")
+
+
+def keyed_outcomes(
+    staged: DataFrame,
+    existing: Mapping[str, DataFrame | None],
+    scope: Sequence[str] = (),
+    origin: Sequence[str] = (),
+) -> DataFrame:
+    """What became of the rows of the keyed destinations: how many were staged, added and skipped.
+
+    One row for each distinct staged amount, with what holds its key: the
+    target's own row, or the batch's with its amount.  ``existing`` are the
+    target tables by destination as they were before the insert.  Repeats are
+    counted in the map tasks, so a frequent key makes no large group.
+    """
+    keys = [*scope, "destination", "employee_id", "ordinal_no"]
+    values = [*origin, "codetype", "amount_minor", "amount_raw"]
+    routed = staged if "destination" in staged.columns else route(staged)
+    groups = (
+        routed.filter(F.col("destination").isin(*_KEYED)).groupBy(*keys, *values).agg(F.count(F.lit(1)).alias("staged_rows"))
+    )
+    raw = F.when(F.col("destination") == "balances", F.col("amount_raw")).otherwise(F.col("amount_minor"))
+    kind = F.when(F.col("destination") == "deprecated", F.col("codetype"))
+    order = F.struct(*origin, raw.alias("raw"), kind.alias("kind"), "codetype", "amount_minor", "amount_raw")
+    ranked = groups.withColumn("_order", order)
+    first = ranked.groupBy(*keys).agg(F.min("_order").alias("_first"))
+    ranked = lookup_join(ranked, first, keys)
+    for name, table in existing.items():
+        if table is not None:
+            held = table.select(*[c for c in keys if c != "destination"]).distinct()
+            marked = held.withColumn("destination", F.lit(name)).withColumn(f"_{name}", F.lit(True))
+            ranked = lookup_join(ranked, marked, keys, "left")
+    held = F.coalesce(*[F.col(f"_{n}") for n, t in existing.items() if t is not None], F.lit(False))
+    won = ~held & F.col("_order").eqNullSafe(F.col("_first"))
+    added = F.when(won, F.lit(1)).otherwise(F.lit(0)).cast("long")
+    return ranked.select(
+        *keys,
+        *values,
+        "staged_rows",
+        added.alias("added_rows"),
+        (F.col("staged_rows") - added).alias("skipped_rows"),
+        F.when(held, F.lit(HELD_BY_TARGET)).otherwise(F.lit(HELD_BY_BATCH)).alias("held_by"),
+        F.when(~held, F.col("_first.amount_raw")).alias("held_amount"),
+    )
+
+
+def skipped_amounts(outcomes: DataFrame) -> DataFrame:
+    """Staged amounts that the keyed inserts left out, with the row that won."""
+    return outcomes.filter("skipped_rows > 0").drop("staged_rows", "added_rows")
+
+
+def conservation(staged: DataFrame, outcomes: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Rows and amounts staged, added and skipped per destination and code type: staged = added + skipped.
+
+    Destinations without a key add all they get.
+    """
+    by = [*scope, "destination", "codetype"]
+    routed = staged if "destination" in staged.columns else route(staged)
+    plain = routed.filter(~F.col("destination").isin(*_KEYED)).select(
+        *by, "amount_minor", F.lit(1).cast("long").alias("staged_rows"), F.lit(1).cast("long").alias("added_rows")
+    )
+    every = plain.unionByName(outcomes.select(*by, "amount_minor", "staged_rows", "added_rows"))
+    skipped = F.col("staged_rows") - F.col("added_rows")
+    amount = F.col("amount_minor")
+    return every.groupBy(*by).agg(
+        F.sum("staged_rows").alias("staged_rows"),
+        F.sum("added_rows").alias("added_rows"),
+        F.sum(skipped).alias("skipped_rows"),
+        F.sum(F.col("staged_rows") * amount).alias("staged_minor"),
+        F.sum(F.col("added_rows") * amount).alias("added_minor"),
+        F.sum(skipped * amount).alias("skipped_minor"),
+    )
+
+
 def refresh_salary(employees: DataFrame, earnings: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Set the salary on display to the sum of the employee's earning lines."""
     gross = earnings.groupBy(*scope, F.col("employee_id").alias("user_id")).agg(F.sum("amount_minor").alias("_gross"))

@@ -54,7 +54,8 @@ def ytd_basis(ledger: DataFrame, facts: DataFrame, scope: Sequence[str] = ()) ->
     """Ledger rows; employees without any fall back to the totals of their facts."""
     who = [*scope, "employee_id"]
     columns = [*who, "code", "amount_minor"]
-    fallback = lookup_join(rebuild_ledger(facts, scope), ledger.select(*who), who, "left_anti")
+    # facts of employees with a ledger go before anything is added up
+    fallback = rebuild_ledger(lookup_join(facts, ledger.select(*who).distinct(), who, "left_anti"), scope)
     return ledger.select(*columns, F.lit("ledger").alias("basis")).unionByName(
         fallback.select(*columns, F.lit("facts").alias("basis"))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +43,12 @@ _ACCOUNT_ORDER = [
 
 
 def import_bank_details(
-    accounts: DataFrame, employees: DataFrame, existing: DataFrame | None, base: Base, p: RunParams
+    accounts: DataFrame,
+    employees: DataFrame,
+    existing: DataFrame | None,
+    base: Base,
+    p: RunParams,
+    origin: Sequence[str] = (),
 ) -> DataFrame:
     """Payment accounts of loaded employees, several per employee by ordinal."""
     text = {"account_name": "accountname_g2", "account_number": "accountnumber_g3", "bank_sort_code": "branchcode_g4"}
@@ -61,10 +68,11 @@ def import_bank_details(
             F.col("accountholderstatus_g7").alias("account_holder_status"),
             flag("sarsbankaccount_g8").alias("sars_bank_account"),
             F.col("accountiban_g9").alias("iban"),
+            *origin,
         ],
         p.scope,
     )
-    added = insert_not_exists(rows, existing, [*p.scope, "employee_id", "ordinal_no"])
+    added = insert_not_exists(rows, existing, [*p.scope, "employee_id", "ordinal_no"], origin)
     return dense_ids(added, _ACCOUNT_ORDER, base, "id", p.scope).select(
         *p.scope,
         "id",
@@ -89,7 +97,7 @@ def import_bank_details(
 
 
 def build_tax_status(
-    source: DataFrame, employees: DataFrame, existing: DataFrame | None, p: RunParams
+    source: DataFrame, employees: DataFrame, existing: DataFrame | None, p: RunParams, origin: Sequence[str] = ()
 ) -> DataFrame:
     """Residence, dependants and the fixed parts of the tax status."""
     country = F.coalesce(upper_or_null("taxcountrycode_f14"), F.lit(HOME_COUNTRIES[-1]))
@@ -103,10 +111,11 @@ def build_tax_status(
             F.lit(NO_DISABILITY).alias("disability"),
             F.lit(AGE_BAND).alias("age_band"),
             iso_date("engagedate_d931").alias("effective_from"),
+            *origin,
         ],
         p.scope,
     )
-    added = insert_not_exists(rows, existing, [*p.scope, "employee_id"])
+    added = insert_not_exists(rows, existing, [*p.scope, "employee_id"], origin)
     return added.select(
         *p.scope,
         "employee_id",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftroll.functions.scalars import flag, iso_date, to_minor_or_zero
-from shiftroll.functions.writes import insert_if_absent
+from shiftroll.functions.writes import insert_in_route_order
 from shiftroll.operators.links import of_loaded_employees
 
 # Source column of each catalogue column.
@@ -20,12 +20,16 @@ SLOT_SETTINGS = {
 
 
 def import_slot_settings(
-    kind: str, settings: DataFrame, existing: DataFrame | None, scope: Sequence[str] = ()
+    kind: str,
+    settings: DataFrame,
+    existing: DataFrame | None,
+    scope: Sequence[str] = (),
+    origin: Sequence[str] = (),
 ) -> DataFrame:
-    """Catalogue of the slots of one kind; an ordinal already there is skipped."""
+    """Catalogue of the slots of one kind; an ordinal already there is skipped, the first ``origin`` wins."""
     columns = [F.col(source).alias(target) for target, source in SLOT_SETTINGS[kind].items()]
-    rows = settings.select(*scope, F.col("ordinalno").alias("ordinal_no"), *columns)
-    return insert_if_absent(rows, existing, [*scope, "ordinal_no"])
+    rows = settings.select(*scope, *origin, F.col("ordinalno").alias("ordinal_no"), *columns)
+    return insert_in_route_order(rows, existing, [*scope, "ordinal_no"], origin)
 
 
 def _import_slots(
@@ -34,34 +38,51 @@ def _import_slots(
     values: Sequence[Column],
     existing: DataFrame | None,
     scope: Sequence[str],
+    origin: Sequence[str],
 ) -> DataFrame:
-    rows = of_loaded_employees(table, employees, [F.col("ordinalno").alias("ordinal_no"), *values], scope)
+    rows = of_loaded_employees(table, employees, [F.col("ordinalno").alias("ordinal_no"), *values, *origin], scope)
     keys = [*scope, "employee_id", "ordinal_no"]
     ordered = rows.select(*keys, *[c for c in rows.columns if c not in keys])
-    return insert_if_absent(ordered, existing, keys)
+    return insert_in_route_order(ordered, existing, keys, origin)
 
 
 def import_alpha(
-    alpha: DataFrame, employees: DataFrame, existing: DataFrame | None = None, scope: Sequence[str] = ()
+    alpha: DataFrame,
+    employees: DataFrame,
+    existing: DataFrame | None = None,
+    scope: Sequence[str] = (),
+    origin: Sequence[str] = (),
 ) -> DataFrame:
-    return _import_slots(alpha, employees, [F.col("reference_v").alias("value")], existing, scope)
+    return _import_slots(alpha, employees, [F.col("reference_v").alias("value")], existing, scope, origin)
 
 
 def import_dates(
-    dates: DataFrame, employees: DataFrame, existing: DataFrame | None = None, scope: Sequence[str] = ()
+    dates: DataFrame,
+    employees: DataFrame,
+    existing: DataFrame | None = None,
+    scope: Sequence[str] = (),
+    origin: Sequence[str] = (),
 ) -> DataFrame:
-    return _import_slots(dates, employees, [iso_date("date_d0").alias("value")], existing, scope)
+    return _import_slots(dates, employees, [iso_date("date_d0").alias("value")], existing, scope, origin)
 
 
 def import_precision(
-    values: DataFrame, employees: DataFrame, existing: DataFrame | None = None, scope: Sequence[str] = ()
+    values: DataFrame,
+    employees: DataFrame,
+    existing: DataFrame | None = None,
+    scope: Sequence[str] = (),
+    origin: Sequence[str] = (),
 ) -> DataFrame:
     """Ten-decimal values go over unchanged."""
-    return _import_slots(values, employees, [F.col("amount_m").alias("value")], existing, scope)
+    return _import_slots(values, employees, [F.col("amount_m").alias("value")], existing, scope, origin)
 
 
 def import_thirdparty(
-    payments: DataFrame, employees: DataFrame, existing: DataFrame | None = None, scope: Sequence[str] = ()
+    payments: DataFrame,
+    employees: DataFrame,
+    existing: DataFrame | None = None,
+    scope: Sequence[str] = (),
+    origin: Sequence[str] = (),
 ) -> DataFrame:
     columns = [
         F.col("agentkey").alias("agent_key"),
@@ -74,4 +95,4 @@ def import_thirdparty(
         iso_date("thirdpartydate").alias("third_party_date"),
         F.col("thirdpartyreference").alias("third_party_reference"),
     ]
-    return _import_slots(payments, employees, columns, existing, scope)
+    return _import_slots(payments, employees, columns, existing, scope, origin)

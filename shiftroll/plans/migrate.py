@@ -3,35 +3,64 @@
 Legacy tables lie below one folder, ``<legacy>/<table>/source_schema=<schema>``,
 target tables below another, ``<target>/<table>/tenant=<tenant>``.  Each step is
 one job for all tenants.  An append is committed as a whole; steps that skip
-known keys can be repeated, the others add their rows again.
+known keys can be repeated, the others add their rows again.  Where companies
+share a tenant, the rows of the earlier route win, as if routes ran in turn.
+
+The carried tables follow from the dictionary and from the source's own list of
+columns (see ``operators.carry`` and ``operators.reconcile``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shiftroll.functions.joins import lookup_join
 from shiftroll.functions.keys import high_water, max_id
 from shiftroll.functions.writes import require_absent, require_unique
-from shiftroll.operators import amounts, derive, employees, slots
-from shiftroll.operators.carried_tables import CARRIED, CarrySpec
-from shiftroll.operators.carry import carry_table
+from shiftroll.operators import amounts, derive, drift, employees, reconcile, slots
+from shiftroll.operators.carried_tables import CARRIED
+from shiftroll.operators.carry import (
+    SOURCE_SCHEMA,
+    Absent,
+    CarriedTable,
+    carry_table,
+    in_scope,
+    registry_of,
+    require_known_columns,
+)
 from shiftroll.params import RunParams
 from shiftroll.session import clear_scratch, materialise
 from shiftroll.sources import routes
-from shiftroll.sources.tables import append, append_report, replace_partitions, table_exists
+from shiftroll.sources.routes import ORIGIN
+from shiftroll.sources.tables import (
+    append,
+    append_report,
+    columns_by_schema,
+    read_source,
+    replace_partitions,
+    table_exists,
+    write_drift,
+)
 
-SOURCE_SCHEMA = "source_schema"
+TABLES_AT_A_TIME = 8
+#: Columns that a run adds to the rows of a source.
+ROUTE_COLUMNS = ("tenant", "target_payroll_id", "payroll_number", ORIGIN)
 
 
 @dataclass
 class Migration:
-    """One run.  ``targets`` holds the columns of the carried target tables."""
+    """One run.
+
+    ``dictionary`` (``carry.DICTIONARY_SCHEMA``) describes the carried tables,
+    ``listed`` (schema, table, column) is the source's list of the columns it
+    has.  Without the list the source must have all that the dictionary promises.
+    """
 
     spark: SparkSession
     legacy: str
@@ -39,7 +68,8 @@ class Migration:
     route_map: DataFrame
     cutover: str
     system_user_id: int = 1
-    targets: Mapping[str, T.StructType] = field(default_factory=dict)
+    dictionary: DataFrame | None = None
+    listed: DataFrame | None = None
 
     @property
     def p(self) -> RunParams:
@@ -47,17 +77,17 @@ class Migration:
 
     # ---- tables ----------------------------------------------------------
 
-    def source(self, table: str, side: str = "company", with_schema: bool = False) -> DataFrame:
-        folder, inference = f"{self.legacy}/{table}", "spark.sql.sources.partitionColumnTypeInference.enabled"
-        known = self.spark.conf.get(inference)
-        self.spark.conf.set(inference, "false")  # a schema named 007 is a name
-        try:
-            # companies may differ in columns; types that differ are an error
-            rows = self.spark.read.option("basePath", folder).option("mergeSchema", "true").parquet(folder)
-        finally:
-            self.spark.conf.set(inference, known)
-        routed = routes.attach_route(rows, self.route_map, SOURCE_SCHEMA, side)
-        return routed if with_schema else routed.drop(SOURCE_SCHEMA)
+    @cached_property
+    def registry(self) -> dict[str, CarriedTable]:
+        return {} if self.dictionary is None else registry_of(self.dictionary)
+
+    @cached_property
+    def absent(self) -> Mapping[str, Absent]:
+        return {} if self.listed is None else reconcile.absent_columns(self.registry, self.listed)
+
+    def source(self, table: str, side: str = "company") -> DataFrame:
+        """Rows of all mapped schemas with their route; ``origin`` is the company whose route brought them."""
+        return routes.attach_route(read_source(self.spark, self.legacy, table), self.route_map, SOURCE_SCHEMA, side)
 
     def has_source(self, table: str) -> bool:
         return table_exists(self.spark, f"{self.legacy}/{table}")
@@ -99,15 +129,19 @@ class Migration:
 
     def load_amounts(self) -> None:
         # companies of one tenant each have a catalogue of their own
-        scope, origin = self.p.scope, (SOURCE_SCHEMA,)
-        settings = self.source("settings_employee_amounts", with_schema=True)
+        scope, origin = self.p.scope, (ORIGIN,)
+        settings = self.source("settings_employee_amounts")
         require_unique(settings, [*origin, "ordinalno"])
         catalogue = amounts.import_catalogue(settings, self.existing("settings_employee_amounts"), scope, origin)
         self.add("settings_employee_amounts", catalogue)
-        lines = self.source("employee_amounts", with_schema=True)
+        lines = self.source("employee_amounts")
         staged = amounts.stage_amounts(lines, settings, self.existing("employees"), scope, origin)
         # read once per destination below
         staged = materialise(amounts.route(staged), ["destination"])
+        before = {d: self.existing(f"employee_amount_{d}") for d in ("employer_cost", "balances", "deprecated")}
+        outcomes = materialise(amounts.keyed_outcomes(staged, before, scope, origin))
+        self.report("report_amount_conservation", amounts.conservation(staged, outcomes, scope))
+        self.report("report_skipped_amounts", amounts.skipped_amounts(outcomes))
         for table, numbered in (
             ("employee_amount_earnings", amounts.route_earnings),
             ("employee_amount_deductions", amounts.route_deductions),
@@ -136,7 +170,7 @@ class Migration:
         replace_partitions(materialise(refreshed), self.path("employees"), ["tenant"])
 
     def load_slots(self) -> None:
-        scope = self.p.scope
+        scope, origin = self.p.scope, (ORIGIN,)
         loaded = self.existing("employees")
         for kind, table in (
             ("alpha", "settings_employee_alpha"),
@@ -144,7 +178,7 @@ class Migration:
             ("precision", "settings_employee_precision_amounts"),
         ):
             if self.has_source(table):
-                rows = slots.import_slot_settings(kind, self.source(table), self.existing(table), scope)
+                rows = slots.import_slot_settings(kind, self.source(table), self.existing(table), scope, origin)
                 self.add(table, rows)
         for table, fill in (
             ("employee_alpha", slots.import_alpha),
@@ -153,22 +187,59 @@ class Migration:
             ("employee_thirdparty_payments", slots.import_thirdparty),
         ):
             if self.has_source(table):
-                self.add(table, fill(self.source(table), loaded, self.existing(table), scope))
+                self.add(table, fill(self.source(table), loaded, self.existing(table), scope, origin))
 
-    def carry(self, spec: CarrySpec) -> None:
-        rows = self.source(spec.table, spec.source)
-        target = self.targets[spec.table]
-        known = self.existing(spec.table)
-        self.add(spec.table, carry_table(rows, spec, target, self.existing("employees"), known, self.p))
+    @cached_property
+    def _mapped(self) -> dict[str, set[str]]:
+        rows = self.route_map.select("legacy_company_schema", "legacy_payroll_schema").collect()
+        return {side: {r[f"legacy_{side}_schema"] for r in rows} for side in ("company", "payroll")}
+
+    def check_columns(self, table: CarriedTable) -> None:
+        """Raise when the table could not be carried whole."""
+        name = table.spec.table
+        present = columns_by_schema(self.spark, self.legacy, name)
+        mapped = {s: c for s, c in present.items() if s in self._mapped[table.spec.source]}
+        reconcile.require_listed_gaps(table, mapped, self.absent.get(name, {}))
+        require_known_columns(table, self.existing(name), self.p.scope)
+
+    def carry(self, table: CarriedTable) -> None:
+        name, absent = table.spec.table, self.absent.get(table.spec.table, {})
+        rows, people = self.source(name, table.spec.source), self.existing("employees")
+        self.add(name, carry_table(rows, table, people, self.existing(name), self.p, absent, (ORIGIN,)))
+
+    def report_losses(self, table: CarriedTable) -> None:
+        rows = self.source(table.spec.table, table.spec.source)
+        if table.link or reconcile.stray_columns(rows, table, ROUTE_COLUMNS):
+            lost = reconcile.not_carried(rows, table, self.existing("employees"), self.p.scope, ROUTE_COLUMNS)
+            self.report("report_not_carried", lost)
 
     def carry_tables(self) -> None:
-        present = [spec for table, spec in CARRIED.items() if self.has_source(table)]
-        unknown = [x.table for x in present if x.table not in self.targets and not self.source(x.table, x.source).isEmpty()]
+        """Carry all tables of the dictionary; nothing is written unless every table passes its checks.
+
+        Most of these tables are small, so several are carried at a time.
+        """
+        names = [name for name in sorted({*CARRIED, *self.registry}) if self.has_source(name)]
+        unknown = [
+            name
+            for name in names
+            if name not in self.registry and not self.source(name, CARRIED[name].source).isEmpty()
+        ]
         if unknown:
-            raise ValueError(f"tables with rows but without target columns: {', '.join(unknown)}")
-        for spec in present:
-            if spec.table in self.targets:
-                self.carry(spec)
+            raise ValueError(f"tables with rows that the dictionary lacks: {', '.join(unknown)}")
+        tables = [self.registry[name] for name in names if name in self.registry]
+        _ = self.absent, self._mapped
+        with ThreadPoolExecutor(TABLES_AT_A_TIME) as pool:
+            list(pool.map(self.check_columns, tables))
+            list(pool.map(self.carry, tables))
+        # one report table: its appends must not overlap
+        for table in tables:
+            self.report_losses(table)
+
+    def report_drift(self) -> None:
+        """Where the source's list differs from the dictionary's tables in scope, both ways."""
+        expected = in_scope(self.dictionary).select("table_name", F.lower("column_name").alias("column_name"))
+        found = self.listed.select("table_name", F.lower("column_name").alias("column_name"))
+        write_drift(drift.column_drift(expected, found), self.path("report_drift"))
 
     def next_ids(self) -> dict[str, DataFrame]:
         """Next free id per tenant of each auto-key table, for its sequence."""
@@ -179,7 +250,12 @@ class Migration:
     def load_accounts(self) -> None:
         table = "employee_bank_details"
         rows = derive.import_bank_details(
-            self.source("employee_accounts"), self.existing("employees"), self.existing(table), self._base(table), self.p
+            self.source("employee_accounts"),
+            self.existing("employees"),
+            self.existing(table),
+            self._base(table),
+            self.p,
+            (ORIGIN,),
         )
         self.add(table, rows, clustered=True)
 
@@ -188,7 +264,7 @@ class Migration:
         self.add(
             table,
             derive.build_tax_status(
-                self.source("employees"), self.existing("employees"), self.existing(table), self.p
+                self.source("employees"), self.existing("employees"), self.existing(table), self.p, (ORIGIN,)
             ),
         )
 
@@ -209,6 +285,8 @@ class Migration:
             self.load_employees()
             self.load_amounts()
             self.load_slots()
+            if self.dictionary is not None and self.listed is not None:
+                self.report_drift()
             self.carry_tables()
             if self.has_source("employee_accounts"):
                 self.load_accounts()

@@ -59,7 +59,7 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
           CASE WHEN c_custkey % 3 = 0 THEN c_custkey + 1000 || '@migrated.invalid'
             ELSE 'user' || c_custkey || '@example.org' END AS email,
           c_custkey, c_nationkey, 'co_' || n_regionkey AS source_schema
-        FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN order_days ON o_custkey = c_custkey""",
+        FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN order_days ON o_custkey = c_custkey""",
     ),
     "minted": (
         ("staged_employees",),
@@ -96,6 +96,56 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT r.tenant, s.* FROM staged s JOIN staged_employees e ON e.legacy_empno = s.legacy_empno
         JOIN routes r USING (source_schema)""",
     ),
+    "shared_codes": (
+        ("part_types",),
+        """SELECT 'tenant_shared_' || (g.r_regionkey % 2) AS tenant, 'co_' || g.r_regionkey AS origin, g.r_regionkey,
+          CASE (p_partkey + g.r_regionkey) % 11 WHEN 0 THEN 'E' WHEN 1 THEN 'D' WHEN 2 THEN 'C' WHEN 3 THEN 'B'
+            WHEN 4 THEN 'T' WHEN 5 THEN 'H' WHEN 6 THEN 'Y' WHEN 7 THEN 'S' WHEN 8 THEN 'J' WHEN 10 THEN 'E' END AS code_type,
+          p.* EXCLUDE (codetype) FROM part_types p JOIN region g ON p_partkey % 5 <> g.r_regionkey WHERE p_size <= 45""",
+    ),
+    "used_codes": (
+        ("shared_codes",),
+        """SELECT * FROM shared_codes WHERE (r_regionkey, p_partkey) IN (SELECT n_regionkey, l_partkey FROM lineitem
+          JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey)""",
+    ),
+    "at_home": (
+        ("loaded",),
+        """SELECT loaded.*, n_regionkey FROM loaded JOIN customer ON c_custkey + 100000 = user_id
+          JOIN nation ON n_nationkey = c_nationkey""",
+    ),
+    "shared_staged": (
+        ("used_codes", "at_home", "order_lines"),
+        """SELECT 'tenant_shared_' || (sn.n_regionkey % 2) AS tenant, 'co_' || sn.n_regionkey AS origin,
+          e.user_id AS employee_id, e.hired_at, l_partkey AS ordinal_no, c.p_name AS name, c.code_type AS codetype,
+          CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(19,4)) AS amount_raw
+        FROM order_lines JOIN supplier ON s_suppkey = l_suppkey JOIN nation sn ON sn.n_nationkey = s_nationkey
+        LEFT JOIN used_codes c ON c.r_regionkey = sn.n_regionkey AND c.p_partkey = l_partkey
+        LEFT JOIN at_home e ON e.user_id = o_custkey + 100000 AND e.n_regionkey % 2 = sn.n_regionkey % 2
+        WHERE l_discount <> 0 AND l_extendedprice <> 0""",
+    ),
+    "shared_routed": (
+        ("shared_staged",),
+        """SELECT *, CAST(round(amount_raw * 100) AS BIGINT) AS amount_minor,
+          CASE WHEN employee_id IS NULL THEN 'employee_not_loaded'
+          WHEN codetype IS NULL THEN 'codetype_not_found' WHEN codetype = 'E' THEN 'earnings'
+          WHEN codetype = 'D' THEN 'deductions' WHEN codetype = 'C' THEN 'employer_cost'
+          WHEN codetype IN ('B', 'T') THEN 'balances' WHEN codetype = 'Y' THEN 'ytd_takeon'
+          ELSE 'deprecated' END AS destination FROM shared_staged""",
+    ),
+    "keyed": (
+        ("routed",),
+        """SELECT r.*, k.employee_id IS NOT NULL AS held, row_number() OVER (
+          PARTITION BY destination, r.employee_id, r.ordinal_no
+          ORDER BY CASE WHEN destination = 'balances' THEN amount_raw ELSE amount_minor END, codetype, amount_minor,
+            amount_raw) AS nth,
+          first_value(amount_raw) OVER (PARTITION BY destination, r.employee_id, r.ordinal_no
+          ORDER BY CASE WHEN destination = 'balances' THEN amount_raw ELSE amount_minor END, codetype, amount_minor,
+            amount_raw) AS first_raw
+        FROM routed r LEFT JOIN (SELECT DISTINCT o_custkey + 100000 AS employee_id, l_partkey AS ordinal_no
+          FROM order_lines WHERE l_linenumber = 1) k
+        ON k.employee_id = r.employee_id AND k.ordinal_no = r.ordinal_no AND r.destination <> 'employer_cost'
+        WHERE destination IN ('employer_cost', 'balances', 'deprecated')""",
+    ),
     "dated_rows": (
         (),
         """SELECT event_id AS id, user_id AS employee_id, CASE event_type WHEN 'signup' THEN 2 ELSE 1 END AS payroll_id,
@@ -229,7 +279,7 @@ def statements() -> dict[str, str]:
         CAST(p_size > 25 AS INTEGER) AS manual_display,
         CAST(CAST(p_retailprice AS DECIMAL(12,2)) > 1000 AS INTEGER) AS prorata,
         CAST(p_type <> 'ECONOMY' AS INTEGER) AS qmf_display
-        FROM part_types WHERE p_partkey NOT IN (SELECT s_suppkey FROM supplier)""",
+        FROM part_types WHERE p_partkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 = 0)""",
     )
     sql["stage_amounts"] = _sql(("staged",), "SELECT * FROM staged")
     sql["route_amounts"] = _sql(
@@ -266,6 +316,25 @@ def statements() -> dict[str, str]:
     sql["routing_summary"] = _sql(
         ("routed",), f"SELECT destination, codetype, {summary} FROM routed GROUP BY destination, codetype"
     )
+    sql["routing_conservation"] = _sql(
+        ("keyed",),
+        """, fates AS (
+          SELECT destination, codetype, amount_minor, CASE WHEN nth = 1 AND NOT held THEN 1 ELSE 0 END AS added FROM keyed
+          UNION ALL SELECT destination, codetype, amount_minor, 1 FROM routed
+          WHERE destination NOT IN ('employer_cost', 'balances', 'deprecated'))
+        SELECT destination, codetype, count(*) AS staged_rows, CAST(sum(added) AS BIGINT) AS added_rows,
+          CAST(sum(1 - added) AS BIGINT) AS skipped_rows, CAST(sum(amount_minor) AS BIGINT) AS staged_minor,
+          CAST(sum(added * amount_minor) AS BIGINT) AS added_minor,
+          CAST(sum((1 - added) * amount_minor) AS BIGINT) AS skipped_minor
+        FROM fates GROUP BY destination, codetype""",
+    )
+    sql["skipped_amounts"] = _sql(
+        ("keyed",),
+        """SELECT destination, employee_id, ordinal_no, codetype, amount_minor, amount_raw,
+          count(*) AS skipped_rows, CASE WHEN held THEN 'target' ELSE 'batch' END AS held_by,
+          CASE WHEN NOT held THEN first_raw END AS held_amount
+        FROM keyed WHERE held OR nth > 1 GROUP BY ALL""",
+    )
     sql["refresh_salary"] = _sql(
         ("routed",),
         """SELECT l.id, l.user_id, CAST(coalesce(sum(r.amount_minor), 0) AS BIGINT) AS salary_current_minor
@@ -293,7 +362,7 @@ def statements() -> dict[str, str]:
         ("routed",), f"{_quarantine('codetype_not_found')} UNION ALL {_quarantine('employee_not_loaded')}"
     )
     sql["import_alpha_settings"] = f"""SELECT p_size AS ordinal_no, p_name AS name FROM part
-        WHERE p_size NOT IN (SELECT s_suppkey FROM supplier) {_first("p_size", ["p_name"])}"""
+        WHERE p_size NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 = 0) {_first("p_size", ["p_name"])}"""
     sql["import_date_settings"] = f"""SELECT p_size AS ordinal_no, p_brand AS name FROM part
         {_first("p_size", ["p_brand"])}"""
     sql["import_precision_settings"] = f"""SELECT p_size AS ordinal_no, p_brand AS name, p_type AS code_type,
@@ -360,6 +429,7 @@ def statements() -> dict[str, str]:
     sql.update(_carried())
     sql.update(_schema_tools())
     sql.update(_tenants(summary))
+    sql.update(_shared())
     sql.update(_pay_run())
     return sql
 
@@ -478,6 +548,27 @@ def _schema_tools() -> dict[str, str]:
     return {
         "schema_drift": drift,
         "drift_report": drift,
+        "column_list_drift": """WITH listed AS (SELECT table_name, column_name FROM information_schema.columns
+            WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events',
+              'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations')),
+          promised AS (SELECT * FROM listed WHERE column_name NOT LIKE '%key'
+            UNION ALL SELECT DISTINCT table_name, table_name || '_note' FROM listed),
+          scope AS (SELECT DISTINCT table_name FROM listed WHERE table_name NOT IN ('region', 'nation', 'events'))
+        SELECT table_name, column_name, 'unexpected_column' AS kind FROM listed JOIN scope USING (table_name)
+        WHERE (table_name, column_name) NOT IN (SELECT * FROM promised)
+        UNION ALL SELECT table_name, column_name, 'missing_column' FROM promised JOIN scope USING (table_name)
+        WHERE (table_name, column_name) NOT IN (SELECT * FROM listed)
+        UNION ALL SELECT table_name || '_archive', NULL, 'missing_table' FROM scope WHERE table_name LIKE 'p%'""",
+        "read_two_companies": """SELECT CASE WHEN n_regionkey % 2 = 0 THEN '007' ELSE 'co_b' END AS source_schema,
+        'B' || (c_nationkey % 4) AS branchcode, c_mktsegment AS bankname, c_name AS branchname,
+        CASE WHEN n_regionkey % 2 = 0 THEN CAST(c_nationkey AS VARCHAR) END AS countrycode,
+        CASE WHEN n_regionkey % 2 = 1 AND c_acctbal > 0 THEN CAST(CAST(c_acctbal AS DECIMAL(12,2)) * 100 AS BIGINT) END AS fee
+        FROM customer JOIN nation ON n_nationkey = c_nationkey""",
+        "high_water_tables": """SELECT 'employee_increments' AS table_name, CAST(max(o_orderkey) + 1 AS BIGINT) AS next_id
+        FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_acctbal >= 0
+        UNION ALL SELECT 'pay_run_tax_audit', max(event_id) + 1 FROM events JOIN customer ON c_custkey = user_id
+        WHERE c_acctbal >= 0
+        UNION ALL SELECT 'ratef', max(p_partkey) + 1 FROM part""",
         "normalise_columns": """SELECT event_id AS id, CAST(ts AS DATE) AS event_ts, user_id AS employee_id,
         event_type AS row_no, value AS rate_value, props AS employee_code FROM events""",
         "migration_map": f"""SELECT 'co_' || s_nationkey AS legacy_company_schema,
@@ -522,6 +613,63 @@ def _tenants(summary: str) -> dict[str, str]:
     }
 
 
+def _shared() -> dict[str, str]:
+    keys = "tenant, employee_id, ordinal_no"
+    return {
+        "tenant_shared_catalogue": _sql(
+            ("used_codes",),
+            f"""SELECT tenant, p_partkey AS ordinal_no, p_name AS name, code_type, p_brand AS currency_code,
+            CAST(CAST(p_retailprice AS DECIMAL(12,2)) * 100 AS BIGINT) AS code_limit_minor, p_type AS tax_type,
+            p_size AS tax_inc_asn, p_name AS consol_code, p_size % 2 AS adjust_flag,
+            CAST(p_size > 25 AS INTEGER) AS manual_display,
+            CAST(CAST(p_retailprice AS DECIMAL(12,2)) > 1000 AS INTEGER) AS prorata,
+            CAST(p_type <> 'ECONOMY' AS INTEGER) AS qmf_display
+            FROM used_codes {_first("tenant, p_partkey", ["origin"])}""",
+        ),
+        "tenant_shared_earnings": _sql(
+            ("shared_routed",),
+            f"""SELECT tenant, row_number() OVER (PARTITION BY tenant ORDER BY employee_id, ordinal_no, amount_raw, name) AS id,
+            employee_id, name AS label, amount_minor, 1 AS taxable, 1 AS uif_applicable, hired_at AS effective_from,
+            '{CUTOVER}' AS recorded_at, 7 AS created_by_user_id, CAST(NULL AS VARCHAR) AS ended_at, name AS payroll_code
+            FROM shared_routed WHERE destination = 'earnings'""",
+        ),
+        "tenant_shared_balances": _sql(
+            ("shared_routed",),
+            f"""SELECT {keys}, amount_raw AS amount FROM shared_routed WHERE destination = 'balances'
+            {_first(keys, ["origin", "amount_raw"])}""",
+        ),
+        "tenant_shared_summary": _sql(
+            ("shared_routed",),
+            """SELECT tenant, destination, codetype, count(*) AS row_count,
+            CAST(sum(amount_minor) AS BIGINT) AS amount_minor FROM shared_routed GROUP BY ALL""",
+        ),
+        "tenant_shared_slots": _sql(
+            ("at_home",),
+            f"""SELECT 'tenant_shared_' || (n_regionkey % 2) AS tenant, e.user_id AS employee_id,
+            CAST(event_id % 7 AS INTEGER) AS ordinal_no, props || (9 - event_id % 5) AS value
+            FROM events v JOIN at_home e ON e.user_id = v.user_id + 100000 AND event_id % 5 % 2 = n_regionkey % 2
+            {_first("tenant, e.user_id, event_id % 7", ["'co_' || (event_id % 5)", "props || (9 - event_id % 5)"])}""",
+        ),
+        "tenant_shared_carry": f"""SELECT 'tenant_shared_' || (n_regionkey % 2) AS tenant, 'B' || (c_nationkey % 4) AS branch_code,
+            c_mktsegment AS bank_name, CAST(NULL AS VARCHAR) AS branch_addr1, CAST(NULL AS VARCHAR) AS branch_addr2,
+            CAST(NULL AS VARCHAR) AS branch_addr3, CAST(NULL AS VARCHAR) AS branch_addr4, c_name AS branch_name,
+            CASE WHEN n_regionkey % 2 = 0 THEN CAST(c_nationkey AS VARCHAR) END AS country_code,
+            CAST(NULL AS VARCHAR) AS bank_swift_code FROM customer JOIN nation ON n_nationkey = c_nationkey
+            {_first("tenant, branch_code", ["'co_' || n_regionkey", "c_mktsegment", "c_name"])}""",
+        "not_carried_report": _sql(
+            ("loaded",),
+            """, runs AS (SELECT *, 'co_' || n_regionkey AS source_schema, 'tenant_' || lower(r_name) AS tenant,
+              EXISTS (SELECT 1 FROM loaded WHERE user_id = o_custkey + 100000) AS known
+              FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+              JOIN region ON r_regionkey = n_regionkey)
+            SELECT tenant, source_schema, 'run_history' AS table_name, 'backpay' AS column_name,
+              'no_target_column' AS reason, count(*) AS row_count FROM runs WHERE o_orderstatus = 'F' GROUP BY ALL
+            UNION ALL SELECT tenant, source_schema, 'run_history', NULL, 'employee_not_loaded', count(*)
+            FROM runs WHERE NOT known GROUP BY ALL""",
+        ),
+    }
+
+
 def _pay_run() -> dict[str, str]:
     return {
         "as_of_snapshot": _sql(("snapshot",), "SELECT * FROM snapshot"),

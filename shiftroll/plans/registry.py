@@ -3,19 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shiftroll.functions.joins import lookup_join
 from shiftroll.functions.keys import high_water, max_id
-from shiftroll.operators import amounts, asof, derive, drift, employees, export, naming, slots
+from shiftroll.operators import amounts, asof, derive, drift, employees, export, naming, reconcile, slots
 from shiftroll.operators.carried_tables import CARRIED
-from shiftroll.operators.carry import carry_table, plan_from_dictionary, unlinked_rows
+from shiftroll.operators.carry import SOURCE_SCHEMA, carry_table, in_scope, plan_from_dictionary, unlinked_rows
 from shiftroll.params import RunParams
 from shiftroll.session import scratch_path
 from shiftroll.sources import routes
+from shiftroll.plans.migrate import ROUTE_COLUMNS
+from shiftroll.sources.routes import ORIGIN
 from shiftroll.sources.standins import DICTIONARY, USER_BASE, Standins
-from shiftroll.sources.tables import append_report, write_drift
+from shiftroll.sources.tables import (
+    COLUMN_LIST_SCHEMA,
+    append_report,
+    read_any,
+    read_columns_csv,
+    read_source,
+    write_columns_csv,
+    write_drift,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +39,10 @@ PARAMS = RunParams(
     system_user_id=7,
 )
 PAYDAY = "2024-01-15"
+SAMPLE = "sample"
+SAMPLE_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 TENANT_PARAMS = routes.route_params(PARAMS.cutover, PARAMS.system_user_id)
 
 _QUERIES: dict[str, Query] = {}
@@ -161,6 +177,24 @@ def routing_summary(s: Standins) -> DataFrame:
     return amounts.routing_summary(_staged(s))
 
 
+def _outcomes(s: Standins, staged: DataFrame) -> DataFrame:
+    known = s.known_amounts()
+    return amounts.keyed_outcomes(staged, {"balances": known, "deprecated": known, "employer_cost": None})
+
+
+@query
+def routing_conservation(s: Standins) -> DataFrame:
+    """Staged, added and skipped rows and amounts of every destination and code type."""
+    staged = _staged(s)
+    return amounts.conservation(staged, _outcomes(s, staged))
+
+
+@query
+def skipped_amounts(s: Standins) -> DataFrame:
+    """Amounts that the keyed inserts leave out, and what holds their key."""
+    return amounts.skipped_amounts(_outcomes(s, _staged(s)))
+
+
 @query
 def refresh_salary(s: Standins) -> DataFrame:
     earnings = amounts.route(_staged(s)).filter(F.col("destination") == "earnings")
@@ -270,10 +304,11 @@ CARRY_SOURCES: dict[str, str] = {
 
 
 def carried(s: Standins, table: str, existing: DataFrame | None = None) -> DataFrame:
-    source, columns = DICTIONARY[table]
-    target = plan_from_dictionary(table, source, columns).target
+    plan = plan_from_dictionary(table, *DICTIONARY[table])
     src = getattr(s, CARRY_SOURCES[table])()
-    return carry_table(src, CARRIED[table], target, s.loaded_employees(), existing, PARAMS)
+    # the sample source lists the columns it has
+    absent = dict.fromkeys(set(plan.sources) - set(src.columns))
+    return carry_table(src, plan, s.loaded_employees(), existing, PARAMS, absent)
 
 
 def _carry_query(table: str) -> None:
@@ -296,7 +331,8 @@ def carry_ratef_again(s: Standins) -> DataFrame:
 
 @query
 def carry_unlinked_rows(s: Standins) -> DataFrame:
-    return unlinked_rows(s.run_history(), s.loaded_employees())
+    plan = plan_from_dictionary("run_history", *DICTIONARY["run_history"])
+    return unlinked_rows(s.run_history(), plan, s.loaded_employees())
 
 
 @query
@@ -336,6 +372,52 @@ def drift_report(s: Standins) -> DataFrame:
     return s.spark.read.schema(found.schema).json(path)
 
 
+@query
+def column_list_drift(s: Standins) -> DataFrame:
+    """The list of all columns of the sample tables, through its file, against a dictionary with scopes.
+
+    The dictionary promises a note in every table and an archive of every one
+    whose name begins with p, and knows no keys; three tables are out of scope.
+    """
+    path = scratch_path(s.spark)
+    found = [(SAMPLE, t, c) for t in SAMPLE_TABLES for c in read_any(s.spark, s.folder, t).columns]
+    write_columns_csv(s.spark.createDataFrame(found, COLUMN_LIST_SCHEMA), path)
+    listed = read_columns_csv(s.spark, path)
+    tables = listed.select("table_name").distinct()
+    promised = (
+        listed.filter(~F.col("column_name").endswith("key"))
+        .select("table_name", "column_name")
+        .union(tables.select("table_name", F.concat("table_name", F.lit("_note"))))
+        .union(tables.filter(F.col("table_name").startswith("p")).select(F.concat("table_name", F.lit("_archive")), F.lit("id")))
+    )
+    dictionary = promised.withColumns(
+        {
+            "schema_type": F.when(F.col("table_name") == "region", "SYSTEM")
+            .when(F.col("table_name") < "m", "COMPANY")
+            .otherwise("PAYROLL"),
+            "copy_data": ~F.col("table_name").isin("nation", "events"),
+        }
+    )
+    return drift.column_drift(in_scope(dictionary), listed)
+
+
+@query
+def read_two_companies(s: Standins) -> DataFrame:
+    """Files of two companies with different columns, read as one table with its run-time schema."""
+    root = scratch_path(s.spark)
+    for schema, part in zip(("007", "co_b"), s.company_banks(), strict=True):
+        part.drop("source_schema").write.parquet(f"{root}/settings_banks/{SOURCE_SCHEMA}={schema}")
+    return read_source(s.spark, root, "settings_banks")
+
+
+@query
+def high_water_tables(s: Standins) -> DataFrame:
+    """Next free id of the auto-key tables that the sample can feed."""
+    tables = [t for t in CARRY_SOURCES if CARRIED[t].auto_key]
+    marks = [high_water(carried(s, t)).select(F.lit(t).alias("table_name"), "next_id") for t in tables]
+    return reduce(DataFrame.unionByName, marks)
+
+
 @query
 def normalise_columns(s: Standins) -> DataFrame:
     legacy = ["AutoNumber", "EventTS", "EmployeeNo", "Row", "RateValue", "EmployeeId"]
@@ -352,23 +434,31 @@ def migration_map(s: Standins) -> DataFrame:
 
 
 def _tenant_minted(s: Standins) -> employees.Minted:
-    routed = routes.attach_route(s.employees(), s.region_routes(), "source_schema")
+    routed = routes.attach_route(s.employees(), s.region_routes(), SOURCE_SCHEMA)
     staged = employees.stage_employees(routed, ["tenant", "target_payroll_id"])
     return employees.mint_users(staged, USER_BASE, TENANT_PARAMS)
 
 
-def _tenant_staged(s: Standins) -> DataFrame:
-    """Amounts of all tenants; every tenant has the same catalogue here."""
-    routed = routes.attach_route(s.tenant_amounts(), s.region_routes(), "source_schema")
-    tenants = s.region_routes().select(F.concat(F.lit("tenant_"), "tenant_slug").alias("tenant"))
-    catalogue = s.catalogue().withColumn(
-        "tenant", F.explode(F.array(*[F.lit(t["tenant"]) for t in tenants.collect()]))
-    )
-    homes = routes.attach_route(s.companies(), s.region_routes(), "source_schema").select(
+def _at_home(s: Standins, routes_of: DataFrame) -> DataFrame:
+    """Loaded employees with the tenant of their company."""
+    homes = routes.attach_route(s.companies(), routes_of, SOURCE_SCHEMA).select(
         "tenant", (F.col("employeeno") + USER_BASE).alias("user_id")
     )
-    loaded = s.loaded_employees(hired=True).join(homes, "user_id")
-    return amounts.stage_amounts(routed, catalogue, loaded, ("tenant",))
+    return lookup_join(s.loaded_employees(hired=True), homes, ["user_id"])
+
+
+def _tenant_staged(s: Standins) -> DataFrame:
+    """Amounts of all tenants; they share one catalogue here."""
+    routed = routes.attach_route(s.tenant_amounts(), s.region_routes(), SOURCE_SCHEMA)
+    return amounts.stage_amounts(routed, s.catalogue(), _at_home(s, s.region_routes()), ("tenant",))
+
+
+def _shared_staged(s: Standins) -> DataFrame:
+    """Amounts of companies that share tenants, each with its own catalogue."""
+    mapped = s.shared_routes()
+    routed = routes.attach_route(s.shared_amounts(), mapped, SOURCE_SCHEMA)
+    codes = routes.attach_route(s.shared_codes(), mapped, SOURCE_SCHEMA)
+    return amounts.stage_amounts(routed, codes, _at_home(s, mapped), ("tenant",), (ORIGIN,))
 
 
 @query
@@ -396,6 +486,62 @@ def tenant_routing_summary(s: Standins) -> DataFrame:
     return amounts.routing_summary(_tenant_staged(s), ("tenant",))
 
 
+@query
+def tenant_shared_catalogue(s: Standins) -> DataFrame:
+    """Of the codes of companies in one tenant the first company's win."""
+    codes = routes.attach_route(s.shared_codes(), s.shared_routes(), SOURCE_SCHEMA)
+    return amounts.import_catalogue(codes, None, ("tenant",), (ORIGIN,))
+
+
+@query
+def tenant_shared_earnings(s: Standins) -> DataFrame:
+    return amounts.route_earnings(_shared_staged(s), 0, TENANT_PARAMS)
+
+
+@query
+def tenant_shared_balances(s: Standins) -> DataFrame:
+    """Companies compete for an employee's balances; the first route's stay."""
+    return amounts.route_balances(_shared_staged(s), None, ("tenant",), (ORIGIN,))
+
+
+@query
+def tenant_shared_summary(s: Standins) -> DataFrame:
+    return amounts.routing_summary(_shared_staged(s), ("tenant",))
+
+
+@query
+def tenant_shared_slots(s: Standins) -> DataFrame:
+    """Companies compete for an employee's slots; the first route's stay."""
+    mapped = s.shared_routes()
+    routed = routes.attach_route(s.shared_slots(), mapped, SOURCE_SCHEMA)
+    return slots.import_alpha(routed, _at_home(s, mapped), None, ("tenant",), (ORIGIN,))
+
+
+@query
+def tenant_shared_carry(s: Standins) -> DataFrame:
+    """Banks of companies that differ in columns and compete for branch codes."""
+    table = plan_from_dictionary("settings_banks", *DICTIONARY["settings_banks"])
+    parts = s.company_banks()
+    whole = parts[0].unionByName(parts[1], allowMissingColumns=True)
+    names = [c["legacy_company_schema"] for c in s.shared_routes().select("legacy_company_schema").collect()]
+    listed = s.spark.createDataFrame(
+        [(n, "settings_banks", c) for n in names for c in parts[int(n.removeprefix("co_")) % 2].columns],
+        COLUMN_LIST_SCHEMA,
+    )
+    absent = reconcile.absent_columns({"settings_banks": table}, listed)["settings_banks"]
+    routed = routes.attach_route(whole, s.shared_routes(), SOURCE_SCHEMA)
+    return carry_table(routed, table, None, None, TENANT_PARAMS, absent, (ORIGIN,))
+
+
+@query
+def not_carried_report(s: Standins) -> DataFrame:
+    """What the carried run history leaves behind, by company and cause."""
+    table = plan_from_dictionary("run_history", *DICTIONARY["run_history"])
+    routed = routes.attach_route(s.company_run_history(), s.region_routes(), SOURCE_SCHEMA)
+    loaded = _at_home(s, s.region_routes())
+    return reconcile.not_carried(routed, table, loaded, ("tenant",), ROUTE_COLUMNS)
+
+
 # ---- reads of a pay run --------------------------------------------------
 
 

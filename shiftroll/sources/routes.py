@@ -13,6 +13,8 @@ from shiftroll.functions.writes import insert_if_absent
 from shiftroll.params import RunParams
 
 DEFAULT_PAYROLL_NUMBER = 1
+#: Company of the route that brought a row; routes run in its order.
+ORIGIN = "origin"
 
 ROUTE_SCHEMA = T.StructType(
     [
@@ -53,6 +55,7 @@ def attach_route(table: DataFrame, map_df: DataFrame, schema_col: str, side: str
         F.concat(F.lit("tenant_"), F.col("tenant_slug")).alias("tenant"),
         "target_payroll_id",
         F.col("legacy_payroll_number").alias("payroll_number"),
+        F.col("legacy_company_schema").alias(ORIGIN),
     )
     return lookup_join(table, keyed, [schema_col])
 

@@ -79,7 +79,7 @@ class Standins:
         nations = self.table("nation").select(
             F.col("n_nationkey").alias("c_nationkey"), "n_name", F.col("n_regionkey").alias("regionkey")
         )
-        people = lookup_join(self.table("customer"), nations, ["c_nationkey"]).join(self._order_days(), "c_custkey")
+        people = lookup_join(self.table("customer"), nations, ["c_nationkey"]).join(self._order_days(), "c_custkey", "left")
         key = F.col("c_custkey")
         nation = F.col("c_nationkey")
         country = F.when(nation % 4 == 3, F.substring("n_name", 1, 3)).otherwise(
@@ -117,7 +117,7 @@ class Standins:
             (F.col("c_custkey") + USER_BASE).alias("user_id"),
         ]
         if hired:
-            rows = rows.join(self._order_days().select("c_custkey", "first_day"), "c_custkey")
+            rows = rows.join(self._order_days().select("c_custkey", "first_day"), "c_custkey", "left")
             columns.append(iso_date("first_day").alias("hired_at"))
         return rows.select(*columns)
 
@@ -182,7 +182,12 @@ class Standins:
         return self.codes(pick(EXPORT_CODES, F.col("p_partkey") % len(EXPORT_CODES)), catalogued_only=True)
 
     def known_ordinals(self) -> DataFrame:
-        return self.table("supplier").select(F.col("s_suppkey").alias("ordinal_no"))
+        return self.table("supplier").filter(F.col("s_suppkey") % 3 == 0).select(F.col("s_suppkey").alias("ordinal_no"))
+
+    def known_amounts(self) -> DataFrame:
+        """Keys that the targets of the keyed amounts had before the run."""
+        first = self._order_lines().filter(F.col("l_linenumber") == 1)
+        return first.select((F.col("o_custkey") + USER_BASE).alias("employee_id"), F.col("l_partkey").alias("ordinal_no"))
 
     # ---- slots -----------------------------------------------------------
 
@@ -314,6 +319,75 @@ class Standins:
         """Amounts with the company of their employee."""
         return lookup_join(self.amounts(), self.companies(), ["employeeno"])
 
+    # ---- companies that share a tenant -----------------------------------
+
+    def shared_routes(self) -> DataFrame:
+        """Two tenants for the companies of all regions."""
+        slug = F.concat(F.lit("shared_"), (F.col("legacy_payroll_number") % 2).cast("string"))
+        return self.region_routes().withColumn("tenant_slug", slug)
+
+    def _supplier_companies(self) -> DataFrame:
+        nations = self.table("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
+        return lookup_join(self.table("supplier").select("s_suppkey", "s_nationkey"), nations, ["s_nationkey"]).select(
+            F.col("s_suppkey").alias("l_suppkey"), "n_regionkey"
+        )
+
+    def shared_amounts(self) -> DataFrame:
+        """Amounts with the company that pays them, the supplier's; an employee has amounts in several."""
+        product = hundredths("l_extendedprice") * hundredths("l_discount")
+        amount = product.cast("decimal(15,0)") * F.lit(Decimal("0.0001"))
+        return lookup_join(self._order_lines(), self._supplier_companies(), ["l_suppkey"]).select(
+            F.concat(F.lit("co_"), "n_regionkey").alias("source_schema"),
+            F.col("o_custkey").alias("employeeno"),
+            F.col("l_partkey").alias("ordinalno"),
+            amount.cast("decimal(19,4)").alias("amount_q"),
+        )
+
+    def shared_codes(self) -> DataFrame:
+        """Each company's catalogue: of the codes it uses four in five, with types of its own."""
+        used = lookup_join(self.table("lineitem").select("l_suppkey", "l_partkey"), self._supplier_companies(), ["l_suppkey"])
+        used = used.select("n_regionkey", F.col("l_partkey").alias("ordinalno")).distinct()
+        own = used.filter(F.col("ordinalno") % 5 != F.col("n_regionkey"))
+        named = lookup_join(own, self.codes(catalogued_only=True).drop("codetype"), ["ordinalno"])
+        kind = pick(CODETYPES, (F.col("ordinalno") + F.col("n_regionkey")) % len(CODETYPES))
+        company = F.concat(F.lit("co_"), "n_regionkey")
+        return named.select(company.alias("source_schema"), *[c for c in named.columns if c != "n_regionkey"], kind.alias("codetype"))
+
+    def shared_slots(self) -> DataFrame:
+        """Slots that several companies fill for the same employee."""
+        events = self.table("events").select("event_id", F.col("user_id").alias("employeeno"), "props")
+        return events.select(
+            F.concat(F.lit("co_"), F.col("event_id") % 5).alias("source_schema"),
+            "employeeno",
+            (F.col("event_id") % 7).cast("int").alias("ordinalno"),
+            F.concat(F.col("props"), (F.lit(9) - F.col("event_id") % 5).cast("string")).alias("reference_v"),
+        )
+
+    def company_banks(self) -> list[DataFrame]:
+        """Banks of the companies, which differ in columns: the even ones know the country, the odd ones a fee."""
+        companies = self.companies().select(F.col("employeeno").alias("c_custkey"), "source_schema")
+        rows = lookup_join(self.table("customer"), companies, ["c_custkey"]).select(
+            "source_schema",
+            F.concat(F.lit("B"), F.col("c_nationkey") % 4).alias("branchcode"),
+            F.col("c_mktsegment").alias("bankname"),
+            F.col("c_name").alias("branchname"),
+            F.col("c_nationkey").cast("string").alias("countrycode"),
+            F.when(F.col("c_acctbal") > 0, hundredths("c_acctbal")).alias("fee"),
+        )
+        even = F.substring("source_schema", 4, 9).cast("int") % 2 == 0
+        return [rows.filter(even).drop("fee"), rows.filter(~even).drop("countrycode")]
+
+    def company_run_history(self) -> DataFrame:
+        """Runs with their company, and a column that no target has."""
+        history = self.table("orders").select(
+            F.year("o_orderdate").alias("runyear"),
+            F.month("o_orderdate").alias("runperiod"),
+            F.col("o_custkey").alias("employeeno"),
+            F.lit(1).alias("payroll"),
+            F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).alias("backpay"),
+        )
+        return lookup_join(history, self.companies(), ["employeeno"])
+
     # ---- carried tables --------------------------------------------------
 
     def run_history(self) -> DataFrame:
@@ -511,7 +585,7 @@ DICTIONARY: dict[str, tuple[str, list[DictionaryColumn]]] = {
         "company",
         _columns(
             "Payroll INTEGER 1, ReportNo INTEGER 2, OrdinalNo INTEGER 3, CalcTime TEXT, IndNo INTEGER, IndVal TEXT, "
-            "Op1_A TEXT, Op1_N INTEGER, Op2_A TEXT, Op2_N INTEGER, Op3_A TEXT, Op3_N INTEGER, OpCode TEXT"
+            "Op1A TEXT, Op1N INTEGER, Op2A TEXT, Op2N INTEGER, Op3A TEXT, Op3N INTEGER, OpCode TEXT"
         ),
     ),
     "settings_currency": (

@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from threading import Lock
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shiftroll.operators.carry import DICTIONARY_SCHEMA
+
+# the setting is the session's; several tables may be read at a time
+_INFERENCE = Lock()
+
 COLUMN_LIST_SCHEMA = T.StructType(
     [
         T.StructField("table_schema", T.StringType()),
@@ -18,16 +25,47 @@ COLUMN_LIST_SCHEMA = T.StructType(
 
 
 def read_source(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A legacy table: below a folder of parquet tables, or in a database."""
-    if "/" in root:
-        return spark.read.parquet(f"{root.rstrip('/')}/{table}")
-    return spark.table(f"{root}.{table}")
+    """A legacy table with the columns it has at run time.
+
+    ``root`` is a database, or a folder with ``<table>/source_schema=<schema>``
+    for each company.  Companies may differ in columns: a row has NULL in those
+    its company lacks.  Types that differ are an error.  A schema named 007 is
+    a name.
+    """
+    if "/" not in root:
+        return spark.table(f"{root}.{table}")
+    folder, inference = f"{root.rstrip('/')}/{table}", "spark.sql.sources.partitionColumnTypeInference.enabled"
+    with _INFERENCE:
+        known = spark.conf.get(inference)
+        spark.conf.set(inference, "false")
+        try:
+            return spark.read.option("basePath", folder).option("mergeSchema", "true").parquet(folder)
+        finally:
+            spark.conf.set(inference, known)
+
+
+def columns_by_schema(spark: SparkSession, root: str, table: str, column: str = "source_schema") -> dict[str, list[str]]:
+    """The columns in the files of each legacy schema, from one footer a schema."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{table}")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for child in files.listStatus(folder):
+        name = child.getPath().getName()
+        if name.startswith(f"{column}="):
+            schema = unquote(name.removeprefix(f"{column}="))
+            found[schema] = spark.read.parquet(child.getPath().toString()).columns
+    return found
 
 
 def read_driver_table(spark: SparkSession, folder: str, table: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{folder.rstrip('/')}/{table}.parquet")
 
 
+def read_any(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A table of a folder with the schema its files have."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table has been written.  A write without rows leaves just a marker file."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -70,6 +108,16 @@ def write_csv(df: DataFrame, path: str, sort: Sequence[str] = (), drop: Sequence
     ordered.drop(*drop).write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_columns_csv(columns: DataFrame, path: str) -> None:
+    """A list of columns (table_schema, table_name, column_name) without a header."""
+    columns.select(*COLUMN_LIST_SCHEMA.names).write.mode("overwrite").csv(path)
+
+
+def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """The dictionary of the source, one line a column, with a header."""
+    return spark.read.schema(DICTIONARY_SCHEMA).option("header", True).csv(path)
+
+
 def read_columns_csv(spark: SparkSession, path: str) -> DataFrame:
     """List of the columns a source really has: schema, table, column, no header."""
     return spark.read.schema(COLUMN_LIST_SCHEMA).csv(path).filter(F.col("column_name").isNotNull())

@@ -71,7 +71,7 @@ def main() -> None:
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     chosen = sys.argv[2:]
-    spark = local_session()
+    spark = local_session(**{"spark.ui.showConsoleProgress": "false"})
     con = connect(folder)
     statements = oracle.statements()
     bad = 0

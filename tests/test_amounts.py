@@ -104,3 +104,29 @@ def test_salary(spark, rows):
     )
     earnings = spark.createDataFrame([(101, 5), (101, 6), (103, 7)], "employee_id long, amount_minor long")
     assert rows(A.refresh_salary(people, earnings)) == [("app", 103, 9), ("emp-1", 101, 11), ("emp-2", 102, 0)]
+
+
+def test_conservation_through_the_keyed_inserts(spark, rows):
+    columns = "origin string, employee_id long, legacy_empno string, ordinal_no int, name string, amount_minor long, amount_raw decimal(19,4), codetype string"
+    staged = spark.createDataFrame(
+        [("a", 1, "1", 1, "x", m * 100, Decimal(m), t) for m, t in ((9, "B"), (9, "B"), (3, "T"))]
+        + [("b", 1, "1", 1, "x", 100, Decimal(1), "B"), ("a", 1, "1", 2, "x", 200, Decimal(2), "H"),
+           ("a", 2, "2", 5, "x", 500, Decimal(5), "C"), ("a", 2, "2", 6, "x", 600, Decimal(6), "E"),
+           ("a", None, "3", 6, "x", 700, Decimal(7), "E")],
+        columns,
+    )
+    known = spark.createDataFrame([(1, 2)], "employee_id long, ordinal_no int")
+    outcomes = A.keyed_outcomes(staged, {"deprecated": known, "balances": None, "employer_cost": None}, (), ("origin",))
+    skipped = A.skipped_amounts(outcomes)
+    assert rows(skipped, "destination", "origin", "codetype", "amount_minor", "skipped_rows", "held_by", "held_amount") == [
+        ("balances", "a", "B", 900, 2, "batch", Decimal("3.0000")),
+        ("balances", "b", "B", 100, 1, "batch", Decimal("3.0000")),
+        ("deprecated", "a", "H", 200, 1, "target", None),
+    ]
+    summary = A.conservation(staged, outcomes)
+    assert rows(summary, "destination", "codetype", "staged_rows", "added_rows", "skipped_rows", "skipped_minor") == sorted(
+        [("balances", "B", 3, 0, 3, 1900), ("balances", "T", 1, 1, 0, 0), ("deprecated", "H", 1, 0, 1, 200),
+         ("earnings", "E", 1, 1, 0, 0), ("employee_not_loaded", "E", 1, 1, 0, 0), ("employer_cost", "C", 1, 1, 0, 0)], key=repr
+    )
+    added = A.route_balances(staged, None, (), ("origin",))
+    assert rows(added) == [(1, 1, Decimal("3.0000"))]

@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 from shiftroll.operators.carried_tables import CARRIED, NOT_CARRIED
 from shiftroll.operators.carry import (
     DICTIONARY_TYPES,
+    CarriedTable,
     DictionaryColumn,
     carry_table,
     fill_missing,
@@ -30,33 +31,47 @@ def test_inventory():
     assert not set(NOT_CARRIED) & set(CARRIED)
 
 
-def target_of(spec):
-    """The key and one more column, as the provisioned table would have them."""
-    types = {"id": T.LongType(), "employee_id": T.LongType(), "payroll": T.IntegerType()}
-    names = [*spec.keys] or ["uif_co_no"]
-    if spec.auto_key:
-        names.append("employee_id")
-    fields = [T.StructField(n, types.get(n, T.StringType())) for n in names]
-    return T.StructType([*fields, T.StructField("note_text", T.StringType())])
+def described(table, *columns):
+    """The table with these dictionary columns (name, type, place in the key) and its known key."""
+    plan = plan_from_dictionary(table, CARRIED[table].source, [DictionaryColumn(*c) for c in columns])
+    assert plan.spec.keys == CARRIED[table].keys
+    return CarriedTable(CARRIED[table], plan.columns)
+
+
+def raw_name(target):
+    """A dictionary name that becomes the target name."""
+    fixed = {"id": "AutoNumber", "employee_id": "EmployeeNo", "row_no": "Row"}
+    return fixed.get(target) or "".join(part.capitalize() for part in target.split("_"))
+
+
+def own_columns(spec):
+    """The key columns of a table as its dictionary has them."""
+    numbers = {"id": "AUTO_KEY", "employee_id": "INTEGER", "payroll": "INTEGER"}
+    gained = spec.source == "payroll" and "payroll" in spec.keys[:-1]
+    keys = [k for k in spec.keys if not (gained and k == "payroll")]
+    columns = [DictionaryColumn(raw_name(k), numbers.get(k, "TEXT"), i + 1) for i, k in enumerate(keys)]
+    if spec.source == "payroll" and "payroll" not in spec.keys and not spec.auto_key:
+        columns.append(DictionaryColumn("Payroll", "INTEGER"))
+    return columns
 
 
 @pytest.mark.parametrize("table", list(CARRIED))
 def test_every_table_is_carried(spark, people, params, table, rows):
     spec = CARRIED[table]
-    target = target_of(spec)
-
-    def source_name(name):
-        return {"id": "autonumber", "employee_id": "employeeno"}.get(name, name.replace("_", ""))
+    columns = own_columns(spec)
+    if spec.auto_key:
+        columns.append(DictionaryColumn("EmployeeNo", "INTEGER"))
+    plan = plan_from_dictionary(table, spec.source, [*columns, DictionaryColumn("NoteText", "TEXT")])
+    assert plan.spec.keys == spec.keys
 
     def row(key, note):
-        return tuple(note if f.name == "note_text" else key if isinstance(f.dataType, (T.LongType, T.IntegerType)) else str(key)
-                     for f in target.fields)
+        return tuple(note if c == "notetext" else key for c in plan.sources)
 
-    named = T.StructType([T.StructField(source_name(f.name), f.dataType) for f in target.fields])
+    named = ", ".join(f"{c} string" if c == "notetext" else f"{c} int" for c in plan.sources)
     src = spark.createDataFrame([row(1, "b"), row(1, "a"), row(2, "c"), row(9, "d")], named)
-    got = carry_table(src, spec, target, people, None, params)
-    assert got.columns == target.names
-    linked = "employee_id" in target.names
+    got = carry_table(src, plan, people, None, params)
+    assert got.columns == plan.target.names
+    linked = "employee_id" in plan.target.names
     found = got.collect()
     expected = ["a", "b", "c", "d"] if not spec.keys else ["a", "c", "d"]
     assert sorted(r["note_text"] for r in found) == [n for n in expected if not (linked and n == "d")]
@@ -65,56 +80,71 @@ def test_every_table_is_carried(spark, people, params, table, rows):
 
 
 def test_second_carry_adds_nothing(spark, people, params):
-    spec = CARRIED["employee_interim_items"]
-    target = T.StructType.fromDDL("payroll int, employee_id long, ordinal_no int, qmf_code string")
+    plan = described("employee_interim_items", ("EmployeeNo", "INTEGER", 1), ("OrdinalNo", "INTEGER", 2), ("QmfCode", "TEXT"))
     src = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (2, 1, "c")], "employeeno int, ordinalno int, qmfcode string")
-    first = carry_table(src, spec, target, people, None, params)
+    first = carry_table(src, plan, people, None, params)
     assert first.count() == 2
-    assert carry_table(src, spec, target, people, first, params).count() == 0
+    assert carry_table(src, plan, people, first, params).count() == 0
+
+
+CALCS = [("Payroll", "INTEGER", 1), ("ReportNo", "INTEGER", 2), ("OrdinalNo", "INTEGER", 3), ("CalcTime", "TEXT"), ("Op1_N", "INTEGER")]
 
 
 def test_missing_columns_are_filled(spark, params, rows):
-    spec = CARRIED["settings_report_calcs"]
-    target = T.StructType.fromDDL("payroll int, report_no int, ordinal_no int, calc_time string, op1_n int")
-    src = spark.createDataFrame([(1, 2, 3)], "reportno int, ordinalno int, op1n int")
-    assert rows(fill_missing(src, target, spec, params)) == [(1, 1, 2, None, 3)]
+    plan = described("settings_report_calcs", *CALCS)
+    src = spark.createDataFrame([(1, 2, 3)], "reportno int, ordinalno int, op1_n int")
+    absent = {"payroll": None, "calctime": None}
+    assert rows(fill_missing(src, plan, params, absent)) == [(1, 1, 2, None, 3)]
+
+
+def test_a_missing_column_must_be_listed(spark, params):
+    plan = described("settings_report_calcs", *CALCS)
+    src = spark.createDataFrame([(1, 2, 3)], "reportno int, ordinalno int, op1_n int")
+    with pytest.raises(ValueError, match="calctime"):
+        fill_missing(src, plan, params, {"payroll": None})
 
 
 def test_own_payroll_column_wins(spark, params, rows):
-    spec = CARRIED["settings_exceptions"]
-    target = T.StructType.fromDDL("payroll int, ordinal_no int, mess string")
+    plan = plan_from_dictionary(
+        "settings_exceptions", "payroll", [DictionaryColumn("Payroll", "INTEGER", 1), DictionaryColumn("OrdinalNo", "INTEGER", 2), DictionaryColumn("Mess", "TEXT")]
+    )
     src = spark.createDataFrame([(5, 2, "m")], "payroll int, ordinalno int, mess string")
-    assert rows(carry_table(src, spec, target, None, None, params)) == [(5, 2, "m")]
+    assert rows(carry_table(src, plan, None, None, params)) == [(5, 2, "m")]
 
 
 def test_reserved_word_and_employee_code(spark, people, params, rows):
-    target = T.StructType.fromDDL("payroll int, ordinal_no int, row_no int, item string")
+    plan = described("settings_table_values", ("OrdinalNo", "INTEGER", 1), ("Row", "INTEGER", 2), ("Item", "TEXT"))
     src = spark.createDataFrame([(1, 4, "i")], "ordinalno int, row int, item string")
-    assert rows(carry_table(src, CARRIED["settings_table_values"], target, None, None, params)) == [(1, 1, 4, "i")]
-    target = T.StructType.fromDDL("run_year int, run_period int, employee_id long, employee_code string")
-    src = spark.createDataFrame([(2020, 1, 2, "c")], "runyear int, runperiod int, employeeno int, employeeid string")
-    assert rows(carry_table(src, CARRIED["run_history"], target, people, None, params)) == [(2020, 1, 102, "c")]
+    assert rows(carry_table(src, plan, None, None, params)) == [(1, 1, 4, "i")]
+    plan = described("run_history", *HISTORY, ("EmployeeId", "TEXT"))
+    src = spark.createDataFrame([(2020, 1, 2, 1, "c")], "runyear int, runperiod int, employeeno int, payroll int, employeeid string")
+    assert rows(carry_table(src, plan, people, None, params)) == [(2020, 1, 102, 1, "c")]
+
+
+HISTORY = [("RunYear", "SMALLINT", 1), ("RunPeriod", "SMALLINT", 2), ("EmployeeNo", "INTEGER", 3), ("Payroll", "INTEGER")]
 
 
 def test_number_column_under_its_other_name(spark, people, params, rows):
-    target = T.StructType.fromDDL("employee_id long, surname string")
+    plan = described("zaf_sars_work", ("EmpNo", "INTEGER", 1), ("Surname", "TEXT"))
     src = spark.createDataFrame([(1, "s"), (7, "t")], "empno int, surname string")
-    assert rows(carry_table(src, CARRIED["zaf_sars_work"], target, people, None, params)) == [(101, "s")]
-    assert unlinked_rows(src, people).first()["unlinked_rows"] == 1
+    assert rows(carry_table(src, plan, people, None, params)) == [(101, "s")]
+    assert unlinked_rows(src, plan, people).first()["unlinked_rows"] == 1
 
 
 def test_linked_table_needs_employees(spark, params):
     src = spark.createDataFrame([(1, "s")], "employeeno int, surname string")
-    target = T.StructType.fromDDL("employee_id long, surname string")
+    plan = described("zaf_sars_work", ("EmployeeNo", "INTEGER", 1), ("Surname", "TEXT"))
     with pytest.raises(ValueError):
-        carry_table(src, CARRIED["zaf_sars_work"], target, None, None, params)
+        carry_table(src, plan, None, None, params)
+    with pytest.raises(ValueError, match="employeeno"):
+        carry_table(src.drop("employeeno"), plan, None, None, params, {"employeeno": None})
 
 
 def test_key_collision_across_payrolls_is_skipped(spark, people, params, rows):
     """The history key leaves the payroll out: the second payroll's row is lost, as the key list says."""
-    target = T.StructType.fromDDL("run_year int, run_period int, employee_id long, payroll int")
+    plan = described("run_history", *HISTORY)
     src = spark.createDataFrame([(2020, 1, 1, 2), (2020, 1, 1, 1)], "runyear int, runperiod int, employeeno int, payroll int")
-    assert rows(carry_table(src, CARRIED["run_history"], target, people, None, params)) == [(2020, 1, 101, 1)]
+    assert rows(carry_table(src, plan, people, None, params)) == [(2020, 1, 101, 1)]
 
 
 def test_dictionary_plans():

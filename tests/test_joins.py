@@ -86,3 +86,16 @@ def test_composite_keys(spark, rows):
     keyed = spark.range(50).select(F.lit("t").alias("tenant"), F.col("id").cast("int").alias("k"), F.col("id").alias("w"))
     got = J.lookup_join(fact, keyed, ["tenant", "k"], max_rows=1, min_hot_rows=1)
     assert rows(got) == rows(fact.join(keyed, ["tenant", "k"]))
+
+
+def test_arrays_count_towards_the_size(spark):
+    rows = spark.range(10).select(
+        F.sequence(F.lit(1), F.lit(100_000)).alias("a"),
+        F.array(F.lit("ab"), F.lit(None), F.lit("cde")).alias("t"),
+        F.array(F.struct(F.lit(1).alias("x"), F.lit("long").alias("y"))).alias("s"),
+        F.struct(F.lit("four").alias("z"), F.lit(None).cast("array<long>").alias("n")).alias("o"),
+        F.create_map(F.lit("key"), F.lit(1)).alias("m"),
+    )
+    size = J._measure(rows).first()["bytes"]
+    assert 10 * 100_000 * 4 <= size <= 10 * 100_000 * 8 + 10 * 300
+    assert J.small_enough([rows.withColumn("a", F.concat(*["a"] * 10))]) == [False]

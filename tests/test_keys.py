@@ -71,3 +71,18 @@ def test_high_water_and_max(spark):
     assert max_id(df) == 9
     assert max_id(df.limit(0)) == 0
     assert max_id(None) == 0
+
+
+def test_ids_per_scope_run_on_over_sort_tasks(spark, rows):
+    """Scopes that fill several sort tasks, and tasks that hold several scopes."""
+    df = spark.range(5000, numPartitions=4).select(
+        F.when(F.col("id") % 10 < 7, "big").otherwise(F.concat(F.lit("s"), F.col("id") % 40)).alias("scope"),
+        (F.col("id") * 7919 % 5003).alias("v"),
+    )
+    got = dense_ids(df, ["v"], 10, "id", ["scope"], "overall").collect()
+    by_scope = {}
+    for r in sorted(got, key=lambda r: (r["scope"], r["v"])):
+        by_scope.setdefault(r["scope"], []).append(r["id"])
+    assert all(ids == list(range(11, 11 + len(ids))) for ids in by_scope.values())
+    overall = [r["overall"] for r in sorted(got, key=lambda r: (r["scope"], r["v"]))]
+    assert overall == list(range(1, 5001))

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from shiftroll.operators.carry import plan_from_dictionary
+from shiftroll.operators.carry import DICTIONARY_SCHEMA
 from shiftroll.plans.migrate import Migration
 from shiftroll.sources.routes import migration_map
 from shiftroll.sources.standins import DICTIONARY
@@ -16,6 +16,19 @@ from tests.test_employees import COLUMNS, person
 DAY = datetime.date
 
 
+def dictionary_of(spark, *tables):
+    rows = [
+        (t, DICTIONARY[t][0].upper(), True, i, c.name, c.type, c.key_pos)
+        for t in tables
+        for i, c in enumerate(DICTIONARY[t][1])
+    ]
+    return spark.createDataFrame(rows, DICTIONARY_SCHEMA)
+
+
+def columns_list(spark, rows):
+    return spark.createDataFrame(rows, "table_schema string, table_name string, column_name string")
+
+
 @pytest.fixture(scope="module")
 def migration(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("migration")
@@ -47,9 +60,12 @@ def migration(spark, tmp_path_factory):
         [("tenant_one", 11, "ZA"), ("tenant_two", 12, "KE"), ("tenant_two", 13, "NA")], "tenant string, id int, country_code string"
     )
     payrolls.write.partitionBy("tenant").parquet(f"{target}/payrolls")
-    targets = {t: plan_from_dictionary(t, *DICTIONARY[t]).target for t in ("employee_increments", "settings_calendar")}
+    tables = ("employee_increments", "settings_calendar")
+    listed = [(s, "settings_calendar", c) for s in ("pay_a", "pay_b") for c in ("ordinalno", "rundate")]
+    listed += [(s, "employee_increments", c) for s in ("co_a", "co_b") for c in ("AutoNumber", "employeeno", "date_d8", "amount_u")]
+    sources = (dictionary_of(spark, *tables), columns_list(spark, listed))
     mapped = migration_map(spark, [("co_a", "pay_a", "one", 11, 1), ("co_b", "pay_b", "two", 12, 4)])
-    done = Migration(spark, legacy, target, mapped, "2026-08-15T10:00:00+02:00", 3, targets)
+    done = Migration(spark, legacy, target, mapped, "2026-08-15T10:00:00+02:00", 3, *sources)
     done.run()
     return done
 
