@@ -8,7 +8,9 @@ tasks and the keyed rows they need are repeated for each of them.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 from typing import NamedTuple
 
@@ -66,14 +68,53 @@ def _measure(df: DataFrame) -> DataFrame:
     return df.agg(rows.alias("n"), size.cast("long").alias("bytes"))
 
 
+class Statistics:
+    """Sizes and frequent keys of the tables that one build has asked for.
+
+    Tables are told apart by what they compute, so a lookup that several joins
+    share is measured once.  Valid as long as the files under the tables stay
+    as they are: one build of a query, or one step of a run.
+    """
+
+    def __init__(self) -> None:
+        self._known: dict[tuple, list[tuple[DataFrame, object]]] = {}
+
+    def get(self, df: DataFrame, what: tuple = ()) -> object | None:
+        for other, value in self._known.get((df.semanticHash(), what), []):
+            if other.sameSemantics(df):
+                return value
+        return None
+
+    def put(self, df: DataFrame, value: object, what: tuple = ()) -> None:
+        self._known.setdefault((df.semanticHash(), what), []).append((df, value))
+
+
+_statistics: ContextVar[Statistics | None] = ContextVar("statistics", default=None)
+
+
+@contextmanager
+def measured_once() -> Iterator[Statistics]:
+    """Within it, equal tables are measured once.  Their files must not change meanwhile."""
+    token = _statistics.set(Statistics())
+    try:
+        yield _statistics.get()
+    finally:
+        _statistics.reset(token)
+
+
 def small_enough(dfs: Sequence[DataFrame], max_rows: int | None = None) -> list[bool]:
     """Which of the tables are small enough to broadcast, measured in one job."""
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     if not max_rows:
         return [False] * len(dfs)
-    measured = reduce(DataFrame.unionAll, [_measure(df).withColumn("i", F.lit(i)) for i, df in enumerate(dfs)])
-    sizes = {r["i"]: r for r in measured.collect()}
-    return [sizes[i]["n"] <= max_rows and sizes[i]["bytes"] <= BROADCAST_MAX_BYTES for i in range(len(dfs))]
+    known = _statistics.get() or Statistics()
+    asked = [df for df in dfs if known.get(df) is None]
+    if asked:
+        measured = reduce(DataFrame.unionAll, [_measure(df).withColumn("i", F.lit(i)) for i, df in enumerate(asked)])
+        for r in measured.collect():
+            known.put(asked[r["i"]], (r["n"], r["bytes"]))
+    sizes = [known.get(df) for df in dfs]
+    return [n <= max_rows and size <= BROADCAST_MAX_BYTES for n, size in sizes]
 
 
 def hot_keys(df: DataFrame, keys: Sequence[Sequence[str]], min_rows: int | None = None) -> list[list[tuple[int, int]]]:
@@ -86,6 +127,16 @@ def hot_keys(df: DataFrame, keys: Sequence[Sequence[str]], min_rows: int | None
     a left join gathers its rows too.
     """
     min_rows = HOT_KEY_MIN_ROWS if min_rows is None else min_rows
+    known, asked = _statistics.get(), (tuple(tuple(on) for on in keys), min_rows)
+    found = known.get(df, asked) if known else None
+    if found is None:
+        found = _hot_keys(df, keys, min_rows)
+        if known:
+            known.put(df, found, asked)
+    return found
+
+
+def _hot_keys(df: DataFrame, keys: Sequence[Sequence[str]], min_rows: int) -> list[list[tuple[int, int]]]:
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     k = max(1, min(tasks, MAX_HOT_KEYS))
     hashes = df.select(*[F.xxhash64(*on).alias(f"h{i}") for i, on in enumerate(keys)])

@@ -20,7 +20,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftroll.functions.joins import lookup_join
+from shiftroll.functions.joins import lookup_join, measured_once
 from shiftroll.functions.keys import high_water, max_id
 from shiftroll.functions.writes import require_absent, require_unique
 from shiftroll.operators import amounts, derive, drift, employees, reconcile, slots
@@ -170,6 +170,11 @@ class Migration:
         replace_partitions(materialise(refreshed), self.path("employees"), ["tenant"])
 
     def load_slots(self) -> None:
+        # the employees are looked up by every table, and no table here is read after it is written
+        with measured_once():
+            self._load_slots()
+
+    def _load_slots(self) -> None:
         scope, origin = self.p.scope, (ORIGIN,)
         loaded = self.existing("employees")
         for kind, table in (

@@ -99,3 +99,19 @@ def test_arrays_count_towards_the_size(spark):
     size = J._measure(rows).first()["bytes"]
     assert 10 * 100_000 * 4 <= size <= 10 * 100_000 * 8 + 10 * 300
     assert J.small_enough([rows.withColumn("a", F.concat(*["a"] * 10))]) == [False]
+
+
+def test_equal_tables_are_measured_once(spark, sides, monkeypatch):
+    fact, keyed = sides
+    measured = []
+    plain = J._measure
+    monkeypatch.setattr(J, "_measure", lambda df: measured.append(df) or plain(df))
+    with J.measured_once():
+        for _ in range(3):
+            again = spark.range(60).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+            J.lookup_join(fact, again, ["k"])
+        J.lookup_join(fact, again.filter("k < 5"), ["k"])
+    assert len(measured) == 2
+    J.lookup_join(fact, keyed, ["k"])
+    J.lookup_join(fact, keyed, ["k"])
+    assert len(measured) == 4
