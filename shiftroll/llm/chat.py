@@ -28,13 +28,24 @@ def unescape(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("<\\|"), F.lit("<|")), F.lit("\\\\"), F.lit("\\"))
 
 
+def escape_role(role: Column) -> Column:
+    return F.replace(escape(role), F.lit("\n"), F.lit("<\\n"))
+
+
+def unescape_role(role: Column) -> Column:
+    return unescape(F.replace(role, F.lit("<\\n"), F.lit("\n")))
+
+
 def paths_of(messages: DataFrame) -> DataFrame:
     """tree, leaf, node, depth (0 at the leaf) for every message on every path to a leaf.
 
     ``messages`` has tree, node and parent, unique by tree and node; a message
-    whose parent is NULL or missing is a root.
+    whose parent is NULL or missing is a root.  Messages that answer each other in
+    a circle are an error where a path leads into it; a circle without a way in
+    has no leaf and so no path.
     """
     ids = materialise(messages.select("tree", "node", "parent"))
+    largest = ids.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     parents = ids.filter("parent is not null").select("tree", F.col("parent").alias("node")).distinct()
     up = materialise(ids.filter("parent is not null").join(ids.select("tree", F.col("node").alias("parent")), ["tree", "parent"]))
     leaves = ids.join(parents, ["tree", "node"], "left_anti")
@@ -49,6 +60,8 @@ def paths_of(messages: DataFrame) -> DataFrame:
         )
         if higher.isEmpty():
             return lower
+        if reach >= largest:  # longer than any way without a circle
+            raise ValueError(f"messages answer each other in a circle, in tree {higher.first()['tree']}")
         found.append(higher)
         reach *= 2
         further = up.select("tree", F.col("node").alias("parent"), F.col("parent").alias("further"))
@@ -73,7 +86,7 @@ def conversations(messages: DataFrame, branches: int | None = None) -> DataFrame
     chosen = ranked.withColumn("rank", place)
     if branches is not None:
         chosen = chosen.filter(F.col("rank") <= branches)
-    turn = F.concat(F.lit(START), escape(F.col("role")), F.lit("\n"), escape(F.col("text")), F.lit(END))
+    turn = F.concat(F.lit(START), escape_role(F.col("role")), F.lit("\n"), escape(F.col("text")), F.lit(END))
     turns = paths.join(chosen, ["tree", "leaf"]).join(scored.drop("score"), ["tree", "node"])
     pieces = F.sort_array(F.collect_list(F.struct((-F.col("depth")).alias("place"), turn.alias("turn"))))
     return (
@@ -93,7 +106,7 @@ def parsed(formatted: Column) -> Column:
         body = F.substring(part, len(START) + 1, 1 << 30)
         line = F.instr(body, "\n")
         return F.struct(
-            unescape(F.substring_index(body, "\n", 1)).alias("role"),
+            unescape_role(F.substring_index(body, "\n", 1)).alias("role"),
             unescape(F.substr(body, line + F.lit(1))).alias("text"),
         )
 
