@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +62,20 @@ def materialise(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_tables(spark: SparkSession) -> set[str]:
+    """Names of this application's intermediate tables."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in files.listStatus(root)} if files.exists(root) else set()
+
+
+def drop_scratch(spark: SparkSession, names: Iterable[str]) -> None:
+    """Remove some of the intermediate tables, which nothing reads any more."""
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{_scratch_root(spark)}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove this application's intermediate tables once outputs are written."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
