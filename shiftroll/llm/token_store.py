@@ -20,7 +20,7 @@ import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate, filterfalse
+from itertools import accumulate, filterfalse, groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shiftroll.llm.sample import rows_by_hash, texts_of
-from shiftroll.llm.words import batches
-from shiftroll.session import scratch_path
+from shiftroll.llm.words import SLICE_BYTES, batches
+from shiftroll.session import materialise, scratch_path
 
 MAGIC, VERSION = b"TIDS", 1
 HEAD = struct.Struct("<4sHHQI")
@@ -48,6 +48,8 @@ NO_ID = -(1 << 63)
 BLOCKS = "part int, block int, before long, documents int, ids long, first_id long, last_id long, content binary"
 
 
+_SPACE = re.compile(rb"\s")
+
 #: A word of letters with marks after it: two pieces to the tokenizer, whatever stands around them.
 _SIMPLE = re.compile(r"([a-z\u00e0-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
 
@@ -112,6 +114,16 @@ class Codec:
         self.known.update((piece, self._one(text)) for piece, text in other)
 
     def encode(self, texts: Sequence[bytes | None]) -> list[bytes]:
+        """The ids of each text with the end id; a long text is worked on in slices that end at white space."""
+        out = []
+        for long, group in groupby(texts, key=lambda t: t is not None and len(t) > SLICE_BYTES):
+            if long:
+                out += [b"".join(self._encoded([piece])[0] for piece in slices_of(t)) for t in group]
+            else:
+                out += self._encoded(list(group))
+        return [ids + self.end for ids in out]
+
+    def _encoded(self, texts: list[bytes | None]) -> list[bytes]:
         split = [(t or b"").split() for t in texts]
         known, new = self.known, set()
         if len(known) > KEPT_PIECES:
@@ -119,13 +131,23 @@ class Codec:
         for pieces in split:
             new.update(filterfalse(known.__contains__, pieces))
         self._learn(list(new))
-        out = [b"".join(map(known.__getitem__, pieces)) + self.end for pieces in split]
+        out = [b"".join(map(known.__getitem__, pieces)) for pieces in split]
         for piece in new:
             if len(piece) > KEPT_PIECE:
                 del known[piece]
         return out
 
 
+def slices_of(text: bytes) -> Iterator[bytes]:
+    """Parts of about SLICE_BYTES, cut at white space; a longer word stays whole."""
+    at = 0
+    while at < len(text):
+        end = _SPACE.search(text, min(at + SLICE_BYTES, len(text)))
+        end = end.start() if end else len(text)
+        yield text[at:end]
+        at = end
+
+
 @lru_cache(maxsize=2)
 def codec(tokenizer: str, end_id: int) -> Codec:
     """One a worker process; its pieces stay known from task to task."""
@@ -195,28 +217,42 @@ def read_dictionary(spark: SparkSession, path: str) -> bytes:
     return bytes(row["content"])
 
 
-def _blocks(tokenizer, end_id: int, dictionary: bytes):
+def _frames(tokenizer, end_id: int, dictionary: bytes):
+    """Each document's ids as one compressed frame."""
+
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(tokenizer.value, end_id)
         writer = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
+        for batch, texts in batches(rows, 2, 2 << 20):
+            encoded = coder.encode(texts)
+            counts = pa.array([len(data) // coder.width for data in encoded], pa.int32())
+            frames = pa.array([writer.compress(data) for data in encoded], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), counts, frames], names=["doc_id", "_tie", "n", "frame"])
+
+    return run
+
+
+def _blocks(width: int, dictionary: bytes):
+    """Frames in their order, packed into blocks."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, before = TaskContext.get().partitionId(), 0, 0
         ids, frames, counts, size = [], [], [], 0
 
         def block() -> pa.RecordBatch:
             nonlocal number, before
-            content = pack(ids, frames, counts, coder.width, _hash(dictionary))
+            content = pack(ids, frames, counts, width, _hash(dictionary))
             row = [part, number, before, len(ids), sum(counts), ids[0], ids[-1], content]
             number, before = number + 1, before + sum(counts)
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             names = ["part", "block", "before", "documents", "ids", "first_id", "last_id", "content"]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
 
-        for batch, texts in batches(rows, 1, 2 << 20):
-            for doc_id, data in zip(batch.column(0).to_pylist(), coder.encode(texts), strict=True):
-                frame = writer.compress(data)
+        for batch in rows:
+            for doc_id, n, frame in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 ids.append(doc_id)
                 frames.append(frame)
-                counts.append(len(data) // coder.width)
+                counts.append(n)
                 size += len(frame)
                 if size >= BLOCK_BYTES:
                     yield block()
@@ -231,7 +267,9 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int) -> Store
     """Write ``docs`` in ascending order of doc_id (rows without one first, ties by a hash of the text).
 
     NULL texts are empty: their ids are the end id alone.  Repeated rows are
-    documents of their own.  Only doc_id and text are read."""
+    documents of their own.  Only doc_id and text are read.
+
+    Texts are encoded where they are read; only compressed ids are sorted."""
     spark = docs.sparkSession
     with open(tokenizer_file, encoding="utf-8") as file:
         content = file.read()
@@ -241,10 +279,11 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int) -> Store
     dictionary = train_dictionary(codec(content, end_id).encode(texts))
     spark.createDataFrame([(str(_hash(dictionary)), dictionary)], "hash string, content binary").write.parquet(f"{path}/dictionary")
     order = [F.col("doc_id").asc_nulls_first(), F.col("_tie")]
-    tied = docs.select("doc_id", "text", F.xxhash64("text").alias("_tie"))
+    tied = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("_tie"), "text")
+    encoded = tied.mapInArrow(_frames(tokenizer, end_id, dictionary), "doc_id long, _tie long, n int, frame binary")
     # equal rows can still be dealt to several tasks
-    dealt = tied.withColumn("_from", F.spark_partition_id()).repartitionByRange(*order, "_from").sortWithinPartitions(*order)
-    dealt.select("doc_id", "text").mapInArrow(_blocks(tokenizer, end_id, dictionary), BLOCKS).write.parquet(f"{path}/blocks")
+    dealt = materialise(encoded).withColumn("_from", F.spark_partition_id()).repartitionByRange(*order, "_from").sortWithinPartitions(*order)
+    dealt.select("doc_id", "n", "frame").mapInArrow(_blocks(codec(content, end_id).width, dictionary), BLOCKS).write.parquet(f"{path}/blocks")
     return Store(path, dictionary)
 
 

@@ -11,7 +11,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from shiftroll.llm import block_names, max_sketch, queries, whitening
+import corpus_pipeline
+from shiftroll.llm import block_names, chat, language, max_sketch, queries, token_store, whitening
+from shiftroll.session import scratch_tables
 from tests.check_sql import compare, connect
 from tests.conftest import SMALL
 
@@ -244,3 +246,76 @@ def test_a_cluster_wider_than_the_block_is_exact(spark):
 @pytest.mark.parametrize("name", ["op11_max_sketch", "op12_block_names"])
 def test_queries_equal_their_sql(spark, name):
     assert compare(queries.registered()[name](spark, SMALL), connect(SMALL), queries.statements()[name]) == []
+
+
+# earlier operators
+
+
+def test_every_text_with_a_letter_gets_a_learned_language(spark, odd):
+    filters = language.fit([("en", b"the cat and the dog"), ("de", b"der hund und die katze"), ("de", b"der hund und das haus")])
+    names, scores, shares = language.predict(filters, ["щщщ".encode(), b"12 34", None, b"the the the", b"q", b""])
+    assert names == ["de", "und", "und", "en", "de", "und"]
+    assert scores[0] == shares[0] == 0 and shares[3] > 0.5
+    only = language.fit([("en", b"the cat")])
+    assert language.predict(only, ["щщщ".encode(), b"7"])[0] == ["en", "und"]
+    assert language.predict(language.fit([]), [b"the"])[0] == ["und"]
+
+
+def test_grams_of_long_texts_count_once():
+    filters = language.fit([("en", b"ab cd ef")])
+    text = b"ab cd " * 500_000
+    data = language.prepared(text)
+    total, _ = language.counts_of(filters, [text, b"ab"])
+    assert total.tolist() == [2 * len(data) - 6, (4 - 2) + 0]
+
+
+def test_foreign_texts_leave_the_pipeline(spark):
+    rows = [(i, f"the quick brown fox and the lazy dog number {i} over the river", "en") for i in range(40)]
+    rows += [(50, "щука жёлтый подъезд " * 5, None), (51, "12345", None), (52, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("lang_share", F.lit("own"))
+    kept = language.in_known_language(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(40))
+    assert {r["lang_share"] for r in kept.collect()} == {"own"}
+
+
+MESSAGES = "tree long, node long, parent long, role string, text string, score double"
+
+
+def test_a_circle_of_replies_is_refused(spark):
+    rows = [(1, 1, 2, "user", "a", 1.0), (1, 2, 1, "user", "b", 1.0), (1, 3, 2, "assistant", "c", 1.0), (2, 1, None, "user", "d", 1.0)]
+    with pytest.raises(ValueError, match="tree 1"):
+        chat.conversations(spark.createDataFrame(rows, MESSAGES))
+    apart = chat.conversations(spark.createDataFrame(rows[:2] + rows[3:], MESSAGES))
+    assert [r["tree"] for r in apart.collect()] == [2]
+
+
+def test_roles_with_line_ends_come_back(spark):
+    roles = ["us\ner", "a<\\nb", "\n", "\\n", "<|x\n|>"]
+    rows = [(1, i + 1, i or None, role, f"t\n{i}", 1.0) for i, role in enumerate(roles)]
+    found = chat.conversations(spark.createDataFrame(rows, MESSAGES)).select(chat.parsed(F.col("formatted")).alias("turns")).first()
+    assert [(t["role"], t["text"]) for t in found["turns"]] == [(r, f"t\n{i}") for i, r in enumerate(roles)]
+
+
+def test_long_texts_are_encoded_in_slices(monkeypatch):
+    text = ("Ab cd, " * 40 + "\u00e4x" * 90 + "\n\tend ").encode()
+    with open(queries.TOKENIZER, encoding="utf-8") as file:
+        coder = token_store.Codec(file.read(), 1)
+    whole = coder.encode([text, None, b"x"])
+    monkeypatch.setattr(token_store, "SLICE_BYTES", 32)
+    assert b"".join(token_store.slices_of(text)) == text
+    assert coder.encode([text, None, b"x"]) == whole
+
+
+def test_stages_remove_what_their_predecessors_left(spark, tmp_path):
+    docs = queries.table(spark, SMALL, "documents").limit(40)
+    sizes = []
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        before = scratch_tables(spark)
+        built = stage(spark, docs, SMALL)
+        built.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        sizes.append(len(scratch_tables(spark) - before))
+    made = corpus_pipeline._left[spark.sparkContext.applicationId]
+    assert made <= scratch_tables(spark) and sizes[2] == len(made)
+    assert docs.count() > 0
