@@ -43,7 +43,7 @@ BLOCK_BYTES = 256 << 10
 SAMPLE_DOCUMENTS = 1000
 DICTIONARY_BYTES = 64 << 10
 #: Longer pieces between white space are not kept.
-KEPT_PIECE, KEPT_PIECES, KEPT_WORDS = 64, 1_000_000, 1_000_000
+KEPT_PIECE, KEPT_PIECES, KEPT_WORDS = 64, 300_000, 300_000
 NO_ID = -(1 << 63)
 BLOCKS = "part int, block int, before long, documents int, ids long, first_id long, last_id long, content binary"
 
@@ -223,7 +223,7 @@ def _frames(tokenizer, end_id: int, dictionary: bytes):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(tokenizer.value, end_id)
         writer = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
-        for batch, texts in batches(rows, 2, 2 << 20):
+        for batch, texts in batches(rows, 2, 1 << 20):
             encoded = coder.encode(texts)
             counts = pa.array([len(data) // coder.width for data in encoded], pa.int32())
             frames = pa.array([writer.compress(data) for data in encoded], pa.binary())
