@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,6 +78,15 @@ def drop_scratch(spark: SparkSession, names: Iterable[str]) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(*tables: DataFrame) -> None:
+    """Remove the intermediate tables that these frames read, and the shuffle files of plans that nobody refers to."""
+    names = {part for t in tables for f in t.inputFiles() for part in Path(f).parts}
+    spark = tables[0].sparkSession
+    drop_scratch(spark, names & scratch_tables(spark))
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove this application's intermediate tables once outputs are written."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))

@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from shiftroll.session import clear_scratch, materialise, scratch_path, shared_folder
+from shiftroll.session import clear_scratch, materialise, release, scratch_path, scratch_tables, shared_folder
 
 
 def session(folder=None, own=None, master="spark://host:7077"):
@@ -30,3 +30,11 @@ def test_materialise_and_clear(spark, rows):
     clear_scratch(spark)
     with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|No such file"):
         stored.collect()
+
+
+def test_release_removes_only_the_tables_named(spark, rows):
+    kept, gone, parts = materialise(spark.range(3)), materialise(spark.range(5)), materialise(spark.range(4).selectExpr("id", "id % 2 as part"), ["part"])
+    before = scratch_tables(spark)
+    release(gone.filter("id > 1"), parts)
+    assert len(before - scratch_tables(spark)) == 2
+    assert rows(kept) == [(0,), (1,), (2,)]
