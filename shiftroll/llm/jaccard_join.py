@@ -21,7 +21,13 @@ paired; a chain that has not settled after a few rounds is left to its hubs.  Th
 chain of groups, first come together with their counted shingles.  These are
 all of a set's members in one part of the hash range, so the common ones are
 known exactly there, and outside of it at most all others can be common; pairs
-that cannot reach the least overlap even so are out.  What is left falls into
+that cannot reach the least overlap even so are out.
+
+Before that, the members of hubs of more than BLOCK_MEMBERS members count all
+their shingles among themselves.  What one set alone has is common with none, so
+it bounds the sizes that the set can link to, its reach.  Of two that link, the
+smaller reaches its own size; any other member needs such a one in its hub,
+within the reach of both, or it leaves these hubs.  What is left falls into
 small connected parts, whose members come together with their texts; there
 groups are paired, pairs of groups are filtered by size and by what their
 prefixes still allow, members are expanded and verified, and links are united
@@ -133,6 +139,46 @@ def components_of(edges: DataFrame, most_rounds: int | None = None) -> DataFrame
             return labels
 
 
+def _whole_sets(rule: Rule):
+    """All shingles of the classes that the rows of their ids hold."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in batches(rows, 2):
+            hashes, at = word_hashes(texts, lower=True)
+            cls, s1, found = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
+            for a, b, wanted in zip(at, at[1:], s1, strict=False):
+                members = shingles(hashes[a:b], rule.words)
+                # an id may repeat with another text
+                found.append(members if _digest(members)[0] == wanted else members[:0])
+            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), long_lists(found)], names=["cls", "members"])
+
+    return run
+
+
+def without_partner(docs: DataFrame, classes: DataFrame, met: DataFrame, rule: Rule) -> DataFrame:
+    """cls of those (cls, n, hub) rows that can link to no other member of any of their hubs.
+
+    A set can share all but the members that no other set here has, which
+    bounds the size of the other set: its reach.  Of two linked sets the smaller
+    one reaches its own size, since it reaches the other's.
+    """
+    own = met.select("cls", "n").distinct()
+    asked = own.join(classes.select("cls", "id", "s1"), "cls").select("id", "cls", "s1")
+    read = lookup_join(docs.select(_id(), "text"), asked, ["id"]).select("cls", "s1", "text")
+    tokens = read.mapInArrow(_whole_sets(rule), "cls long, members array<long>").select("cls", F.explode("members").alias("token"))
+    holders = tokens.groupBy("token").agg(F.min("cls").alias("cls"), F.max("cls").alias("other")).filter("cls = other")
+    alone = holders.groupBy("cls").agg(F.count(F.lit(1)).alias("alone"))
+    shared = F.col("n") - F.coalesce("alone", F.lit(0))
+    reach = F.floor(shared * (100 + rule.percent) / rule.percent + 1e-9) - F.col("n")
+    rows = materialise(met.join(own.join(alone, "cls", "left").select("cls", reach.alias("reach")), "cls"))
+    # one row a size in the hub's two bands
+    cores = rows.filter("reach >= n").groupBy("hub", "n").agg(F.max("reach").alias("reach"))
+    cores = cores.groupBy("hub").agg(F.collect_list(F.struct("n", "reach")).alias("cores"))
+    partner = F.exists("cores", lambda x: (x["n"] <= F.col("reach")) & (x["reach"] >= F.col("n")))
+    may = rows.join(cores, "hub").filter((F.col("reach") >= F.col("n")) | partner).select("cls").distinct()
+    return own.select("cls").join(may, "cls", "left_anti")
+
+
 class Sets(NamedTuple):
     """Local sets of one task as token numbers, of tokens that at least two of them have."""
 
@@ -365,6 +411,7 @@ def _verify(rule: Rule):
     return run
 
 
+_GROUP = ["n", "p1", "p2", "thin"]
 _UNIT = ["unit", "a", "b", "token", "band"]
 _PART = [*_UNIT, "part"]
 _SCREENED = ["cls", "n", "block", "own_band", "prefix"]
@@ -436,7 +483,7 @@ def links_of(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     read.
     """
     members, classes = classes_of(docs, rule)
-    linked = materialise(_verified(docs, _screened(units_of(classes, rule), rule), rule))
+    linked = materialise(_verified(docs, _screened(units_of(docs, classes, rule), rule), rule))
     if linked.groupBy("cls").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").isEmpty():
         labels = linked
     else:  # a class was in several units or pairs of blocks
@@ -460,26 +507,46 @@ def links_of(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     return with_words.select(*columns).unionByName(without.select(*columns))
 
 
-def units_of(classes: DataFrame, rule: Rule) -> DataFrame:
-    """id, cls, n, s1, copies, counted, own_band, prefix and the units of each class that may link to another."""
-    prefixes = materialise(prefixes_of(classes, rule))
-    # sizes that allow a link are at most one band apart
-    own_band = F.floor(F.log("n") / math.log(100 / rule.percent) + 1e-9).cast("long")
-    group = ["n", "p1", "p2"]
-    keyed = prefixes.withColumns({"p1": F.xxhash64("prefix"), "p2": F.hash("prefix"), "own_band": own_band})
+def _grouped(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups of equal size, prefix and thinness, and their (node, hub) rows, each hub with its members."""
     groups = materialise(
-        keyed.groupBy(*group, "own_band").agg(
+        keyed.groupBy(*_GROUP, "own_band").agg(
             F.min("cls").alias("node"), F.first("prefix").alias("prefix"), F.count(F.lit(1)).alias("size")
         )
     )
     met = (
-        groups.select("node", "size", "own_band", F.explode("prefix").alias("token"))
+        groups.select("node", "size", "own_band", "thin", F.explode("prefix").alias("token"))
         .withColumn("band", F.explode(F.array(F.col("own_band"), F.col("own_band") + 1)))
         .withColumn("hub", F.xxhash64("token", "band"))
-        .select("node", "size", "token", "band", "hub")
+        .select("node", "size", "own_band", "token", "band", "hub", "thin")
     )
-    hubs = met.groupBy("hub").agg(F.sum("size").alias("hub_members")).filter("hub_members > 1")
-    edges = materialise(met.join(hubs, "hub"))
+    return groups, met
+
+
+def _in_hubs(met: DataFrame) -> DataFrame:
+    # a pair meets in the larger of its two bands, so a hub without a member of its own band pairs nobody
+    own = F.max(F.col("own_band") == F.col("band")).alias("own")
+    hubs = met.groupBy("hub").agg(F.sum("size").alias("hub_members"), own).filter("hub_members > 1 AND own").drop("own")
+    return materialise(met.join(hubs, "hub").drop("own_band"))
+
+
+def units_of(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """id, cls, n, s1, copies, counted, own_band, prefix and the units of each class that may link to another."""
+    prefixes = materialise(prefixes_of(classes, rule))
+    # sizes that allow a link are at most one band apart
+    own_band = F.floor(F.log("n") / math.log(100 / rule.percent) + 1e-9).cast("long")
+    keyed = prefixes.withColumns({"p1": F.xxhash64("prefix"), "p2": F.hash("prefix"), "own_band": own_band, "thin": F.lit(False)})
+    groups, met = _grouped(keyed)
+    edges = _in_hubs(met)
+    large = edges.filter(F.col("hub_members") > BLOCK_MEMBERS)
+    if not large.isEmpty():
+        crowded = keyed.join(groups.select(*_GROUP, "node"), _GROUP).join(large.select("node", "hub"), "node")
+        thin = without_partner(docs, classes, crowded.select("cls", "n", "hub"), rule)
+        thinned = keyed.drop("thin").join(thin.withColumn("thin", F.lit(True)), "cls", "left")
+        keyed = materialise(thinned.withColumn("thin", F.coalesce("thin", F.lit(False))))
+        groups, met = _grouped(keyed)
+        left = met.join(large.select("hub").distinct().withColumn("large", F.lit(True)), "hub", "left")
+        edges = _in_hubs(left.filter(~F.col("thin") | F.col("large").isNull()).drop("large"))
     labels = components_of(edges.select("node", "hub"), CLUSTER_ROUNDS)
     # a cluster is settled if each of its hubs knows its label only
     labelled = edges.select("node", "hub").join(labels, "node")
@@ -501,9 +568,9 @@ def units_of(classes: DataFrame, rule: Rule) -> DataFrame:
         "node", F.struct(F.col("hub").alias("unit"), F.col("hub_members").alias("members"), "token", "band").alias("u")
     )
     units = whole.unionByName(by_hub).groupBy("node").agg(F.collect_list("u").alias("units"))
-    of_group = groups.select(*group, "node").join(units, "node").drop("node")
+    of_group = groups.select(*_GROUP, "node").join(units, "node").drop("node")
     return materialise(
-        keyed.join(of_group, group)
+        keyed.join(of_group, _GROUP)
         .select("cls", "n", "own_band", F.when(F.col("units")[0]["token"].isNotNull(), F.col("prefix")).alias("prefix"), "units")
         .join(classes.select("cls", "id", "s1", "copies", "counted"), "cls")
     )
