@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 
 from shiftroll.functions.joins import lookup_join
 from shiftroll.llm.words import batches, long_lists, shingles, word_hashes
-from shiftroll.session import materialise
+from shiftroll.session import materialise, release
 
 BLOCK_MEMBERS = 512
 #: Clusters that settle later than this are long chains, whose hubs are dealt out one by one.
@@ -134,6 +134,7 @@ def components_of(edges: DataFrame, most_rounds: int | None = None) -> DataFrame
             .select("node", F.coalesce("further", "label").alias("label"), "old")
         )
         changed = after.filter(F.col("label") != F.col("old")).limit(1).count()
+        release(labels)
         labels = after.select("node", "label")
         if not changed or done == most_rounds:
             return labels
@@ -451,7 +452,9 @@ def classes_of(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
             F.count(F.lit(1)).alias("copies"),
         )
     )
-    return rows.select("doc_id", "n", "cls"), materialise(classes)
+    members, classes = materialise(rows.select("doc_id", "n", "cls")), materialise(classes)
+    release(rows)
+    return members, classes
 
 
 def prefixes_of(classes: DataFrame, rule: Rule) -> DataFrame:
@@ -569,11 +572,13 @@ def units_of(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     )
     units = whole.unionByName(by_hub).groupBy("node").agg(F.collect_list("u").alias("units"))
     of_group = groups.select(*_GROUP, "node").join(units, "node").drop("node")
-    return materialise(
+    candidates = materialise(
         keyed.join(of_group, _GROUP)
         .select("cls", "n", "own_band", F.when(F.col("units")[0]["token"].isNotNull(), F.col("prefix")).alias("prefix"), "units")
         .join(classes.select("cls", "id", "s1", "copies", "counted"), "cls")
     )
+    release(prefixes, keyed, groups, edges, labels, placed)
+    return candidates
 
 
 def _screened(candidates: DataFrame, rule: Rule) -> DataFrame:
