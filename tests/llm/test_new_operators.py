@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shiftroll.llm import block_names, chat, language, max_sketch, queries, token_store, whitening
+from shiftroll.llm import block_names, chat, jaccard_join, language, max_sketch, queries, token_store, whitening
 from shiftroll.session import scratch_tables
 from tests.check_sql import compare, connect
 from tests.conftest import SMALL
@@ -319,3 +319,16 @@ def test_stages_remove_what_their_predecessors_left(spark, tmp_path):
     made = corpus_pipeline._left[spark.sparkContext.applicationId]
     assert made <= scratch_tables(spark) and sizes[2] == len(made)
     assert docs.count() > 0
+
+
+def test_only_sets_without_a_partner_leave_a_hub(spark):
+    """Near copies of one text, each with words of its own; n counts shingles of three words."""
+    rule, words = jaccard_join.Rule(3, 90), [f"w{k}" for k in range(152)]
+    texts = [" ".join(f"x{c}y{k}" if k % 12 == 5 and k < 12 * c else w for k, w in enumerate(words)) for c in range(8)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _, classes = jaccard_join.classes_of(docs, rule)
+    met = classes.select("cls", "n").withColumn("hub", F.lit(1).cast("long"))
+    thin = {r["cls"] for r in jaccard_join.without_partner(docs, classes, met, rule).collect()}
+    left = sorted(r["id"] for r in classes.collect() if r["cls"] in thin)
+    # a changed word changes three of 150 shingles, seven may be alone in two sets of equal size
+    assert left == [3, 4, 5, 6, 7]
