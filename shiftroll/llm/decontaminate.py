@@ -30,9 +30,9 @@ MASKS = ("11101011", "110110011", "1101010011")
 LEAST_WORDS = 12
 LEAST_SHARE = 0.75
 MISMATCH = 2.0
-#: Items of fewer words are no evidence.
+#: Items of fewer words are no evidence, unless a caller says otherwise.
 LEAST_ITEM = 5
-#: Words of a document that are kept together, and on either side of them.
+#: Words of a document that are kept together at least, and on either side of them.
 PIECE, MARGIN = 256, 64
 FILTER_BITS = 23
 
@@ -57,9 +57,16 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     return mix(out)
 
 
-def masks_for(lengths: Sequence[int]) -> tuple[str, ...]:
+def masks_for(lengths: Sequence[int], least_item: int = LEAST_ITEM) -> tuple[str, ...]:
     """The masks, and solid ones for items too short for them."""
-    return (*MASKS, *("1" * n for n in sorted(set(lengths)) if LEAST_ITEM <= n < max(map(len, MASKS))))
+    return (*MASKS, *("1" * n for n in sorted(set(lengths)) if least_item <= n < max(map(len, MASKS))))
+
+
+def piece_of(longest: int) -> tuple[int, int]:
+    """Words of a piece and of its margins, so that an item of ``longest`` words laid at a hit lies inside.
+
+    The piece grows with the margin, so all pieces of a document have at most three times its words."""
+    return max(PIECE, longest), max(MARGIN, longest)
 
 
 def _item_words(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,12 +76,12 @@ def _item_words(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), long_lists(parts)], names=["item_id", "item"])
 
 
-def _item_seeds(masks: tuple[str, ...]):
+def _item_seeds(masks: tuple[str, ...], least_item: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             for item, words in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 words = np.asarray(words.values, dtype=np.int64).view(np.uint64)
-                for mask in masks if len(words) >= LEAST_ITEM else ():
+                for mask in masks if len(words) >= least_item else ():
                     found = seeds(words, mask)
                     if len(found):
                         columns = [pa.array([item] * len(found), pa.int64()), pa.array(range(len(found)), pa.int32()), pa.array(found.view(np.int64))]
@@ -106,7 +113,7 @@ def seed_filter(item_seeds: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
-def _document_hits(masks: tuple[str, ...], packed: bytes):
+def _document_hits(masks: tuple[str, ...], packed: bytes, piece: int, margin: int):
     """Pieces of documents that have seeds of the filter, with these seeds and their words."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,14 +135,14 @@ def _document_hits(masks: tuple[str, ...], packed: bytes):
                 continue
             text = np.searchsorted(at, place, side="right") - 1
             inner = place - at[text]
-            order = np.lexsort((inner, inner // PIECE, text))
+            order = np.lexsort((inner, inner // piece, text))
             place, seed, text, inner = place[order], seed[order], text[order], inner[order]
-            cut = np.flatnonzero(np.diff(text) | np.diff(inner // PIECE)) + 1
+            cut = np.flatnonzero(np.diff(text) | np.diff(inner // piece)) + 1
             firsts = [0, *cut.tolist()]
             ids, starts, pieces, hits, seen = [], [], [], [], []
             for a, b in zip(firsts, [*firsts[1:], len(place)], strict=True):
-                t, p = int(text[a]), int(inner[a]) // PIECE
-                low, high = max(0, p * PIECE - MARGIN), min(int(at[t + 1] - at[t]), (p + 1) * PIECE + MARGIN)
+                t, p = int(text[a]), int(inner[a]) // piece
+                low, high = max(0, p * piece - margin), min(int(at[t + 1] - at[t]), (p + 1) * piece + margin)
                 ids.append(t)
                 starts.append(low)
                 pieces.append(words[at[t] + low : at[t] + high])
@@ -193,13 +200,13 @@ def _verified(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "doc_at", "n_words", "n_equal"])
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, least_item: int = LEAST_ITEM) -> DataFrame:
     """doc_id, item_id, doc_at, n_words, n_equal: the longest verified overlap of each document and item.
 
-    Documents without one are not in it.  Repeated rows count once.  A NULL
+    It is found whole, however long the item is.  Documents without one are not in it.  Repeated rows count once.  A NULL
     item_id is an id too, and of several texts under one item_id each is looked
     for; the longest overlap with any of them counts.  NULL and empty texts, and
-    items of fewer than LEAST_ITEM words, overlap with nothing.  Only doc_id,
+    items of fewer than ``least_item`` words, overlap with nothing.  Only doc_id,
     item_id and the texts are read.
     """
     items = materialise(
@@ -208,13 +215,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .withColumn("item_key", F.xxhash64(F.col("item_id").isNull(), "item_id", "item"))
         .dropDuplicates(["item_key"])
     )
-    lengths = items.select(F.size("item").alias("n")).filter(F.col("n") < max(map(len, MASKS))).distinct().collect()
-    masks = masks_for([r["n"] for r in lengths])
-    item_seeds = materialise(items.select("item_key", "item").mapInArrow(_item_seeds(masks), "item_key long, item_at int, seed long"))
+    size, short = F.size("item"), max(map(len, MASKS))
+    measured = items.agg(F.collect_set(F.when(size < short, size)).alias("short"), F.max(size).alias("longest")).first()
+    masks = masks_for(measured["short"], least_item)
+    piece, margin = piece_of(measured["longest"] or 0)
+    item_seeds = materialise(items.select("item_key", "item").mapInArrow(_item_seeds(masks, least_item), "item_key long, item_at int, seed long"))
     packed = np.packbits(seed_filter(item_seeds)).tobytes()
     pieces = materialise(
         docs.select("doc_id", "text").mapInArrow(
-            _document_hits(masks, packed), "doc_id long, start long, words array<long>, places array<long>, seeds array<long>"
+            _document_hits(masks, packed, piece, margin), "doc_id long, start long, words array<long>, places array<long>, seeds array<long>"
         )
         # equal pieces of equal ids are one
         .withColumn("piece", F.xxhash64("doc_id", "start", "words"))
