@@ -35,6 +35,11 @@ to components.  Units
 of more than BLOCK_MEMBERS members are dealt out as pairs of blocks, so no
 task holds more than two blocks.  Links of different units are united by label
 propagation.
+
+Where only components are asked for, the blocks of a crowded unit first meet a
+block of its representatives.  What is linked after that is dealt into blocks of
+its own, and a pair of blocks that one component fills isn't looked at; all
+other pairs are.
 """
 
 from __future__ import annotations
@@ -46,7 +51,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftroll.functions.joins import lookup_join
@@ -475,39 +480,56 @@ def prefixes_of(classes: DataFrame, rule: Rule) -> DataFrame:
     return held.select("cls", "n", F.concat(by_df, others).alias("prefix")).filter(F.size("prefix") > 0)
 
 
+def _united(linked: DataFrame) -> DataFrame:
+    """cls, label of (cls, label) rows, in which a class may have several labels."""
+    if linked.groupBy("cls").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").isEmpty():
+        return linked.select("cls", "label")
+    return components_of(linked.select(F.col("cls").alias("node"), F.col("label").alias("hub")).distinct()).withColumnRenamed("node", "cls")
+
+
+def _told(members: DataFrame, classes: DataFrame, linked: DataFrame) -> DataFrame:
+    """doc_id, n, cls, label and component_id of all documents; those without words have no label."""
+    labels = classes.select("cls", "first_id").join(_united(linked), "cls", "left")
+    told = materialise(labels.withColumn("label", F.coalesce("label", "cls")))
+    first = told.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    per_class = told.join(first, "label").select("cls", "label", "component_id")
+    columns = ["doc_id", "n", "cls", "label", "component_id"]
+    with_words = members.filter("n > 0").join(per_class, "cls").select(*columns)
+    without = members.filter("n = 0").withColumns({"label": F.lit(None).cast("long"), "component_id": F.col("doc_id")})
+    return with_words.unionByName(without.select(*columns))
+
+
 def links_of(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links of every document.
 
     A document without words (NULL, empty or blank text) has an empty set,
     links to nothing and is its own component.  Repeated rows link to each
     other.  component_id is the smallest id of the component, NULL if it has
-    none.  n_links counts the other rows that a row links to directly.  An
+    none.  n_links counts the other rows that a row links to directly, so all
+    pairs that may link are verified; ``components`` does with fewer.  An
     empty table gives an empty one; columns besides doc_id and text are not
     read.
     """
     members, classes = classes_of(docs, rule)
-    linked = materialise(_verified(docs, _screened(units_of(docs, classes, rule), rule), rule))
-    if linked.groupBy("cls").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").isEmpty():
-        labels = linked
-    else:  # a class was in several units or pairs of blocks
-        united = components_of(linked.select(F.col("cls").alias("node"), F.col("label").alias("hub")).distinct())
-        labels = linked.groupBy("cls").agg(F.sum("links").alias("links")).join(united.withColumnRenamed("node", "cls"), "cls")
-    told = materialise(
-        classes.select("cls", "first_id", "copies")
-        .join(labels, "cls", "left")
-        .select(
-            "cls",
-            "first_id",
-            F.coalesce("label", "cls").alias("label"),
-            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        )
-    )
-    first = told.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    per_class = told.join(first, "label").select("cls", "component_id", "n_links")
-    with_words = members.filter("n > 0").join(per_class, "cls")
-    without = members.filter("n = 0").withColumn("component_id", F.col("doc_id")).withColumn("n_links", F.lit(0).cast("long"))
-    columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links"]
-    return with_words.select(*columns).unionByName(without.select(*columns))
+    candidates = units_of(docs, classes, rule)
+    linked = materialise(_verified(docs, _screened(candidates, _in_pairs(candidates), rule), rule))
+    counted = linked.groupBy("cls").agg(F.sum("links").alias("links"))
+    others = classes.select("cls", "copies").join(counted, "cls", "left")
+    n_links = others.select("cls", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    told = _told(members, classes, linked)
+    columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
+    with_words = told.filter("n > 0").join(n_links, "cls").select(*columns, "n_links")
+    return with_words.unionByName(told.filter("n = 0").select(*columns, F.lit(0).cast("long").alias("n_links")))
+
+
+def _components(docs: DataFrame, rule: Rule) -> DataFrame:
+    members, classes = classes_of(docs, rule)
+    return _told(members, classes, _spanning(docs, units_of(docs, classes, rule), rule))
+
+
+def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document, as ``links_of`` has them."""
+    return _components(docs, rule).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def _grouped(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -581,24 +603,97 @@ def units_of(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     return candidates
 
 
-def _screened(candidates: DataFrame, rule: Rule) -> DataFrame:
-    """The candidates that may link to another by their counted members, and the parts they belong to.
+def _blocks(rows: str) -> Column:
+    return F.ceil(F.col(rows) / BLOCK_MEMBERS).cast("long")
+
+
+def _block_of(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("cls"), F.col(blocks)).cast("long")
+
 
-    Units of more than BLOCK_MEMBERS members are dealt out as pairs of blocks."""
-    n_blocks = F.ceil(F.col("members") / BLOCK_MEMBERS).cast("long")
-    with_all = F.transform(
-        F.sequence(F.lit(0).cast("long"), n_blocks - 1),
-        lambda k: F.struct(F.least(k, F.col("block")).alias("a"), F.greatest(k, F.col("block")).alias("b")),
+def _with_block(other: Column) -> Column:
+    return F.struct(F.least(other, F.col("block")).alias("a"), F.greatest(other, F.col("block")).alias("b"))
+
+
+def _in_pairs(candidates: DataFrame) -> DataFrame:
+    """cls, unit, token, band, block and the pairs of blocks that a member of a unit goes to: all with its own."""
+    placed = candidates.select("cls", F.inline("units")).withColumn("n_blocks", _blocks("members"))
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1), _with_block)
+    return placed.withColumn("block", _block_of("n_blocks")).withColumn("pairs", pairs).drop("members", "n_blocks")
+
+
+def _spanning(docs: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame:
+    """(cls, label) rows that connect what is linked.
+
+    In units of more than BLOCK_MEMBERS members, block 0 holds the
+    representatives and meets all others first.  Then every large component of
+    the members left has blocks of its own there, and the rest shares some."""
+
+    def verified(dealt: DataFrame) -> DataFrame:
+        return materialise(_verified(docs, _screened(candidates, dealt, rule), rule).select("cls", "label"))
+
+    units = candidates.select("cls", F.inline("units"))
+    crowded = units.filter(F.col("members") > BLOCK_MEMBERS)
+    if crowded.isEmpty():
+        return verified(_in_pairs(candidates))
+    of_unit = Window.partitionBy("unit", "token", "band")
+    chosen = crowded.withColumn("nth", F.row_number().over(of_unit.orderBy(F.xxhash64("cls"), "cls"))).filter(F.col("nth") <= BLOCK_MEMBERS)
+    chosen = chosen.select("cls", "unit", F.lit(True).alias("chosen"))
+    zero = F.lit(0).cast("long")
+    met = materialise(
+        crowded.join(chosen, ["cls", "unit"], "left")
+        .withColumns({"chosen": F.coalesce("chosen", F.lit(False)), "n_blocks": _blocks("members")})
+        .withColumn("block", F.when(F.col("chosen"), zero).otherwise(_block_of("n_blocks") + 1))
+    )
+    stars = met.withColumn("pairs", F.when(F.col("chosen"), F.transform(F.sequence(zero, F.col("n_blocks")), _with_block)).otherwise(F.array(_with_block(zero))))
+    small = units.filter(F.col("members") <= BLOCK_MEMBERS).withColumn("block", zero)
+    columns = ["cls", "unit", "token", "band", "block", "pairs"]
+    first = verified(stars.select(*columns).unionByName(small.withColumn("pairs", F.array(_with_block(zero))).select(*columns)))
+
+    # representatives have met everybody
+    left = met.filter(~F.col("chosen")).select("cls", "unit", "token", "band").join(_united(first), "cls", "left")
+    left = materialise(left.withColumn("label", F.coalesce("label", "cls")))
+    sizes = left.groupBy("unit", "label").agg(F.count(F.lit(1)).alias("rows"))
+    large = sizes.filter(F.col("rows") >= BLOCK_MEMBERS).withColumn("own_blocks", _blocks("rows"))
+    before = Window.partitionBy("unit").orderBy("label").rowsBetween(Window.unboundedPreceding, -1)
+    large = large.withColumn("start", F.coalesce(F.sum("own_blocks").over(before), zero))
+    of_all = large.groupBy("unit").agg(F.sum("own_blocks").alias("large_blocks"), F.sum("rows").alias("large_rows"))
+    whole = (
+        sizes.groupBy("unit")
+        .agg(F.sum("rows").alias("rows"))
+        .join(of_all, "unit", "left")
+        .select("unit", F.coalesce("large_blocks", zero).alias("large_blocks"), (F.col("rows") - F.coalesce("large_rows", zero)).alias("rest"))
+        .withColumn("rest_blocks", _blocks("rest"))
+    )
+    n_all = F.col("large_blocks") + F.col("rest_blocks")
+    own = F.col("own_blocks").isNotNull()
+    others = F.filter(
+        F.sequence(zero, n_all - 1), lambda k: ~F.coalesce((k >= F.col("start")) & (k < F.col("start") + F.col("own_blocks")), F.lit(False))
     )
-    block = F.pmod(F.xxhash64("cls"), n_blocks).cast("long")
     dealt = (
-        candidates.select("cls", "n", "own_band", "prefix", "counted", F.inline("units"))
-        .withColumn("block", block)
-        .withColumn("pair", F.explode(with_all))
+        left.join(large.drop("rows"), ["unit", "label"], "left")
+        .join(whole, "unit")
+        .withColumn("block", F.when(own, F.col("start") + _block_of("own_blocks")).otherwise(F.col("large_blocks") + _block_of("rest_blocks")))
+        .withColumn("pairs", F.transform(others, _with_block))
+        .select(*columns)
+    )
+    second = verified(dealt.filter(F.size("pairs") > 0))
+    release(met, left)
+    return first.unionByName(second)
+
+
+def _screened(candidates: DataFrame, dealt: DataFrame, rule: Rule) -> DataFrame:
+    """The candidates that may link to another by their counted members, and the parts they belong to.
+
+    ``dealt`` says to which pairs of blocks of which units they go."""
+    rows = (
+        candidates.select("cls", "n", "own_band", "prefix", "counted")
+        .join(dealt, "cls")
+        .withColumn("pair", F.explode("pairs"))
         .select("unit", "pair.a", "pair.b", "token", "band", *_SCREENED, "counted")
     )
     parts = (
-        dealt.repartition("unit", "a", "b")
+        rows.repartition("unit", "a", "b")
         .sortWithinPartitions("unit", "a", "b", "cls")
         .mapInArrow(_screen(rule), "unit long, a long, b long, token long, band long, cls long, block long, part long")
     )
@@ -621,18 +716,30 @@ def _verified(docs: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame:
 
 
 def first_of_each(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """One document of each component, the one with the smallest id; documents without words stay.
+    """One document of each component, one with the smallest id; documents without words stay.
 
-    Rows alike in id and text count once.  Rows without an id stay if one of
-    them is not linked to a document with an id.
+    Of several texts under that id in one component one stays, the same in each
+    run.  Rows alike in id and text count once.  In a component whose rows all
+    have no id, one of them stays.
     """
-    own = links_of(docs, rule).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = materialise(own.groupBy(_id()).agg(F.count(F.lit(1)).alias("rows")))
-    keyed = docs.withColumn("_kept_id", F.coalesce("doc_id", F.lit(_NO_ID)))
-
-    def of(ids: DataFrame) -> DataFrame:
-        return keyed.join(ids.select(F.col("id").alias("_kept_id")), "_kept_id", "left_semi").select(*docs.columns)
-
-    once = of(kept.filter("rows = 1"))
-    repeated = kept.filter("rows > 1")
-    return once if repeated.isEmpty() else once.unionByName(of(repeated).dropDuplicates(["doc_id", "text"]))
+    told = materialise(_components(docs, rule).withColumn("id", _id()))
+    own = told.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    own = own.withColumn("of", F.coalesce("label", "cls")).groupBy("id", "of").agg(F.min("cls").alias("cls"))
+    kept = materialise(own.join(told.groupBy("id").agg((F.count(F.lit(1)) > 1).alias("repeated")), "id"))
+    keyed = docs.withColumn("_kept_id", _id())
+    once = keyed.join(kept.filter("NOT repeated").select(F.col("id").alias("_kept_id")), "_kept_id", "left_semi").select(*docs.columns)
+    repeated = kept.filter("repeated").select(F.col("id").alias("_kept_id"), F.col("cls").alias("_kept_class"))
+    if repeated.isEmpty():
+        return once
+    # an id with several rows says nothing of the row: its text does
+    again = keyed.join(repeated.select("_kept_id").distinct(), "_kept_id", "left_semi").withColumn("_text_key", F.xxhash64("text"))
+    read = again.select(F.col("_text_key").alias("doc_id"), "text").distinct().mapInArrow(
+        _sets(rule), "doc_id long, n long, s1 long, s2 long, counted array<long>, spare array<long>"
+    )
+    classed = read.select(F.col("doc_id").alias("_text_key"), F.xxhash64("n", "s1", "s2").alias("_kept_class"), (F.col("n") == 0).alias("_bare"))
+    # texts without words are one class, but none of each other's copies
+    alike = F.when(F.col("_bare"), F.col("text"))
+    rows = again.join(classed.distinct(), "_text_key").join(repeated, ["_kept_id", "_kept_class"], "left_semi")
+    rows = rows.withColumn("_alike", alike).withColumn("_null", F.col("text").isNull())
+    order = Window.partitionBy("_kept_id", "_kept_class", "_alike", "_null").orderBy("text")
+    return once.unionByName(rows.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").select(*docs.columns))

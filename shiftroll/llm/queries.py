@@ -51,7 +51,7 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.links_of(table(spark, sf_dir, "documents"), jaccard_join.Rule(3, 90))
+    return jaccard_join.components(table(spark, sf_dir, "documents"), jaccard_join.Rule(3, 90))
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
