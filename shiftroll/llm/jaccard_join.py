@@ -36,8 +36,8 @@ of more than BLOCK_MEMBERS members are dealt out as pairs of blocks, so no
 task holds more than two blocks.  Links of different units are united by label
 propagation.
 
-Where only components are asked for, the blocks of a crowded unit first meet a
-block of its representatives.  What is linked after that is dealt into blocks of
+Where only components are asked for, the blocks of a crowded unit, one of
+more than PAIRED_BLOCKS, first meet a block of its representatives.  What is linked after that is dealt into blocks of
 its own, and a pair of blocks that one component fills isn't looked at; all
 other pairs are.
 """
@@ -59,6 +59,8 @@ from shiftroll.llm.words import batches, long_lists, shingles, word_hashes
 from shiftroll.session import materialise, release
 
 BLOCK_MEMBERS = 512
+#: In units of no more blocks all pairs of blocks cost less than a round by representatives.
+PAIRED_BLOCKS = 4
 #: Clusters that settle later than this are long chains, whose hubs are dealt out one by one.
 CLUSTER_ROUNDS = 4
 DENSE_CELLS = 1 << 22
@@ -512,7 +514,7 @@ def links_of(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """
     members, classes = classes_of(docs, rule)
     candidates = units_of(docs, classes, rule)
-    linked = materialise(_verified(docs, _screened(candidates, _in_pairs(candidates), rule), rule))
+    linked = materialise(_verified(docs, _screened(candidates, _in_pairs(candidates.select("cls", F.inline("units"))), rule), rule))
     counted = linked.groupBy("cls").agg(F.sum("links").alias("links"))
     others = classes.select("cls", "copies").join(counted, "cls", "left")
     n_links = others.select("cls", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
@@ -615,9 +617,9 @@ def _with_block(other: Column) -> Column:
     return F.struct(F.least(other, F.col("block")).alias("a"), F.greatest(other, F.col("block")).alias("b"))
 
 
-def _in_pairs(candidates: DataFrame) -> DataFrame:
+def _in_pairs(units: DataFrame) -> DataFrame:
     """cls, unit, token, band, block and the pairs of blocks that a member of a unit goes to: all with its own."""
-    placed = candidates.select("cls", F.inline("units")).withColumn("n_blocks", _blocks("members"))
+    placed = units.withColumn("n_blocks", _blocks("members"))
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1), _with_block)
     return placed.withColumn("block", _block_of("n_blocks")).withColumn("pairs", pairs).drop("members", "n_blocks")
 
@@ -625,7 +627,7 @@ def _in_pairs(candidates: DataFrame) -> DataFrame:
 def _spanning(docs: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame:
     """(cls, label) rows that connect what is linked.
 
-    In units of more than BLOCK_MEMBERS members, block 0 holds the
+    In units of more than PAIRED_BLOCKS blocks of members, block 0 holds the
     representatives and meets all others first.  Then every large component of
     the members left has blocks of its own there, and the rest shares some."""
 
@@ -633,9 +635,9 @@ def _spanning(docs: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame:
         return materialise(_verified(docs, _screened(candidates, dealt, rule), rule).select("cls", "label"))
 
     units = candidates.select("cls", F.inline("units"))
-    crowded = units.filter(F.col("members") > BLOCK_MEMBERS)
+    crowded = units.filter(F.col("members") > PAIRED_BLOCKS * BLOCK_MEMBERS)
     if crowded.isEmpty():
-        return verified(_in_pairs(candidates))
+        return verified(_in_pairs(units))
     of_unit = Window.partitionBy("unit", "token", "band")
     chosen = crowded.withColumn("nth", F.row_number().over(of_unit.orderBy(F.xxhash64("cls"), "cls"))).filter(F.col("nth") <= BLOCK_MEMBERS)
     chosen = chosen.select("cls", "unit", F.lit(True).alias("chosen"))
@@ -646,9 +648,9 @@ def _spanning(docs: DataFrame, candidates: DataFrame, rule: Rule) -> DataFrame:
         .withColumn("block", F.when(F.col("chosen"), zero).otherwise(_block_of("n_blocks") + 1))
     )
     stars = met.withColumn("pairs", F.when(F.col("chosen"), F.transform(F.sequence(zero, F.col("n_blocks")), _with_block)).otherwise(F.array(_with_block(zero))))
-    small = units.filter(F.col("members") <= BLOCK_MEMBERS).withColumn("block", zero)
+    small = _in_pairs(units.filter(F.col("members") <= PAIRED_BLOCKS * BLOCK_MEMBERS))
     columns = ["cls", "unit", "token", "band", "block", "pairs"]
-    first = verified(stars.select(*columns).unionByName(small.withColumn("pairs", F.array(_with_block(zero))).select(*columns)))
+    first = verified(stars.select(*columns).unionByName(small.select(*columns)))
 
     # representatives have met everybody
     left = met.filter(~F.col("chosen")).select("cls", "unit", "token", "band").join(_united(first), "cls", "left")

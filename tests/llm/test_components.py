@@ -35,6 +35,7 @@ def crowd():
 def test_components_equal_brute_force(spark, monkeypatch, crowd, block, rounds):
     monkeypatch.setattr(jaccard_join, "BLOCK_MEMBERS", block)
     monkeypatch.setattr(jaccard_join, "CLUSTER_ROUNDS", rounds)
+    monkeypatch.setattr(jaccard_join, "PAIRED_BLOCKS", 2)
     docs = spark.createDataFrame(crowd, "doc_id long, text string")
     rule = jaccard_join.Rule(3, 85)
     assert sorted(tuple(r) for r in jaccard_join.components(docs, rule).collect()) == by_hand(crowd, 3, 85)
@@ -42,6 +43,7 @@ def test_components_equal_brute_force(spark, monkeypatch, crowd, block, rounds):
 
 def test_a_component_that_fills_its_blocks_is_not_paired_again(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK_MEMBERS", 8)
+    monkeypatch.setattr(jaccard_join, "PAIRED_BLOCKS", 1)
     words = [f"w{k}" for k in range(400)]
     copies = [" ".join([*words[:k], f"x{k}", *words[k + 1 :]]) for k in range(0, 400, 4)]
     docs = spark.createDataFrame(list(enumerate(copies)), "doc_id long, text string")
