@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shiftroll.session import materialise
+
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # Below this many rows a frequent key is no burden for one task.
@@ -197,14 +199,22 @@ def spread_join(
 
 
 def lookup_joins(
-    fact: DataFrame, lookups: Sequence[Lookup], max_rows: int | None = None, min_hot_rows: int | None = None
+    fact: DataFrame,
+    lookups: Sequence[Lookup],
+    max_rows: int | None = None,
+    min_hot_rows: int | None = None,
+    write_first: bool = False,
 ) -> DataFrame:
     """Join ``fact`` to each of the keyed tables, the small ones by broadcast.
 
-    The keys must be columns of ``fact``.
+    The keys must be columns of ``fact``.  With ``write_first`` a fact whose
+    frequent keys are wanted is written once, which for a joined one is less
+    than shuffling it for the keys and again for the rows.
     """
     small = small_enough([x.keyed for x in lookups], max_rows)
     shuffled = [x for x, fits in zip(lookups, small, strict=True) if not fits]
+    if shuffled and write_first:
+        fact = materialise(fact)
     hot = iter(hot_keys(fact, [x.on for x in shuffled], min_hot_rows) if shuffled else [])
     for lookup, fits in zip(lookups, small, strict=True):
         on, how = list(lookup.on), lookup.how

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftroll.functions.joins import Lookup, lookup_join, lookup_joins
+from shiftroll.functions.joins import Lookup, hot_keys, lookup_joins, spread_join
 from shiftroll.functions.keys import Base, dense_ids
 from shiftroll.functions.scalars import (
     EMPLOYEE_ID_PREFIX,
@@ -19,8 +19,9 @@ from shiftroll.functions.scalars import (
     upper_or_null,
 )
 from shiftroll.functions.writes import insert_in_route_order
-from shiftroll.operators.links import employee_lookup, link_column
+from shiftroll.operators.links import LINK, employee_lookup, link_column
 from shiftroll.params import RunParams
+from shiftroll.session import materialise
 
 # Code types and where they go.
 EARNING = "E"
@@ -74,7 +75,8 @@ def stage_amounts(
 
     Amounts meet only the codes of their own ``origin``, in which an ordinal
     must occur once.  Settings without the columns of scope and origin are a
-    catalogue that all share.
+    catalogue that all share.  The rows meet both lookups with their keys and
+    the amount alone; what follows from these is added afterwards.
     """
     keep = [c for c in ("hired_at",) if c in employees.columns]
     owner = [c for c in (*scope, *origin) if c in settings.columns]
@@ -89,15 +91,22 @@ def stage_amounts(
     rows = amounts.filter(F.col("amount_q") != 0).select(
         *scope,
         *origin,
-        F.col("employeeno").cast("string").alias("legacy_empno"),
         link_column(amounts, "employeeno"),
         F.col("ordinalno").alias("ordinal_no"),
-        to_minor("amount_q").alias("amount_minor"),
         F.col("amount_q").cast(MONEY_TYPE).alias("amount_raw"),
     )
-    columns = ["legacy_empno", "employee_id", *keep, "ordinal_no", "name", "amount_minor", "amount_raw", "codetype"]
-    return lookup_joins(rows, [Lookup(codes, [*owner, "ordinal_no"], "left"), people]).select(
-        *scope, *origin, *columns
+    linked = lookup_joins(rows, [Lookup(codes, [*owner, "ordinal_no"], "left"), people], write_first=True)
+    return linked.select(
+        *scope,
+        *origin,
+        F.col(LINK).cast("string").alias("legacy_empno"),
+        "employee_id",
+        *keep,
+        "ordinal_no",
+        "name",
+        to_minor("amount_raw").alias("amount_minor"),
+        "amount_raw",
+        "codetype",
     )
 
 
@@ -246,27 +255,31 @@ def keyed_outcomes(
     One row for each distinct staged amount, with what holds its key: the
     target's own row, or the batch's with its amount.  ``existing`` are the
     target tables by destination as they were before the insert.  Repeats are
-    counted in the map tasks, so a frequent key makes no large group.
+    counted in the map tasks, so a frequent key makes no large group.  The
+    counted rows are written once; they and the keys of the targets give one
+    table of keys, which meets the written rows again.
     """
     keys = [*scope, "destination", "employee_id", "ordinal_no"]
     values = [*origin, "codetype", "amount_minor", "amount_raw"]
     routed = staged if "destination" in staged.columns else route(staged)
-    groups = (
+    groups = materialise(
         routed.filter(F.col("destination").isin(*_KEYED)).groupBy(*keys, *values).agg(F.count(F.lit(1)).alias("staged_rows"))
     )
+    types = {f.name: f.dataType for f in groups.schema.fields}
     raw = F.when(F.col("destination") == "balances", F.col("amount_raw")).otherwise(F.col("amount_minor"))
     kind = F.when(F.col("destination") == "deprecated", F.col("codetype"))
     order = F.struct(*origin, raw.alias("raw"), kind.alias("kind"), "codetype", "amount_minor", "amount_raw")
-    ranked = groups.withColumn("_order", order)
-    first = ranked.groupBy(*keys).agg(F.min("_order").alias("_first"))
-    ranked = lookup_join(ranked, first, keys)
+    holders = groups.select(*keys, order.alias("_order"), F.lit(False).alias("_held"))
     for name, table in existing.items():
         if table is not None:
-            held = table.select(*[c for c in keys if c != "destination"]).distinct()
-            marked = held.withColumn("destination", F.lit(name)).withColumn(f"_{name}", F.lit(True))
-            ranked = lookup_join(ranked, marked, keys, "left")
-    held = F.coalesce(*[F.col(f"_{n}") for n, t in existing.items() if t is not None], F.lit(False))
-    won = ~held & F.col("_order").eqNullSafe(F.col("_first"))
+            # a target may hold a key several times
+            own = [F.lit(name).alias(c) if c == "destination" else F.col(c).cast(types[c]).alias(c) for c in keys]
+            holders = holders.unionByName(table.select(*own, F.lit(True).alias("_held")), allowMissingColumns=True)
+    holders = holders.groupBy(*keys).agg(F.min("_order").alias("_first"), F.max("_held").alias("_held"))
+    [hot] = hot_keys(groups, [keys])
+    ranked = spread_join(groups, holders, keys, "inner", hot)
+    held = F.col("_held")
+    won = ~held & order.eqNullSafe(F.col("_first"))
     added = F.when(won, F.lit(1)).otherwise(F.lit(0)).cast("long")
     return ranked.select(
         *keys,

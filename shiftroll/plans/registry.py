@@ -14,7 +14,7 @@ from shiftroll.operators import amounts, asof, derive, drift, employees, export,
 from shiftroll.operators.carried_tables import CARRIED
 from shiftroll.operators.carry import SOURCE_SCHEMA, carry_table, in_scope, plan_from_dictionary, unlinked_rows
 from shiftroll.params import RunParams
-from shiftroll.session import scratch_path
+from shiftroll.session import materialise, scratch_path
 from shiftroll.sources import routes
 from shiftroll.plans.migrate import ROUTE_COLUMNS
 from shiftroll.sources.routes import ORIGIN
@@ -189,7 +189,9 @@ def _outcomes(s: Standins, staged: DataFrame) -> DataFrame:
 @query
 def routing_conservation(s: Standins) -> DataFrame:
     """Staged, added and skipped rows and amounts of every destination and code type."""
-    staged = _staged(s)
+    # read twice, so written once
+    columns = ["destination", "employee_id", "ordinal_no", "codetype", "amount_minor", "amount_raw"]
+    staged = materialise(amounts.route(_staged(s)).select(*columns))
     return amounts.conservation(staged, _outcomes(s, staged))
 
 

@@ -130,3 +130,17 @@ def test_conservation_through_the_keyed_inserts(spark, rows):
     )
     added = A.route_balances(staged, None, (), ("origin",))
     assert rows(added) == [(1, 1, Decimal("3.0000"))]
+
+
+def test_outcomes_evaluate_the_staged_rows_once(spark, tmp_path, rows):
+    columns = "employee_id long, legacy_empno string, ordinal_no int, name string, amount_minor long, amount_raw decimal(19,4), codetype string"
+    made = [(e % 3, "1", 1, "x", e * 100, Decimal(e), "B") for e in range(9)]
+    spark.createDataFrame(made, columns).write.parquet(str(tmp_path / "staged"))
+    spark.createDataFrame([(2, 1), (2, 1), (7, 1), (None, 1)], "employee_id int, ordinal_no long").write.parquet(str(tmp_path / "known"))
+    staged, known = (spark.read.parquet(str(tmp_path / t)) for t in ("staged", "known"))
+    outcomes = A.keyed_outcomes(staged, {"balances": known, "deprecated": None, "employer_cost": None})
+    # what reads the written groups instead doesn't join and shuffle the staged rows again
+    assert not [f for f in outcomes.inputFiles() if f"{tmp_path}/staged" in f]
+    assert rows(outcomes, "employee_id", "amount_minor", "added_rows", "skipped_rows", "held_by") == sorted(
+        [(e % 3, e * 100, int(e < 2), int(e >= 2), "target" if e % 3 == 2 else "batch") for e in range(9)], key=repr
+    )

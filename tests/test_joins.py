@@ -115,3 +115,15 @@ def test_equal_tables_are_measured_once(spark, sides, monkeypatch):
     J.lookup_join(fact, keyed, ["k"])
     J.lookup_join(fact, keyed, ["k"])
     assert len(measured) == 4
+
+
+def test_a_joined_fact_is_written_before_its_frequent_keys_are_asked_for(sides, tmp_path, rows):
+    fact, keyed = sides
+    fact.write.parquet(str(tmp_path / "fact"))
+    fact = fact.sparkSession.read.parquet(str(tmp_path / "fact"))
+    lookups = [J.Lookup(keyed, ["k"], "left")]
+    small = J.lookup_joins(fact, lookups, write_first=True)
+    large = J.lookup_joins(fact, lookups, max_rows=1, min_hot_rows=1, write_first=True)
+    assert [f for f in small.inputFiles() if f"{tmp_path}/fact" in f]
+    assert not [f for f in large.inputFiles() if f"{tmp_path}/fact" in f]
+    assert rows(large, "k", "v", "w") == rows(small, "k", "v", "w")
