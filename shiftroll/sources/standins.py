@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from shiftroll.functions.joins import lookup_join
 from shiftroll.functions.scalars import employee_ref, iso_date, null_of
 from shiftroll.operators.carry import DictionaryColumn
+from shiftroll.session import materialise
 from shiftroll.sources.tables import read_driver_table
 
 CODE_BASE = 1000
@@ -141,14 +142,18 @@ class Standins:
 
     # ---- amounts ---------------------------------------------------------
 
-    def _order_lines(self, *order_columns: str) -> DataFrame:
+    def _order_lines(self, *order_columns: str, lines: DataFrame | None = None) -> DataFrame:
         orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", *order_columns)
-        return lookup_join(self.table("lineitem"), orders, ["l_orderkey"])
+        return lookup_join(self.table("lineitem") if lines is None else lines, orders, ["l_orderkey"])
 
-    def amounts(self) -> DataFrame:
+    def _priced(self, *columns: str) -> DataFrame:
+        """Lines with their price and discount as one whole number, so that a shuffle carries no doubles."""
         product = hundredths("l_extendedprice") * hundredths("l_discount")
-        amount = product.cast("decimal(15,0)") * F.lit(Decimal("0.0001"))
-        return self._order_lines().select(
+        return self.table("lineitem").select("l_orderkey", "l_partkey", *columns, product.alias("product"))
+
+    def amounts(self) -> DataFrame:
+        amount = F.col("product").cast("decimal(15,0)") * F.lit(Decimal("0.0001"))
+        return self._order_lines(lines=self._priced()).select(
             F.col("o_custkey").alias("employeeno"),
             F.col("l_partkey").alias("ordinalno"),
             amount.cast("decimal(19,4)").alias("amount_q"),
@@ -334,9 +339,9 @@ class Standins:
 
     def shared_amounts(self) -> DataFrame:
         """Amounts with the company that pays them, the supplier's; an employee has amounts in several."""
-        product = hundredths("l_extendedprice") * hundredths("l_discount")
-        amount = product.cast("decimal(15,0)") * F.lit(Decimal("0.0001"))
-        return lookup_join(self._order_lines(), self._supplier_companies(), ["l_suppkey"]).select(
+        amount = F.col("product").cast("decimal(15,0)") * F.lit(Decimal("0.0001"))
+        lines = lookup_join(self._priced("l_suppkey"), self._supplier_companies(), ["l_suppkey"]).drop("l_suppkey")
+        return self._order_lines(lines=lines).select(
             F.concat(F.lit("co_"), "n_regionkey").alias("source_schema"),
             F.col("o_custkey").alias("employeeno"),
             F.col("l_partkey").alias("ordinalno"),
@@ -346,7 +351,8 @@ class Standins:
     def shared_codes(self) -> DataFrame:
         """Each company's catalogue: of the codes it uses four in five, with types of its own."""
         used = lookup_join(self.table("lineitem").select("l_suppkey", "l_partkey"), self._supplier_companies(), ["l_suppkey"])
-        used = used.select("n_regionkey", F.col("l_partkey").alias("ordinalno")).distinct()
+        # written, as the lookups ask for sizes and frequent keys of what comes of it
+        used = materialise(used.select("n_regionkey", F.col("l_partkey").alias("ordinalno")).distinct())
         own = used.filter(F.col("ordinalno") % 5 != F.col("n_regionkey"))
         named = lookup_join(own, self.codes(catalogued_only=True).drop("codetype"), ["ordinalno"])
         kind = pick(CODETYPES, (F.col("ordinalno") + F.col("n_regionkey")) % len(CODETYPES))
