@@ -56,7 +56,7 @@ from pyspark.sql import functions as F
 
 from shiftroll.functions.joins import lookup_join
 from shiftroll.llm.words import batches, long_lists, shingles, word_hashes
-from shiftroll.session import materialise, release
+from shiftroll.session import drop_shuffles, materialise, release
 
 BLOCK_MEMBERS = 512
 #: In units of no more blocks all pairs of blocks cost less than a round by representatives.
@@ -466,8 +466,9 @@ def classes_of(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
 
 def prefixes_of(classes: DataFrame, rule: Rule) -> DataFrame:
     """The part of each class's prefix that other classes may have as well: cls, n, prefix."""
-    counted = classes.select("cls", F.explode("counted").alias("token"))
-    shared = counted.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    # shuffled once: the count reads the same rows and columns as the join, which asks for a class
+    counted = classes.filter("cls IS NOT NULL").select("cls", F.explode("counted").alias("token")).repartition("token")
+    shared = counted.groupBy("token").agg(F.count("cls").alias("df")).filter("df > 1")
     met = counted.join(shared, "token").groupBy("cls").agg(F.collect_list(F.struct("df", "token")).alias("met"))
     need = F.col("n") - F.floor((F.col("n") * rule.percent + 99) / 100) + 1
     alone = F.col("n_counted") - F.size("met")
@@ -544,39 +545,61 @@ def _grouped(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = (
         groups.select("node", "size", "own_band", "thin", F.explode("prefix").alias("token"))
         .withColumn("band", F.explode(F.array(F.col("own_band"), F.col("own_band") + 1)))
-        .withColumn("hub", F.xxhash64("token", "band"))
-        .select("node", "size", "own_band", "token", "band", "hub", "thin")
+        .select("node", "size", "token", "band", (F.col("own_band") == F.col("band")).alias("own"), "thin")
     )
     return groups, met
 
 
-def _in_hubs(met: DataFrame) -> DataFrame:
+_HUB = ["token", "band"]
+
+
+def _hubs(met: DataFrame, *more: Column) -> DataFrame:
+    """Hubs of several members, and how many."""
     # a pair meets in the larger of its two bands, so a hub without a member of its own band pairs nobody
-    own = F.max(F.col("own_band") == F.col("band")).alias("own")
-    hubs = met.groupBy("hub").agg(F.sum("size").alias("hub_members"), own).filter("hub_members > 1 AND own").drop("own")
-    return materialise(met.join(hubs, "hub").drop("own_band"))
+    found = met.groupBy(*_HUB).agg(F.sum("size").alias("hub_members"), F.max("own").alias("any_own"), *more)
+    return found.filter("hub_members > 1 AND any_own").drop("any_own")
+
+
+def _in_hubs(met: DataFrame) -> DataFrame:
+    """The rows of hubs of several members, with the smallest node of the hub."""
+    # shuffled once: the counts read the same columns as the join, which is why "own" stays
+    dealt = met.drop("thin").repartition(*_HUB)
+    return materialise(dealt.join(_hubs(dealt, F.min("node").alias("low")), _HUB))
+
+
+def stars_of(edges: DataFrame) -> DataFrame:
+    """(node, hub) rows that connect the same nodes as ``edges`` with their hubs' smallest nodes for hubs.
+
+    Nodes that meet in many hubs meet in few of these, and a node has the same
+    label as its hubs here if it has that of its hubs there."""
+    return materialise(edges.select("node", F.col("low").alias("hub")).distinct())
 
 
 def units_of(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """id, cls, n, s1, copies, counted, own_band, prefix and the units of each class that may link to another."""
     prefixes = materialise(prefixes_of(classes, rule))
+    drop_shuffles(docs.sparkSession)
     # sizes that allow a link are at most one band apart
     own_band = F.floor(F.log("n") / math.log(100 / rule.percent) + 1e-9).cast("long")
     keyed = prefixes.withColumns({"p1": F.xxhash64("prefix"), "p2": F.hash("prefix"), "own_band": own_band, "thin": F.lit(False)})
     groups, met = _grouped(keyed)
-    edges = _in_hubs(met)
-    large = edges.filter(F.col("hub_members") > BLOCK_MEMBERS)
+    large = materialise(_hubs(met).filter(F.col("hub_members") > BLOCK_MEMBERS).select(*_HUB))
     if not large.isEmpty():
-        crowded = keyed.join(groups.select(*_GROUP, "node"), _GROUP).join(large.select("node", "hub"), "node")
+        rows = lookup_join(met.select("node", *_HUB), large, _HUB).select("node", F.xxhash64(*_HUB).alias("hub"))
+        crowded = keyed.join(groups.select(*_GROUP, "node"), _GROUP).join(rows, "node")
         thin = without_partner(docs, classes, crowded.select("cls", "n", "hub"), rule)
         thinned = keyed.drop("thin").join(thin.withColumn("thin", F.lit(True)), "cls", "left")
         keyed = materialise(thinned.withColumn("thin", F.coalesce("thin", F.lit(False))))
+        release(groups)
         groups, met = _grouped(keyed)
-        left = met.join(large.select("hub").distinct().withColumn("large", F.lit(True)), "hub", "left")
-        edges = _in_hubs(left.filter(~F.col("thin") | F.col("large").isNull()).drop("large"))
-    labels = components_of(edges.select("node", "hub"), CLUSTER_ROUNDS)
+        left = lookup_join(met, large.withColumn("large", F.lit(True)), _HUB, "left")
+        met = left.filter(~F.col("thin") | F.col("large").isNull()).drop("large")
+    edges = _in_hubs(met)
+    stars = stars_of(edges)
+    drop_shuffles(docs.sparkSession)
+    labels = components_of(stars, CLUSTER_ROUNDS)
     # a cluster is settled if each of its hubs knows its label only
-    labelled = edges.select("node", "hub").join(labels, "node")
+    labelled = stars.join(labels, "node")
     mixed = labelled.groupBy("hub").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
     unsettled = labelled.join(mixed.select("hub"), "hub", "left_semi").select("label").distinct()
     blocks_of = lambda c: F.ceil(F.col(c) / BLOCK_MEMBERS).cast("long")
@@ -592,7 +615,7 @@ def units_of(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         "node", F.struct(F.col("label").alias("unit"), "members", nothing.alias("token"), nothing.alias("band")).alias("u")
     )
     by_hub = edges.join(placed.filter("not whole").select("node"), "node").select(
-        "node", F.struct(F.col("hub").alias("unit"), F.col("hub_members").alias("members"), "token", "band").alias("u")
+        "node", F.struct(F.xxhash64(*_HUB).alias("unit"), F.col("hub_members").alias("members"), "token", "band").alias("u")
     )
     units = whole.unionByName(by_hub).groupBy("node").agg(F.collect_list("u").alias("units"))
     of_group = groups.select(*_GROUP, "node").join(units, "node").drop("node")
@@ -601,7 +624,7 @@ def units_of(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         .select("cls", "n", "own_band", F.when(F.col("units")[0]["token"].isNotNull(), F.col("prefix")).alias("prefix"), "units")
         .join(classes.select("cls", "id", "s1", "copies", "counted"), "cls")
     )
-    release(prefixes, keyed, groups, edges, labels, placed)
+    release(prefixes, keyed, groups, large, edges, stars, labels, placed)
     return candidates
 
 

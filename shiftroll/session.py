@@ -78,13 +78,18 @@ def drop_scratch(spark: SparkSession, names: Iterable[str]) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files of plans that nobody refers to."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def release(*tables: DataFrame) -> None:
     """Remove the intermediate tables that these frames read, and the shuffle files of plans that nobody refers to."""
     names = {part for t in tables for f in t.inputFiles() for part in Path(f).parts}
     spark = tables[0].sparkSession
     drop_scratch(spark, names & scratch_tables(spark))
-    gc.collect()
-    spark._jvm.System.gc()
+    drop_shuffles(spark)
 
 
 def clear_scratch(spark: SparkSession) -> None:

@@ -68,3 +68,37 @@ def test_near_copies_under_a_repeated_id_go(spark):
     docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
     got = sorted(map(repr, [tuple(r) for r in jaccard_join.first_of_each(docs).collect()]))
     assert got == sorted(map(repr, [(i, t, "s") for i, t in [(3, b), (5, a), (None, "alone here"), (8, None), (8, ""), (9, "C d e f g")]]))
+
+
+def test_counted_shingles_are_shuffled_once(spark, crowd):
+    rule = jaccard_join.Rule(3, 85)
+    _, classes = jaccard_join.classes_of(spark.createDataFrame(crowd, "doc_id long, text string"), rule)
+    prefixes = jaccard_join.prefixes_of(classes, rule)
+    assert prefixes.collect()
+    final = prefixes._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    by_token = [line for line in final.splitlines() if "Exchange hashpartitioning(token#" in line]
+    assert "ReusedExchange" in final and len({line.split("plan_id=")[1] for line in by_token}) == 1
+
+
+def test_nodes_of_many_common_hubs_are_labelled_by_few_rows(spark, monkeypatch, crowd):
+    taken, components_of = [], jaccard_join.components_of
+
+    def counted(edges, most_rounds=None):
+        nodes = edges.groupBy("node").agg(F.count(F.lit(1)).alias("rows"))
+        taken.append(nodes.agg(F.avg("rows")).first()[0])
+        return components_of(edges, most_rounds)
+
+    monkeypatch.setattr(jaccard_join, "components_of", counted)
+    docs, rule = spark.createDataFrame(crowd, "doc_id long, text string"), jaccard_join.Rule(3, 85)
+    _, classes = jaccard_join.classes_of(docs, rule)
+    assert jaccard_join.units_of(docs, classes, rule).count()
+    assert taken[0] < 5
+
+
+def test_stars_connect_what_the_hubs_connect(spark):
+    rng = np.random.default_rng(5)
+    rows = sorted({(int(n), int(h)) for n, h in zip(rng.integers(0, 300, 400), rng.integers(0, 160, 400), strict=True)})
+    low = {h: min(n for n, k in rows if k == h) for _, h in rows}
+    edges = spark.createDataFrame([(n, h, low[h]) for n, h in rows], "node long, hub long, low long")
+    wanted, got = (sorted(map(tuple, jaccard_join.components_of(e.select("node", "hub")).collect())) for e in (edges, jaccard_join.stars_of(edges)))
+    assert got == wanted and 1 < len({label for _, label in got}) < len(got)
