@@ -20,7 +20,8 @@ import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate, filterfalse, groupby
+from itertools import accumulate, compress, filterfalse, groupby, repeat
+from operator import is_
 from typing import NamedTuple
 
 import numpy as np
@@ -51,7 +52,8 @@ BLOCKS = "part int, block int, before long, documents int, ids long, first_id lo
 _SPACE = re.compile(rb"\s")
 
 #: A word of letters with marks after it: two pieces to the tokenizer, whatever stands around them.
-_SIMPLE = re.compile(r"([a-z\u00e0-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
+#: Other lines match without groups.
+_SIMPLE = re.compile(r"^(?:([a-z\u00e0-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)|.+)$", re.MULTILINE)
 
 
 class Codec:
@@ -99,19 +101,17 @@ class Codec:
     def _learn(self, pieces: list[bytes]) -> None:
         if len(self.words) > KEPT_WORDS:
             self.words.clear()
-        simple, other = [], []
-        for piece in pieces:
-            text = piece.decode("utf-8", "replace")
-            found = _SIMPLE.fullmatch(text.lower()) if self.joins and len(piece) <= KEPT_PIECE else None
-            if found:
-                simple.append((piece, found[1], found[2]))
-            else:
-                other.append((piece, text))
-        self._learn_words(list({w for _, w, _ in simple}.difference(self.words)))
-        for marks in {m for _, _, m in simple}.difference(self.marks):
+        short = [piece for piece in pieces if len(piece) <= KEPT_PIECE] if self.joins else []
+        # pieces have no line ends, and lower case does not depend on other lines
+        lines = _SIMPLE.findall(b"\n".join(short).decode("utf-8", "replace").lower())
+        self._learn_words(list({w for w, _ in lines if w}.difference(self.words)))
+        for marks in {m for _, m in lines}.difference(self.marks):
             self.marks[marks] = self._one(marks)
-        self.known.update((piece, self.words[word] + self.marks[marks]) for piece, word, marks in simple)
-        self.known.update((piece, self._one(text)) for piece, text in other)
+        simple = [bool(w) for w, _ in lines]
+        ids = (self.words[w] + self.marks[m] for w, m in lines if w)
+        self.known.update(zip(compress(short, simple), ids, strict=True))
+        other = filterfalse(self.known.__contains__, pieces)
+        self.known.update([(piece, self._one(piece.decode("utf-8", "replace"))) for piece in other])
 
     def encode(self, texts: Sequence[bytes | None]) -> list[bytes]:
         """The ids of each text with the end id; a long text is worked on in slices that end at white space."""
@@ -124,14 +124,22 @@ class Codec:
         return [ids + self.end for ids in out]
 
     def _encoded(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [(t or b"").split() for t in texts]
         known, new = self.known, set()
         if len(known) > KEPT_PIECES:
             known.clear()
-        for pieces in split:
-            new.update(filterfalse(known.__contains__, pieces))
+        split, found = [], []
+        for t in texts:
+            pieces = (t or b"").split()
+            ids = list(map(known.get, pieces))
+            # only pieces that are not known yet are looked up again
+            split.append(list(compress(pieces, map(is_, ids, repeat(None)))))
+            found.append(ids)
+            new.update(split[-1])
         self._learn(list(new))
-        out = [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+        out = []
+        for pieces, ids in zip(split, found, strict=True):
+            late = map(known.__getitem__, pieces)
+            out.append(b"".join([next(late) if x is None else x for x in ids] if pieces else ids))
         for piece in new:
             if len(piece) > KEPT_PIECE:
                 del known[piece]

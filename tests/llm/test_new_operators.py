@@ -332,3 +332,33 @@ def test_only_sets_without_a_partner_leave_a_hub(spark):
     left = sorted(r["id"] for r in classes.collect() if r["cls"] in thin)
     # a changed word changes three of 150 shingles, seven may be alone in two sets of equal size
     assert left == [3, 4, 5, 6, 7]
+
+
+def test_known_pieces_are_looked_up_once():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            self.asked += 1
+            return dict.get(self, key)
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return dict.__getitem__(self, key)
+
+        def __contains__(self, key):
+            self.asked += 1
+            return dict.__contains__(self, key)
+
+    with open(queries.TOKENIZER, encoding="utf-8") as file:
+        coder = token_store.Codec(file.read(), 1)
+    coder.known = Counted()
+    long = "x" * 70 + "."
+    texts = ["Words, words; and (odd) ΟΔΟΣ ΣΑΣ. İstanbul ÉÉß! a b \u0085 c1 --", "words again, \x1c and\x0bmore here", "", long, f"a {long} b"]
+    plain = [coder.tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    for _ in range(2):
+        assert [np.frombuffer(x, coder.dtype).tolist() for x in coder.encode([t.encode() for t in texts])] == plain
+    few = [t.encode() for t in texts[:2]] * 3
+    coder.known.asked = 0
+    coder.encode(few)
+    assert coder.known.asked == sum(len(t.split()) for t in few)
