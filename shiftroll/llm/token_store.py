@@ -15,17 +15,19 @@ that Spark writes in order, so they live wherever Spark writes.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate, compress, filterfalse, groupby, repeat
+from itertools import accumulate, compress, filterfalse, repeat
 from operator import is_
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shiftroll.llm.sample import rows_by_hash, texts_of
-from shiftroll.llm.words import SLICE_BYTES, batches
+from shiftroll.llm.words import IS_SPACE, SLICE_BYTES, batches, bounds
 from shiftroll.session import materialise, scratch_path
 
 MAGIC, VERSION = b"TIDS", 1
@@ -44,25 +46,51 @@ BLOCK_BYTES = 256 << 10
 SAMPLE_DOCUMENTS = 1000
 DICTIONARY_BYTES = 64 << 10
 #: Longer pieces between white space are not kept.
-KEPT_PIECE, KEPT_PIECES, KEPT_WORDS = 64, 1_000_000, 1_000_000
+KEPT_PIECE, KEPT_PIECES, KEPT_RUNS = 64, 100_000, 400_000
+#: Texts of fewer bytes are looked up piece by piece; of more, so many are worked on together.
+FEW_BYTES, GROUP_BYTES = 1 << 12, 2 << 20
 NO_ID = -(1 << 63)
 BLOCKS = "part int, block int, before long, documents int, ids long, first_id long, last_id long, content binary"
 
 
 _SPACE = re.compile(rb"\s")
 
-#: A word of letters with marks after it: two pieces to the tokenizer, whatever stands around them.
-#: Other lines match without groups.
-_SIMPLE = re.compile(r"^(?:([a-z\u00e0-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)|.+)$", re.MULTILINE)
+#: Bytes of white space, lower and upper case letters, marks, and all others.
+_BLANK, _LETTER, _MARK, _OTHER = range(4)
+_KIND = np.full(256, _OTHER, dtype=np.uint8)
+_KIND[0x21:0x7F] = _MARK
+_KIND[0x30:0x3A] = _OTHER
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_KIND[IS_SPACE] = _BLANK
+_LOWER = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
+#: Second bytes of the letters U+00C0 to U+00FF, which all begin with 0xC3.
+_SECOND = np.zeros(256, dtype=bool)
+_SECOND[0x80:0xC0] = True
+_SECOND[[0x97, 0xB7]] = False
+_WORD = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
+
+
+def _lower(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 with A-Z and the letters of Latin-1 in lower case, and the kind of each byte."""
+    low, kind = _LOWER[data], _KIND[data]
+    first = np.flatnonzero(data[:-1] == 0xC3)
+    first = first[_SECOND[data[first + 1]]]
+    kind[first] = kind[first + 1] = _LETTER
+    second = data[first + 1]
+    low[first + 1] = second + 0x20 * (second < 0x9F)
+    return low, kind
 
 
 class Codec:
     """Ids of texts, as bytes.
 
-    White space separates tokens and changes nothing else, so a text is encoded
-    piece by piece between ASCII white space; pieces seen before are looked up.
-    New words of plain letters are encoded many at a time: each is one word to
-    the tokenizer and ends with a token that ends a word.
+    White space separates tokens and changes nothing else, so a text falls into
+    pieces between ASCII white space.  A piece of plain letters with marks after
+    them is two runs to the tokenizer, whatever stands around them; any other
+    piece is one run here.  Equal runs of a batch are told apart by Arrow, and
+    those seen before are looked up.  New words of plain letters are encoded many
+    at a time: each is one word to the tokenizer and ends with a token that ends
+    a word.
     """
 
     def __init__(self, tokenizer: str, end_id: int):
@@ -75,75 +103,103 @@ class Codec:
         self.ends_word[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
         self.joins = bool(suffix)
         self.known: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}
+        self.runs: dict[bytes, bytes] = {}
 
     @property
     def dtype(self) -> str:
         return f"<u{self.width}"
 
-    def _one(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
-
-    def _learn_words(self, words: list[str]) -> None:
-        for a in range(0, len(words), 256):
-            some = words[a : a + 256]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype=self.dtype)
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) != len(some):
-                self.words.update((w, self._one(w)) for w in some)
-                continue
-            data, at = ids.tobytes(), 0
-            for word, end in zip(some, (ends * self.width).tolist(), strict=True):
-                self.words[word] = data[at:end]
-                at = end
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        if len(self.words) > KEPT_WORDS:
-            self.words.clear()
-        short = [piece for piece in pieces if len(piece) <= KEPT_PIECE] if self.joins else []
-        # pieces have no line ends, and lower case does not depend on other lines
-        lines = _SIMPLE.findall(b"\n".join(short).decode("utf-8", "replace").lower())
-        self._learn_words(list({w for w, _ in lines if w}.difference(self.words)))
-        for marks in {m for _, m in lines}.difference(self.marks):
-            self.marks[marks] = self._one(marks)
-        simple = [bool(w) for w, _ in lines]
-        ids = (self.words[w] + self.marks[m] for w, m in lines if w)
-        self.known.update(zip(compress(short, simple), ids, strict=True))
-        other = filterfalse(self.known.__contains__, pieces)
-        self.known.update([(piece, self._one(piece.decode("utf-8", "replace"))) for piece in other])
+    def _one(self, piece: bytes) -> bytes:
+        ids = self.tokenizer.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return np.array(ids, dtype=self.dtype).tobytes()
+
+    def _words(self, words: list[bytes]) -> Iterator[bytes]:
+        """The ids of each word."""
+        lines = [words[a : a + 256] for a in range(0, len(words), 256)]
+        found = self.tokenizer.encode_batch_fast([b" ".join(some).decode() for some in lines], add_special_tokens=False)
+        for some, line in zip(lines, found, strict=True):
+            ids = np.array(line.ids, dtype=self.dtype)
+            ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * self.width).tolist()
+            if len(ends) == len(some):
+                yield from map(ids.tobytes().__getitem__, map(slice, [0, *ends], ends))
+            else:
+                yield from map(self._one, some)
+
+    def _ids(self, runs: list[bytes]) -> list[bytes]:
+        """The ids of each of some different runs."""
+        if len(self.runs) > KEPT_RUNS:
+            self.runs.clear()
+        found = list(map(self.runs.get, runs))
+        new = list(compress(runs, map(is_, found, repeat(None))))
+        words = list(filter(_WORD, new)) if self.joins else []
+        late = dict(zip(words, self._words(words), strict=True))
+        late.update([(run, self._one(run)) for run in filterfalse(late.__contains__, new)])
+        self.runs.update((run, x) for run, x in late.items() if len(run) <= KEPT_PIECE)
+        return [late[run] if x is None else x for run, x in zip(runs, found, strict=True)]
 
     def encode(self, texts: Sequence[bytes | None]) -> list[bytes]:
         """The ids of each text with the end id; a long text is worked on in slices that end at white space."""
-        out = []
-        for long, group in groupby(texts, key=lambda t: t is not None and len(t) > SLICE_BYTES):
+        out, group, size = [], [], 0
+        for text in texts:
+            text = text or b""
+            long = len(text) > SLICE_BYTES
+            if long or size + len(text) > GROUP_BYTES:
+                out += self._encoded(group)
+                group, size = [], 0
             if long:
-                out += [b"".join(self._encoded([piece])[0] for piece in slices_of(t)) for t in group]
+                out.append(b"".join(self._encoded([piece])[0] for piece in slices_of(text)))
             else:
-                out += self._encoded(list(group))
-        return [ids + self.end for ids in out]
-
-    def _encoded(self, texts: list[bytes | None]) -> list[bytes]:
-        known, new = self.known, set()
-        if len(known) > KEPT_PIECES:
-            known.clear()
-        split, found = [], []
-        for t in texts:
-            pieces = (t or b"").split()
-            ids = list(map(known.get, pieces))
-            # only pieces that are not known yet are looked up again
-            split.append(list(compress(pieces, map(is_, ids, repeat(None)))))
-            found.append(ids)
-            new.update(split[-1])
-        self._learn(list(new))
-        out = []
-        for pieces, ids in zip(split, found, strict=True):
-            late = map(known.__getitem__, pieces)
-            out.append(b"".join([next(late) if x is None else x for x in ids] if pieces else ids))
-        for piece in new:
-            if len(piece) > KEPT_PIECE:
-                del known[piece]
-        return out
+                group.append(text)
+                size += len(text)
+        return [ids + self.end for ids in out + self._encoded(group)]
+
+    def _encoded(self, texts: list[bytes]) -> list[bytes]:
+        if sum(map(len, texts)) >= FEW_BYTES:
+            return self._by_runs(texts)
+        # for a few short texts the calls of numpy and Arrow cost more than they save
+        if len(self.known) > KEPT_PIECES:
+            self.known.clear()
+        split = [text.split() for text in texts]
+        found = [list(map(self.known.get, pieces)) for pieces in split]
+        new = list({piece for pieces, ids in zip(split, found, strict=True) for piece in compress(pieces, map(is_, ids, repeat(None)))})
+        late = dict(zip(new, self._by_runs(new), strict=True))
+        self.known.update((piece, ids) for piece, ids in late.items() if len(piece) <= KEPT_PIECE)
+        return [b"".join([late[p] if x is None else x for p, x in zip(pieces, ids, strict=True)]) for pieces, ids in zip(split, found, strict=True)]
+
+    def _by_runs(self, texts: list[bytes]) -> list[bytes]:
+        data = np.frombuffer(b"\n".join(texts), dtype=np.uint8)
+        starts, ends = bounds(data)
+        if not len(starts):
+            return [b""] * len(texts)
+        low, kind = _lower(data)
+        before = np.concatenate([[_BLANK], kind[:-1]]).astype(np.uint8)
+        # plain pieces are letters with marks after them
+        odd = (kind == _OTHER) | ((kind == _LETTER) & (before == _MARK)) | ((kind == _MARK) & (before == _BLANK))
+        plain = ~np.logical_or.reduceat(odd, starts) & self.joins
+        marks = np.flatnonzero((kind == _MARK) & (before == _LETTER))
+        holder = np.searchsorted(starts, marks, side="right") - 1
+        marks, holder = marks[plain[holder]], holder[plain[holder]]
+        # runs follow each other without the white space between them
+        inside = kind != _BLANK
+        kept = np.where(np.repeat(plain, ends - starts), low[inside], data[inside])
+        places = np.cumsum(ends - starts) - (ends - starts)
+        cuts = np.sort(np.concatenate([places, places[holder] + marks - starts[holder], [len(kept)]]), kind="stable")
+        runs = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(kept)])
+        coded = runs.dictionary_encode()
+        every = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        ids = self._ids(pa.compute.binary_join(every, b"\n")[0].as_py().split(b"\n"))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.width
+        which = coded.indices.to_numpy()
+        n = sizes[which]
+        until = np.cumsum(n)
+        at = np.repeat((np.cumsum(sizes) - sizes)[which] + n - until, n)
+        at += np.arange(len(at))
+        out = np.frombuffer(b"".join(ids), self.dtype)[at].tobytes()
+        # where each text's pieces, runs and ids begin
+        begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        first = np.searchsorted(cuts, np.append(places, len(kept))[np.searchsorted(starts, begins)])
+        edges = (self.width * np.concatenate([[0], until])[first]).tolist()
+        return [out[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
 
 def slices_of(text: bytes) -> Iterator[bytes]:
@@ -159,6 +215,7 @@ def slices_of(text: bytes) -> Iterator[bytes]:
 @lru_cache(maxsize=2)
 def codec(tokenizer: str, end_id: int) -> Codec:
     """One a worker process; its pieces stay known from task to task."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     return Codec(tokenizer, end_id)
 
 
@@ -231,7 +288,7 @@ def _frames(tokenizer, end_id: int, dictionary: bytes):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(tokenizer.value, end_id)
         writer = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
-        for batch, texts in batches(rows, 2, 2 << 20):
+        for batch, texts in batches(rows, 2, GROUP_BYTES):
             encoded = coder.encode(texts)
             counts = pa.array([len(data) // coder.width for data in encoded], pa.int32())
             frames = pa.array([writer.compress(data) for data in encoded], pa.binary())

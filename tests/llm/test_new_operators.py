@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -362,3 +363,44 @@ def test_known_pieces_are_looked_up_once():
     coder.known.asked = 0
     coder.encode(few)
     assert coder.known.asked == sum(len(t.split()) for t in few)
+
+
+@pytest.mark.parametrize("few", [0, 1 << 30])
+def test_runs_of_pieces_are_the_tokenizers(monkeypatch, few):
+    monkeypatch.setattr(token_store, "FEW_BYTES", few)
+    with open(queries.TOKENIZER, encoding="utf-8") as file:
+        coder = token_store.Codec(file.read(), 1)
+    pieces = ["Straße,", "ÀÉÞß!", "ÿ", "a×b", "a÷b", "Å", "Ångstrom", "K", "ẞ", "don't", "dogs'", "'s", "**", "(odd)", "x2", "2", "_a_", "a b"]
+    pieces += ["<|endoftext|>", "<|startoftext|>a.", "a<|endoftext|>", "ΟΔΟΣ", "好的", "\x1c", "\x00", "e" * 70 + "!", "", "Ḱ.", "µ", "ª"]
+    special = coder.tokenizer.get_added_tokens_decoder().values()
+    pieces += [t.content for t in special]
+    rng = random.Random(7)
+    texts = ["", " \n ", *pieces, *["".join(rng.choice(pieces) + rng.choice([" ", "\n", "\t ", "\r\n"]) for _ in range(40)) for _ in range(60)]]
+    plain = [coder.tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    for group in (1 << 20, 100):
+        monkeypatch.setattr(token_store, "GROUP_BYTES", group)
+        assert [np.frombuffer(x, coder.dtype).tolist() for x in coder.encode([t.encode() for t in texts])] == plain
+    assert coder.encode([b"a \xc3 \xc3\xa9\xff b \xc3"]) == coder.encode(["a � é� b �".encode()])
+
+
+def test_a_batch_asks_for_each_run_once(monkeypatch):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            self.asked += 1
+            return dict.get(self, key)
+
+    monkeypatch.setattr(token_store, "KEPT_RUNS", 20)
+    with open(queries.TOKENIZER, encoding="utf-8") as file:
+        coder = token_store.Codec(file.read(), 1)
+    coder.runs = Counted()
+    texts = [f"Some words, some marks; and number{k % 7} ".encode() * 20 for k in range(400)]
+    few = coder.encode(texts[:7])
+    coder.runs.asked = 0
+    assert coder.encode(texts) == [few[k % 7] for k in range(400)]
+    assert coder.runs.asked == len({b"some", b"words", b",", b"marks", b";", b"and"}) + 7
+    coder.encode([" ".join(f"{'abcdefghij'[k // 10]}{'klmnopqrst'[k % 10]}" for k in range(100)).encode() * 50])
+    coder.encode(texts)
+    assert len(coder.runs) <= 20
+    assert len(coder.known) == 0
