@@ -170,6 +170,7 @@ def without_partner(docs: DataFrame, classes: DataFrame, met: DataFrame, rule: R
     bounds the size of the other set: its reach.  Of two linked sets the smaller
     one reaches its own size, since it reaches the other's.
     """
+    met = materialise(met)  # read three times
     own = met.select("cls", "n").distinct()
     asked = own.join(classes.select("cls", "id", "s1"), "cls").select("id", "cls", "s1")
     read = lookup_join(docs.select(_id(), "text"), asked, ["id"]).select("cls", "s1", "text")

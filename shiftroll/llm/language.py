@@ -32,7 +32,7 @@ SIZES = (3, 5)
 LEAST_COUNT = 3
 LEAST_RATIO = 0.1
 ROW_BITS = 20
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: A document is in a known language if at least this share of its n-grams is that language's.
 LEAST_SHARE = 0.05
 UNKNOWN = "und"
@@ -121,7 +121,7 @@ def counts_of(filters: Filters, texts: list[bytes | None]) -> tuple[np.ndarray,
 
 
 def _slices(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, list[int], list[int], int]]:
-    """About a megabyte of texts at a time, and how many places of it n-grams may begin at.
+    """About SLICE bytes of texts at a time, and how many places of it n-grams may begin at.
 
     A longer text comes in parts that overlap by the longest n-gram but one byte; the overlap is the next part's."""
     group, begins, which, size = [], [], [], 0

@@ -7,13 +7,14 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shiftroll.llm import block_names, chat, jaccard_join, language, max_sketch, queries, token_store, whitening
+from shiftroll.llm import block_names, chat, jaccard_join, language, max_sketch, queries, ship, token_store, whitening
 from shiftroll.session import scratch_tables
 from tests.check_sql import compare, connect
 from tests.conftest import SMALL
@@ -404,3 +405,20 @@ def test_a_batch_asks_for_each_run_once(monkeypatch):
     coder.encode(texts)
     assert len(coder.runs) <= 20
     assert len(coder.known) == 0
+
+
+def test_texts_go_to_python_in_batches_of_bounded_bytes(spark):
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(rows):
+        for batch in rows:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    own = spark.newSession()
+    ship.ship(own)
+    texts = own.range(0, 4000, 1, 1).selectExpr("repeat('abcdefghij', 300) AS text")
+    found = [r["bytes"] for r in texts.mapInArrow(sizes, "bytes long").collect()]
+    assert sum(found) > 12_000_000 and max(found) < (4 << 20) + 10_000
+    own.conf.set(conf, "1m")
+    ship.ship(own)
+    assert own.conf.get(conf) == "1m"
