@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from shiftroll.functions.joins import lookup_join
 from shiftroll.llm.words import batches, long_lists, mix, word_hashes
+from shiftroll.llm.worker import lean
 from shiftroll.session import materialise
 
 #: Span up to 10 words, 6 of which count.
@@ -69,6 +70,7 @@ def piece_of(longest: int) -> tuple[int, int]:
     return max(PIECE, longest), max(MARGIN, longest)
 
 
+@lean
 def _item_words(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, texts in batches(rows, 1):
         words, at = word_hashes([plain(t) for t in texts])
@@ -87,7 +89,7 @@ def _item_seeds(masks: tuple[str, ...], least_item: int):
                         columns = [pa.array([item] * len(found), pa.int64()), pa.array(range(len(found)), pa.int32()), pa.array(found.view(np.int64))]
                         yield pa.RecordBatch.from_arrays(columns, names=["item_key", "item_at", "seed"])
 
-    return run
+    return lean(run)
 
 
 def _bits(seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +155,7 @@ def _document_hits(masks: tuple[str, ...], packed: bytes, piece: int, margin: in
                 names=["doc_id", "start", "words", "places", "seeds"],
             )
 
-    return run
+    return lean(run)
 
 
 def _best(equal: np.ndarray, mismatch: float, least: int) -> tuple[int, int]:
@@ -186,6 +188,7 @@ def overlap(document: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, in
     return None
 
 
+@lean
 def _verified(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows:
         doc, item, start, shift = (batch.column(k).to_pylist() for k in range(4))

@@ -56,6 +56,7 @@ from pyspark.sql import functions as F
 
 from shiftroll.functions.joins import lookup_join
 from shiftroll.llm.words import batches, long_lists, shingles, word_hashes
+from shiftroll.llm.worker import lean
 from shiftroll.session import drop_shuffles, materialise, release
 
 BLOCK_MEMBERS = 512
@@ -117,7 +118,7 @@ def _sets(rule: Rule):
                 names=["doc_id", "n", "s1", "s2", "counted", "spare"],
             )
 
-    return run
+    return lean(run)
 
 
 def components_of(edges: DataFrame, most_rounds: int | None = None) -> DataFrame:
@@ -160,7 +161,7 @@ def _whole_sets(rule: Rule):
                 found.append(members if _digest(members)[0] == wanted else members[:0])
             yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), long_lists(found)], names=["cls", "members"])
 
-    return run
+    return lean(run)
 
 
 def without_partner(docs: DataFrame, classes: DataFrame, met: DataFrame, rule: Rule) -> DataFrame:
@@ -388,7 +389,7 @@ def _screen(rule: Rule):
             own = [[cls[i] for i in left], [blocks[i] for i in left], [cls[union.root(i)] for i in left]]
             yield pa.RecordBatch.from_arrays([*same, *(pa.array(x, pa.int64()) for x in own)], names=[*_UNIT, "cls", "block", "part"])
 
-    return run
+    return lean(run)
 
 
 def _verify(rule: Rule):
@@ -417,7 +418,7 @@ def _verify(rule: Rule):
                 [pa.array(cls, pa.int64()), pa.array(labels, pa.int64()), pa.array(links, pa.int64())], names=["cls", "label", "links"]
             )
 
-    return run
+    return lean(run)
 
 
 _GROUP = ["n", "p1", "p2", "thin"]

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from shiftroll.llm.sample import rows_by_hash, texts_of
 from shiftroll.llm.words import batches, mix
+from shiftroll.llm.worker import lean
 
 PER_LANGUAGE = 400
 SIZES = (3, 5)
@@ -203,7 +204,7 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
     narrow = docs.select(*kept, "text")
     types = (T.StringType(), T.DoubleType(), T.DoubleType())
     schema = T.StructType([*narrow.schema.fields, *map(T.StructField, _ADDED, types)])
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(lean(run), schema)
 
 
 def is_held_out(doc_id: str) -> Column:

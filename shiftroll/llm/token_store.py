@@ -37,6 +37,7 @@ from tokenizers import Tokenizer
 
 from shiftroll.llm.sample import rows_by_hash, texts_of
 from shiftroll.llm.words import IS_SPACE, SLICE_BYTES, batches, bounds
+from shiftroll.llm.worker import give_back, kept_between_tasks, lean
 from shiftroll.session import materialise, scratch_path
 
 MAGIC, VERSION = b"TIDS", 1
@@ -212,11 +213,13 @@ def slices_of(text: bytes) -> Iterator[bytes]:
         at = end
 
 
-@lru_cache(maxsize=2)
+@kept_between_tasks
 def codec(tokenizer: str, end_id: int) -> Codec:
     """One a worker process; its pieces stay known from task to task."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-    return Codec(tokenizer, end_id)
+    made = Codec(tokenizer, end_id)
+    give_back()  # what reading the tokenizer took
+    return made
 
 
 def train_dictionary(samples: list[bytes]) -> bytes:
@@ -294,7 +297,7 @@ def _frames(tokenizer, end_id: int, dictionary: bytes):
             frames = pa.array([writer.compress(data) for data in encoded], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), counts, frames], names=["doc_id", "_tie", "n", "frame"])
 
-    return run
+    return lean(run, codec)
 
 
 def _blocks(width: int, dictionary: bytes):
@@ -325,7 +328,7 @@ def _blocks(width: int, dictionary: bytes):
         if ids:
             yield block()
 
-    return run
+    return lean(run)
 
 
 def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int) -> Store:
@@ -369,7 +372,7 @@ def _documents(dictionary: bytes):
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return run
+    return lean(run)
 
 
 def digest(spark: SparkSession, store: Store) -> DataFrame:

@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shiftroll.llm import block_names, chat, jaccard_join, language, max_sketch, queries, ship, token_store, whitening
+from shiftroll.llm import block_names, chat, decontaminate, jaccard_join, language, max_sketch, queries, ship, token_store, whitening
 from shiftroll.session import scratch_tables
 from tests.check_sql import compare, connect
 from tests.conftest import SMALL
@@ -422,3 +422,52 @@ def test_texts_go_to_python_in_batches_of_bounded_bytes(spark):
     own.conf.set(conf, "1m")
     ship.ship(own)
     assert own.conf.get(conf) == "1m"
+
+
+def _texts_of_columns(names):
+    kinds = {"text": pa.string(), "s1": pa.int64()}
+    return pa.RecordBatch.from_arrays([pa.array([], kinds.get(n, pa.int64())) for n in names], names=names)
+
+
+@pytest.mark.parametrize(
+    "run, columns",
+    [
+        (lambda: jaccard_join._sets(jaccard_join.Rule()), ["doc_id", "text"]),
+        (lambda: jaccard_join._whole_sets(jaccard_join.Rule()), ["cls", "s1", "text"]),
+        (lambda: jaccard_join._screen(jaccard_join.Rule()), None),
+        (lambda: jaccard_join._verify(jaccard_join.Rule()), None),
+        (lambda: decontaminate._item_words, ["item_id", "text"]),
+        (lambda: token_store._documents(b""), ["start", "content"]),
+    ],
+)
+def test_a_worker_drops_the_tokenizer_for_other_operators(run, columns):
+    with open(queries.TOKENIZER, encoding="utf-8") as file:
+        content = file.read()
+    token_store.codec(content, 1)
+    batches = [_texts_of_columns(columns)] if columns else []
+    assert list(run()(iter(batches))) == []
+    assert token_store.codec.cache_info().currsize == 0
+    kept = token_store.codec(content, 1)
+    sent = type("Sent", (), {"value": content})
+    assert list(token_store._frames(sent, 1, b"")(iter([]))) == []
+    assert token_store.codec(content, 1) is kept
+
+
+def test_a_worker_gives_memory_back_after_a_task(spark):
+    rule = jaccard_join.Rule()
+
+    def private():
+        with open("/proc/self/smaps_rollup") as file:
+            return int(re.search(r"\nPss_Anon:\s+(\d+)", file.read())[1]) >> 10
+
+    def run(rows):
+        for batch in rows:
+            held = [np.ones(60_000, np.uint8) for _ in range(4000)]  # too small for pages of their own
+            last = np.ones(60_000, np.uint8)  # ends the heap
+            before = private()
+            del held
+            assert list(jaccard_join._sets(rule)(iter([]))) == []
+            yield pa.RecordBatch.from_pydict({"before": [before], "after": [private()], "last": [int(last[0])]})
+
+    found = spark.range(0, 1, 1, 1).mapInArrow(run, "before long, after long, last long").first()
+    assert found["before"] - found["after"] > 200
